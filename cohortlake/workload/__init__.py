@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MODULES = (
     "cohort_queries",
+    "profile_queries",
 )
 
 

@@ -16,22 +16,16 @@ FUNDED = ("1-URGENT", "2-HIGH")
 PUBLIC_TYPES = ("ECONOMY", "STANDARD", "SMALL")
 
 
-def sector(kind: str):
-    return F.when(F.col(kind).isin(*PUBLIC_TYPES), "Public").otherwise("Private")
-
-
-def flows(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines shipped in each year after their order year, per part and order year."""
-    lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_returnflag", "l_shipdate"
-    )
+def flows(spark: SparkSession, sf: str, key: str = "l_partkey") -> DataFrame:
+    """Lines shipped in each year since their order year, per entity and order year."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", key, "l_returnflag", "l_shipdate")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     both = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     flag = F.col("l_returnflag")
     return (
         both.where("l_shipdate >= o_orderdate")
         .groupBy(
-            F.col("l_partkey").alias("entity"),
+            F.col(key).alias("entity"),
             F.year("o_orderdate").cast("bigint").alias("cohort"),
             F.year("l_shipdate").cast("bigint").alias("ref_year"),
         )
@@ -44,27 +38,44 @@ def flows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def trajectory(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per part, order year and reference year, without holes between the years.
-
-    The missing years are generated from the gap to the next present year, inside the group
-    that later windows use; no second relation of years is joined.
-    """
-    parts = table(spark, sf, "part").select(
+def part_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(
         F.col("p_partkey").alias("entity"),
         "p_name",
         "p_brand",
         "p_type",
-        sector("p_type").alias("sector"),
+        F.when(F.col("p_type").isin(*PUBLIC_TYPES), "Public").otherwise("Private").alias("sector"),
+    )
+
+
+def supplier_entities(spark: SparkSession, sf: str) -> DataFrame:
+    nations = table(spark, sf, "nation").join(
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    suppliers = table(spark, sf, "supplier")
+    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("entity"),
+        "s_name",
+        "n_name",
+        "r_name",
+        F.when(F.col("s_acctbal") > 5000, "Public").otherwise("Private").alias("sector"),
     )
+
+
+def dense_trajectory(flow_rows: DataFrame, entities: DataFrame) -> DataFrame:
+    """One row per entity, order year and reference year, without holes between the years.
+
+    The missing years are generated from the gap to the next present year, inside the group
+    that later windows use; no second relation of years is joined.
+    """
+    attributes = [c for c in entities.columns if c != "entity"]
     group = Window.partitionBy("entity", "cohort")
     order = group.orderBy("ref_year")
     counts = ["qt_dropped", "qt_completed", "qt_excluded"]
     start = F.when(F.row_number().over(order) == 1, F.col("cohort")).otherwise(F.col("ref_year"))
     stop = F.coalesce(F.lead("ref_year").over(order) - 1, F.col("ref_year"))
     dense = (
-        flows(spark, sf)
-        .join(parts, "entity")
+        flow_rows.join(entities, "entity")
         .withColumn("qt_entrants", F.sum("entered").over(group))
         .withColumn("_years", F.sequence(start, stop))
         .withColumn("year", F.explode("_years"))
@@ -72,10 +83,7 @@ def trajectory(spark: SparkSession, sf: str) -> DataFrame:
     present = F.col("year") == F.col("ref_year")
     rows = dense.select(
         "entity",
-        "p_name",
-        "p_brand",
-        "p_type",
-        "sector",
+        *attributes,
         "cohort",
         F.col("year").alias("ref_year"),
         (F.col("year") - F.col("cohort") + 1).alias("step"),
@@ -87,6 +95,14 @@ def trajectory(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("qt_stayed", F.col("qt_entrants") - gone)
 
 
+def trajectory(spark: SparkSession, sf: str) -> DataFrame:
+    return dense_trajectory(flows(spark, sf), part_entities(spark, sf))
+
+
+def supplier_trajectory(spark: SparkSession, sf: str) -> DataFrame:
+    return dense_trajectory(flows(spark, sf, "l_suppkey"), supplier_entities(spark, sf))
+
+
 def yearly_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders per year, customer and priority; status O stays, P pauses, F leaves."""
     status = F.col("o_orderstatus")
@@ -167,32 +183,40 @@ def text_events(spark: SparkSession, sf: str) -> DataFrame:
 PUBLIC_SQL = ", ".join(f"'{t}'" for t in PUBLIC_TYPES)
 FUNDED_SQL = ", ".join(f"'{t}'" for t in FUNDED)
 
-FLOWS_SQL = """
+PART_ENTITIES_SQL = f"""
+entities AS (
+  SELECT p_partkey AS entity, p_name, p_brand, p_type,
+         CASE WHEN p_type IN ({PUBLIC_SQL}) THEN 'Public' ELSE 'Private' END AS sector FROM part)"""
+
+SUPPLIER_ENTITIES_SQL = """
+entities AS (
+  SELECT s_suppkey AS entity, s_name, n_name, r_name,
+         CASE WHEN s_acctbal > 5000 THEN 'Public' ELSE 'Private' END AS sector
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def _trajectory_sql(key: str, entities: str) -> str:
+    return f"""
 flows AS (
-  SELECT l_partkey AS entity, year(o_orderdate) AS cohort, year(l_shipdate) AS ref_year,
+  SELECT {key} AS entity, year(o_orderdate) AS cohort, year(l_shipdate) AS ref_year,
          count(*) AS entered,
          count(*) FILTER (WHERE l_returnflag = 'R') AS qt_dropped,
          count(*) FILTER (WHERE l_returnflag = 'A') AS qt_completed,
          count(*) FILTER (WHERE l_returnflag = 'N') AS qt_excluded
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_shipdate >= o_orderdate GROUP BY 1, 2, 3)"""
-
-TRAJECTORY_SQL = (
-    FLOWS_SQL
-    + f""",
+  WHERE l_shipdate >= o_orderdate GROUP BY 1, 2, 3),
+{entities},
 heads AS (SELECT entity, cohort, sum(entered)::BIGINT AS qt_entrants, max(ref_year) AS last_ref
           FROM flows GROUP BY 1, 2),
 spine AS (SELECT entity, cohort, qt_entrants, unnest(range(cohort, last_ref + 1)) AS ref_year
           FROM heads),
 dense AS (
-  SELECT s.entity, p_name, p_brand, p_type,
-         CASE WHEN p_type IN ({PUBLIC_SQL}) THEN 'Public' ELSE 'Private' END AS sector,
-         s.cohort, s.ref_year, s.ref_year - s.cohort + 1 AS step, s.qt_entrants,
+  SELECT e.*, s.cohort, s.ref_year, s.ref_year - s.cohort + 1 AS step, s.qt_entrants,
          coalesce(qt_dropped, 0) AS qt_dropped, coalesce(qt_completed, 0) AS qt_completed,
          coalesce(qt_excluded, 0) AS qt_excluded
   FROM spine s LEFT JOIN flows f
     ON s.entity = f.entity AND s.cohort = f.cohort AND s.ref_year = f.ref_year
-  JOIN part ON p_partkey = s.entity),
+  JOIN entities e ON e.entity = s.entity),
 acc AS (
   SELECT *,
          sum(qt_dropped) OVER w::BIGINT AS qt_dropped_acc,
@@ -204,14 +228,13 @@ acc AS (
   FROM dense
   WINDOW w AS (PARTITION BY entity, cohort ORDER BY ref_year
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
-)
 
-MILESTONE_SQL = (
-    TRAJECTORY_SQL
-    + """,
+
+def _milestone_sql(attributes: str) -> str:
+    picked = ", ".join(f"min({a}) AS {a}" for a in attributes.split())
+    return f""",
 mile AS (
-  SELECT entity, cohort, min(p_name) AS p_name, min(p_brand) AS p_brand, min(p_type) AS p_type,
-         min(sector) AS sector, max(qt_entrants) AS qt_entrants,
+  SELECT entity, cohort, {picked}, max(qt_entrants) AS qt_entrants,
          max(qt_dropped_acc) FILTER (WHERE step = 4) AS qt_dropped_step,
          max(qt_completed_acc) FILTER (WHERE step = 4) AS qt_completed_step,
          max(qt_base_acc) FILTER (WHERE step = 4) AS qt_base_step,
@@ -222,6 +245,12 @@ mile AS (
          max(qt_base_acc) FILTER (WHERE ref_year = last_year) AS qt_base_final,
          max(last_year) AS last_year
   FROM acc GROUP BY 1, 2)"""
+
+
+TRAJECTORY_SQL = _trajectory_sql("l_partkey", PART_ENTITIES_SQL)
+MILESTONE_SQL = TRAJECTORY_SQL + _milestone_sql("p_name p_brand p_type sector")
+SUPPLIER_MILESTONE_SQL = _trajectory_sql("l_suppkey", SUPPLIER_ENTITIES_SQL) + _milestone_sql(
+    "s_name n_name r_name sector"
 )
 
 YEARLY_SQL = """
