@@ -123,6 +123,13 @@ def _clock_text(col: Column, layout: str) -> Column:
     return F.when(micros == "000000", seconds).otherwise(F.concat_ws(".", seconds, micros))
 
 
+def json_text(col: Column) -> Column:
+    """JSON with one space after each comma and colon outside strings."""
+    compact = F.to_json(col, {"ignoreNullFields": "false"})
+    upto_mark = r'\G((?:"(?:[^"\\]|\\.)*+"|[^",:])*+)([,:])'
+    return F.translate(F.regexp_replace(compact, upto_mark, "$1$2 "), "\0", "")
+
+
 def to_text(col: Column, kind: T.DataType) -> Column:
     """Text form of a typed value; NULL and NaN stay NULL and NUL characters are removed."""
     if isinstance(kind, T.StringType):
@@ -134,7 +141,7 @@ def to_text(col: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampType | T.TimestampNTZType):
         return _clock_text(col, "yyyy-MM-dd HH:mm:ss")
     if isinstance(kind, T.StructType | T.ArrayType | T.MapType | T.VariantType):
-        return F.translate(F.to_json(col), "\0", "")
+        return json_text(col)
     return col.cast("string")
 
 

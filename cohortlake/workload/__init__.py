@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = (
     "cohort_queries",
     "profile_queries",
+    "text_queries",
+    "check_queries",
+    "consume_queries",
 )
 
 
