@@ -70,11 +70,14 @@ def explode_path(df: DataFrame, path: str | None, keep: tuple[str, ...] = ()) ->
 
 
 def read_records(
-    spark: SparkSession, path: str, records_path: str | None = None, max_level: int = 1
+    spark: SparkSession, path: str | list[str], records_path: str | None = None, max_level: int = 1
 ) -> DataFrame:
-    """All records of the JSON documents below ``path``, as text columns.
+    """All records of the JSON documents at ``path`` as text columns, with their file.
 
     A document that is itself a list gives one record per element.
     """
     payload = spark.read.json(path, multiLine=True)
-    return flatten_records(explode_path(payload, records_path), "record", max_level)
+    fields = payload.columns
+    located = payload.select(*fields, F.col("_metadata.file_path").alias("_source_file"))
+    keep = ("_source_file",)
+    return flatten_records(explode_path(located, records_path, keep), "record", max_level, keep=keep)

@@ -13,6 +13,7 @@ MODULES = (
     "text_queries",
     "check_queries",
     "consume_queries",
+    "release_queries",
 )
 
 
