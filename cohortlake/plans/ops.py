@@ -56,12 +56,18 @@ class Ops:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self._made: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/ops/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return optional_parquet(self.spark, self.path(name), SCHEMAS[name])
+        schema = T.StructType.fromDDL(SCHEMAS[name])
+        if name not in self._made:
+            # Does nothing where the relation exists already.
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(name))
+            self._made.add(name)
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     def append(self, name: str, rows: Iterable[Mapping[str, Any]]) -> None:
         schema = T.StructType.fromDDL(SCHEMAS[name])
@@ -69,6 +75,7 @@ class Ops:
         if data:
             frame = self.spark.createDataFrame(data, schema).coalesce(1)
             frame.write.mode("append").parquet(self.path(name))
+            self._made.add(name)
 
     def purge(self, days: int, names: Iterable[str] = RETAINED) -> dict[str, int]:
         """Drop audit rows older than ``days``; the new table is complete before the old one goes."""

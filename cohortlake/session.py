@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,5 +59,21 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, once per session.
+
+    A cluster that installs it on every node needs nothing of this; adding it again is harmless.
+    """
+    if getattr(spark, "_cohortlake_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    bundle = Path(tempfile.mkdtemp(prefix="cohortlake-")) / "cohortlake.zip"
+    with zipfile.ZipFile(bundle, "w") as archive:
+        for source in sorted(home.rglob("*.py")):
+            archive.write(source, source.relative_to(home.parent))
+    spark.sparkContext.addPyFile(str(bundle))
+    spark._cohortlake_shipped = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions.names import normalize_columns
+from cohortlake.session import ship_package
 from cohortlake.sources.dialect import SAMPLE_BYTES, csv_header, detect, header_row, is_filled
 from cohortlake.sources.files import DEFAULT_EXCLUDE, codec_of, open_bytes
 from cohortlake.sources.workbook import sheet_rows
@@ -155,6 +156,7 @@ def _sheet_records(stream: IO[bytes], options: DecodeOptions) -> Iterator[dict[s
 
 def decode_files(files: DataFrame, options: DecodeOptions = DecodeOptions()) -> DataFrame:
     """Rows of all ``files`` (``file_uri``, ``file_name``, ``content``) as name -> text maps."""
+    ship_package(files.sparkSession)
     records = _sheet_records if options.format == "xlsx" else _csv_records
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlake.functions.names import normalize_columns
+from cohortlake.session import ship_package
 
 # Detected encoding -> charset name of the reader.
 CHARSETS = {
@@ -78,6 +79,7 @@ def read_layout(
         F.col("_metadata.file_block_start").alias("_block"),
     )
     if skip:
+        ship_package(spark)
         fields = [*schema.fields, T.StructField("_source_file", T.StringType())]
         rows = rows.mapInPandas(_drop_head(schema.names, skip + 1), T.StructType(fields))
     message = F.concat(F.lit("record wider than its header in "), F.col("_source_file"))

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlake.session import ship_package
 from cohortlake.sources.dialect import SAMPLE_BYTES, detect
 
 # Names never taken from a landing folder.
@@ -126,6 +127,7 @@ def with_dialect(
     Plain files send only the start of their bytes to Python. ``is_split_safe`` looks at the whole
     content: no line has an odd number of quotes, so no quoted field runs over a line end.
     """
+    ship_package(files.sparkSession)
     packed = F.lower("file_name").rlike(rf"\.({'|'.join(CODECS)})$") & F.lit(codec == "infer")
     packed = packed | F.lit(codec not in ("infer", "none"))
     head = F.when(packed, F.col("content")).otherwise(

@@ -70,13 +70,18 @@ def explode_path(df: DataFrame, path: str | None, keep: tuple[str, ...] = ()) ->
 
 
 def read_records(
-    spark: SparkSession, path: str | list[str], records_path: str | None = None, max_level: int = 1
+    spark: SparkSession,
+    path: str | list[str],
+    records_path: str | None = None,
+    max_level: int = 1,
+    document_per_line: bool = False,
 ) -> DataFrame:
     """All records of the JSON documents at ``path`` as text columns, with their file.
 
-    A document that is itself a list gives one record per element.
+    A document that is itself a list gives one record per element. Files with one document per
+    line are split over tasks.
     """
-    payload = spark.read.json(path, multiLine=True)
+    payload = spark.read.json(path, multiLine=not document_per_line)
     fields = payload.columns
     located = payload.select(*fields, F.col("_metadata.file_path").alias("_source_file"))
     keep = ("_source_file",)

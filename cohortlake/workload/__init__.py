@@ -14,6 +14,7 @@ MODULES = (
     "check_queries",
     "consume_queries",
     "release_queries",
+    "source_queries",
 )
 
 
