@@ -37,12 +37,15 @@ def rate(num: Column, den: Column, scale: int = 100, digits: int = 2) -> Column:
     return exact_rate(num, den, scale, digits).cast("double")
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """Part over whole; NULL without a base."""
+    return F.try_divide(part.cast(EXACT), whole.cast(EXACT))
+
+
 def share(part: Column, whole: Column) -> Column:
     """Part of a whole, never above one; NULL without a base."""
-    return F.when(
-        part.isNotNull() & whole.isNotNull(),
-        F.least(F.try_divide(part.cast(EXACT), whole.cast(EXACT)), F.lit(1).cast("decimal(1,0)")),
-    )
+    exact = ratio(part, whole)
+    return F.when(exact.isNotNull(), F.least(exact, F.lit(1).cast("decimal(1,0)")))
 
 
 def zero_sum(*parts: Column) -> Column:

@@ -44,7 +44,9 @@ def identifier_column(col: Column, position: Column) -> Column:
     """The same rule for names held as data (marked Latin letters lose their marks)."""
     marked = {c: _plain(c) for c in map(chr, range(0x80, 0x2100)) if len(_plain(c)) == 1}
     text = F.translate(col, "".join(marked), "".join(marked.values()))
-    text = F.regexp_replace(text, r"[^\x00-\x7F]", "")
+    text = F.when(
+        col.rlike(r"[^\x00-\x7F]"), F.regexp_replace(text, r"[^\x00-\x7F]+", "")
+    ).otherwise(col)
     text = F.lower(F.regexp_replace(text, r"([a-z0-9])(?=[A-Z])", "$1_"))
     text = F.regexp_replace(F.regexp_replace(text, r"[^a-z0-9]+", "_"), r"^_+|_+$", "")
     text = F.when(text == "", F.concat(F.lit("col_"), (position + 1).cast("string"))).otherwise(text)

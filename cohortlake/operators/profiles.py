@@ -254,15 +254,17 @@ def supply_gaps(
     name: str,
     people: str = "nu_population",
     min_cell: int = m.MIN_CELL,
+    years: DataFrame | None = None,
 ) -> DataFrame:
     """Supply of the latest year beside the population of every place; none there is a gap.
 
     ``population`` is one row per place and age, ``supply`` one row per year, entity and place.
+    The latest year is that of ``years`` if given, else of the supply.
     """
     everyone = population.groupBy(place).agg(
         F.min(name).alias(name), F.sum(people).alias(people)
     )
-    latest = supply.agg(F.max(year).alias(year))
+    latest = (supply if years is None else years).agg(F.max(year).alias(year))
     offered = (
         supply.where(F.col(year) == latest.scalar())
         .groupBy(place)
