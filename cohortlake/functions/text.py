@@ -123,17 +123,21 @@ def _clock_text(col: Column, layout: str) -> Column:
     return F.when(micros == "000000", seconds).otherwise(F.concat_ws(".", seconds, micros))
 
 
+def without_nul(col: Column) -> Column:
+    return F.replace(col, F.lit("\0"), F.lit(""))
+
+
 def json_text(col: Column) -> Column:
     """JSON with one space after each comma and colon outside strings."""
     compact = F.to_json(col, {"ignoreNullFields": "false"})
     upto_mark = r'\G((?:"(?:[^"\\]|\\.)*+"|[^",:])*+)([,:])'
-    return F.translate(F.regexp_replace(compact, upto_mark, "$1$2 "), "\0", "")
+    return without_nul(F.regexp_replace(compact, upto_mark, "$1$2 "))
 
 
 def to_text(col: Column, kind: T.DataType) -> Column:
     """Text form of a typed value; NULL and NaN stay NULL and NUL characters are removed."""
     if isinstance(kind, T.StringType):
-        return F.translate(col, "\0", "")
+        return without_nul(col)
     if isinstance(kind, T.DoubleType | T.FloatType):
         return _float_text(col)
     if isinstance(kind, T.BinaryType):

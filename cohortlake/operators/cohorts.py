@@ -41,7 +41,9 @@ def accumulate(df: DataFrame, flow: Flow = FLOW) -> DataFrame:
     A window group holds one row per year of one cohort, so its size is bounded by the calendar.
     """
     group = Window.partitionBy(flow.entity, flow.cohort)
-    past = group.orderBy(flow.reference).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = group.orderBy(flow.reference)
+    past = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     running = {
         flow.running(c): F.sum(c).over(past) for c in (flow.dropped, flow.completed, flow.excluded)
     }
@@ -49,7 +51,7 @@ def accumulate(df: DataFrame, flow: Flow = FLOW) -> DataFrame:
         "*",
         *[value.alias(name) for name, value in running.items()],
         (F.col(flow.entrants) - running[flow.running(flow.excluded)]).alias(flow.base),
-        F.max(flow.reference).over(group).alias(flow.last),
+        F.max(flow.reference).over(whole).alias(flow.last),
     )
 
 

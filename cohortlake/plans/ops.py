@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortlake.operators.latest import latest_per_key
 
@@ -70,10 +72,14 @@ class Ops:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def append(self, name: str, rows: Iterable[Mapping[str, Any]]) -> None:
-        schema = T.StructType.fromDDL(SCHEMAS[name])
-        data = [tuple(row.get(f) for f in schema.names) for row in rows]
-        if data:
-            frame = self.spark.createDataFrame(data, schema).coalesce(1)
+        rows = list(rows)
+        if rows:
+            schema = T.StructType.fromDDL(SCHEMAS[name])
+            columns = {
+                f.name: pa.array([r.get(f.name) for r in rows], to_arrow_type(f.dataType))
+                for f in schema.fields
+            }
+            frame = self.spark.createDataFrame(pa.table(columns), schema).coalesce(1)
             frame.write.mode("append").parquet(self.path(name))
             self._made.add(name)
 

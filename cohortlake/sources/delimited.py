@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlake.functions.names import normalize_columns
+from cohortlake.functions.text import without_nul
 from cohortlake.session import ship_package
 
 # Detected encoding -> charset name of the reader.
@@ -86,7 +87,7 @@ def read_layout(
     checked = F.when(F.col(OVERFLOW).isNotNull(), F.raise_error(message)).otherwise(
         F.col("_source_file")
     )
-    clean = [F.nullif(F.translate(F.col(f"`{n}`"), "\0", ""), F.lit("")).alias(n) for n in names]
+    clean = [F.nullif(without_nul(F.col(f"`{n}`")), F.lit("")).alias(n) for n in names]
     return rows.select(*clean, checked.alias("_source_file"))
 
 

@@ -71,12 +71,14 @@ def dense_trajectory(flow_rows: DataFrame, entities: DataFrame) -> DataFrame:
     attributes = [c for c in entities.columns if c != "entity"]
     group = Window.partitionBy("entity", "cohort")
     order = group.orderBy("ref_year")
+    # The whole group under the same order: all window values share one sort.
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counts = ["qt_dropped", "qt_completed", "qt_excluded"]
     start = F.when(F.row_number().over(order) == 1, F.col("cohort")).otherwise(F.col("ref_year"))
     stop = F.coalesce(F.lead("ref_year").over(order) - 1, F.col("ref_year"))
     dense = (
         flow_rows.join(entities, "entity")
-        .withColumn("qt_entrants", F.sum("entered").over(group))
+        .withColumn("qt_entrants", F.sum("entered").over(whole))
         .withColumn("_years", F.sequence(start, stop))
         .withColumn("year", F.explode("_years"))
     )

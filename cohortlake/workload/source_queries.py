@@ -273,6 +273,25 @@ def full_load(spark: SparkSession, sf: str) -> DataFrame:
     return lake.bronze(second).select("code", "c_name", "c_mktsegment")
 
 
+def bulk_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """All order lines landed from CSV files and summed from Bronze."""
+    folder = scratch_path(spark, "landing")
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lines = base.table(spark, sf, "lineitem").repartition(8)
+    lines.write.csv(folder, header=True, sep=";", escape='"')
+    source = Source("lines", folder, include=("*.csv",), essential=("l_orderkey", "l_shipdate"))
+    lake.load(source)
+    return (
+        lake.bronze(source)
+        .groupBy("l_returnflag", "l_linestatus")
+        .agg(
+            F.count(F.lit(1)).alias("nu_lines"),
+            F.sum(F.col("l_quantity").try_cast("decimal(18,2)")).cast("double").alias("quantity"),
+            F.max(F.length("_row_hash")).cast("bigint").alias("hash_length"),
+        )
+    )
+
+
 QUERIES = {
     "detect_dialect": detect_dialect,
     "header_rows": header_rows,
@@ -284,6 +303,7 @@ QUERIES = {
     "workbook_scan": workbook_scan,
     "incremental_landing": incremental_landing,
     "full_load": full_load,
+    "bulk_landing": bulk_landing,
 }
 
 ORACLE = {
@@ -320,4 +340,8 @@ SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, event_type, p
     "full_load": """
 SELECT c_custkey::VARCHAR AS code, c_name, c_mktsegment FROM customer
 WHERE c_mktsegment <> 'BUILDING' AND c_acctbal > 0""",
+    "bulk_landing": """
+SELECT l_returnflag, l_linestatus, count(*) AS nu_lines,
+       sum(l_quantity::DECIMAL(18,2))::DOUBLE AS quantity, 16::BIGINT AS hash_length
+FROM lineitem GROUP BY 1, 2""",
 }
