@@ -83,6 +83,15 @@ class Ops:
             frame.write.mode("append").parquet(self.path(name))
             self._made.add(name)
 
+    def views(self) -> dict[str, DataFrame]:
+        """What an operator looks at: publications, runs, files per source, new columns."""
+        return {
+            "publications": newest(self.read("publications"), ["published_at"], 10),
+            "runs": newest(self.read("ingestion_runs"), ["started_at"], 20),
+            "files": self.read("file_manifest").orderBy("source", "file_uri"),
+            "columns": self.read("schema_changes").orderBy(F.col("detected_at").desc()),
+        }
+
     def purge(self, days: int, names: Iterable[str] = RETAINED) -> dict[str, int]:
         """Drop audit rows older than ``days``; the new table is complete before the old one goes."""
         removed = {}
@@ -110,6 +119,11 @@ def purge_history(
     return rows.where(~F.coalesce(old, F.lit(False))), counts
 
 
+def newest(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The ``n`` newest rows of a log."""
+    return rows.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+
+
 def current_manifest(manifest: DataFrame) -> DataFrame:
     """One row per source and content: a later load replaces the earlier entry."""
     return latest_per_key(

@@ -59,6 +59,15 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores, dealt out before heavy work per row.
+
+    A large table has many partitions already and passes through unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable in Python workers, once per session.
 

@@ -8,7 +8,7 @@ import gzip
 import io
 import lzma
 from collections.abc import Iterable, Iterator, Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 from functools import reduce
 from typing import IO
 
@@ -45,10 +45,12 @@ def accepted(
     return _like_any(name, include) & ~_like_any(name, exclude)
 
 
-def settled(modified: Column, min_age_seconds: int, now: datetime | None = None) -> Column:
+def settled(modified: Column, min_age_seconds: int, now: datetime | Column | None = None) -> Column:
     """Last changed at least ``min_age_seconds`` ago."""
-    now = now or datetime.now(timezone.utc)
-    return modified <= F.lit(now - timedelta(seconds=min_age_seconds))
+    if now is None:
+        now = datetime.now(timezone.utc)
+    limit = F.lit(now) - F.make_dt_interval(secs=F.lit(min_age_seconds).cast("decimal(18,6)"))
+    return modified <= limit
 
 
 def list_files(
@@ -110,6 +112,7 @@ def open_bytes(content: bytes, name: str, codec: str = "infer") -> IO[bytes]:
     return raw
 
 
+SPLIT_CHECK_BYTES = 512 * 1024 * 1024
 DIALECT_SCHEMA = "encoding string, sep string, skip bigint, header array<string>"
 
 
@@ -125,7 +128,8 @@ def with_dialect(
     """Dialect of every file. ``files`` has ``file_name`` and ``content``.
 
     Plain files send only the start of their bytes to Python. ``is_split_safe`` looks at the whole
-    content: no line has an odd number of quotes, so no quoted field runs over a line end.
+    content: no line has an odd number of quotes, so no quoted field runs over a line end. Files
+    too large to be looked at as one text count as unsafe, which only costs parallelism.
     """
     ship_package(files.sparkSession)
     packed = F.lower("file_name").rlike(rf"\.({'|'.join(CODECS)})$") & F.lit(codec == "infer")
@@ -134,8 +138,12 @@ def with_dialect(
         F.substring(F.col("content"), 1, SAMPLE_BYTES)
     )
     open_quote = rf"(?m)^[^{quote}\n]*+{quote}(?:[^{quote}\n]*+{quote}[^{quote}\n]*+{quote})*+[^{quote}\n]*+$"
-    bytes_as_text = F.decode(F.col("content"), "ISO-8859-1")
-    safe = ~packed & ~bytes_as_text.rlike(open_quote)
+    content = F.col("content")
+    unquoted = ~F.contains(content, F.encode(F.lit(quote), "UTF-8"))
+    balanced = (F.length(content) < SPLIT_CHECK_BYTES) & ~F.decode(content, "ISO-8859-1").rlike(
+        open_quote
+    )
+    safe = ~packed & (unquoted | balanced)
     rows = files.select(*keep, head.alias("_head"), safe.alias("is_split_safe"))
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

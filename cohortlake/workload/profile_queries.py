@@ -9,6 +9,7 @@ from cohortlake.functions import measures as m
 from cohortlake.functions.text import band_label, code_label, score_band
 from cohortlake.operators import cohorts, profiles
 from cohortlake.operators.latest import latest_per_key
+from cohortlake.session import cut_lineage
 from cohortlake.workload import base
 from cohortlake.workload.base import sql_mask as M
 from cohortlake.workload.base import sql_rate as R
@@ -238,6 +239,8 @@ def deserts(spark: SparkSession, sf: str) -> DataFrame:
             F.count(F.lit(1)).alias("qt_entrants"),
         )
     )
+    # One row per year and supplier, written once: the latest year is asked of it three times.
+    shipped = cut_lineage(shipped, "shipped")
     places = base.table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")
     )
@@ -287,6 +290,21 @@ def code_maps(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def weighted_percentage(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of large lines per supplier and flag: from hits where known, else a weighted mean."""
+    lines = base.table(spark, sf, "lineitem")
+    counts = lines.groupBy("l_suppkey", "l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_quantity") > 25).alias("hits")
+    )
+    pct = F.when(F.col("hits") > 0, m.exact_rate(F.col("hits"), F.col("n")))
+    known = F.when(F.col("l_returnflag") != "N", F.col("hits"))
+    rows = counts.withColumn("pct", pct).withColumn("hits", known)
+    total = m.weighted_percentage(F.col("hits"), F.col("n"), F.col("pct"))
+    return rows.groupBy("l_suppkey", "l_returnflag").agg(
+        F.round(total, 4).cast("double").alias("pct_large")
+    )
+
+
 QUERIES = {
     "latest_per_key": latest_order,
     "quality_editions": quality_editions,
@@ -303,6 +321,7 @@ QUERIES = {
     "financing_by_year": financing_by_year,
     "scale_repair": scale_repair,
     "code_maps": code_maps,
+    "weighted_percentage": weighted_percentage,
 }
 
 EDITIONS_SQL = """
@@ -490,4 +509,17 @@ SELECT p_partkey,
        CASE (p_size - 1) // 10 WHEN 1 THEN 'Tiny' WHEN 2 THEN 'Small' WHEN 3 THEN 'Medium'
             WHEN 4 THEN 'Large' ELSE 'Unknown' END AS size_or_unknown
 FROM part""",
+    "weighted_percentage": """
+WITH c AS (
+  SELECT l_suppkey, l_returnflag, l_linestatus, count(*) AS n,
+         count(*) FILTER (WHERE l_quantity > 25) AS hits FROM lineitem GROUP BY 1, 2, 3),
+p AS (SELECT *, (20000 * hits + n) // (2 * n) AS cents FROM c WHERE hits > 0),
+t AS (SELECT l_suppkey, l_returnflag, sum(n)::BIGINT AS n, sum(hits)::BIGINT AS hits,
+             sum(cents * n)::BIGINT AS weighted FROM p GROUP BY 1, 2)
+SELECT g.l_suppkey, g.l_returnflag,
+       CASE WHEN t.n IS NULL THEN NULL
+            WHEN g.l_returnflag <> 'N' THEN ((2000000 * t.hits + t.n) // (2 * t.n)) / 10000.0
+            ELSE ((200 * weighted + t.n) // (2 * t.n)) / 10000.0 END AS pct_large
+FROM (SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem) g
+LEFT JOIN t ON t.l_suppkey = g.l_suppkey AND t.l_returnflag = g.l_returnflag""",
 }

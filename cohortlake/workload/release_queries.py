@@ -47,9 +47,8 @@ def manifest_skip(spark: SparkSession, sf: str) -> DataFrame:
 
 def settled_only(spark: SparkSession, sf: str) -> DataFrame:
     """Events as files still being written: only those older than a day at the cut-off time."""
-    from datetime import datetime
-
-    ready = settled(F.col("ts"), 86400, datetime(2024, 1, 20))
+    cutoff = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    ready = settled(F.col("ts"), 86400, cutoff)
     return base.table(spark, sf, "events").where(ready).select("event_id", "ts")
 
 
@@ -144,8 +143,13 @@ def _publications(spark: SparkSession, sf: str) -> DataFrame:
 
 def publication_log(spark: SparkSession, sf: str) -> DataFrame:
     """The ten newest publications."""
-    order = [F.col("published_at").desc(), F.col("version").desc()]
-    return _publications(spark, sf).orderBy(*order).limit(10)
+    return ops.newest(_publications(spark, sf), ["published_at", "version"], 10)
+
+
+def recent_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The twenty newest runs."""
+    columns = ["source", "run_id", "status", "started_at", "rows_loaded", "units"]
+    return ops.newest(base.run_log(spark, sf).select(*columns), ["started_at", "run_id"], 20)
 
 
 def current_release(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,6 +210,7 @@ QUERIES = {
     "test_gate": test_gate,
     "publication_log": publication_log,
     "current_release": current_release,
+    "recent_runs": recent_runs,
     "suppressed_export": suppressed_export,
     "export_leaks": export_leaks,
     "published_snapshot": published_snapshot,
@@ -295,6 +300,10 @@ FROM s GROUP BY 1""",
     "publication_log": f"""
 WITH {_PUBLICATIONS_SQL}
 SELECT * FROM pubs ORDER BY published_at DESC, version DESC LIMIT 10""",
+    "recent_runs": f"""
+WITH {base.RUNS_SQL}
+SELECT source, run_id, status, started_at, rows_loaded, units FROM runs
+ORDER BY started_at DESC, run_id DESC LIMIT 20""",
     "current_release": f"""
 WITH {_PUBLICATIONS_SQL}
 SELECT * FROM pubs WHERE status = 'published' ORDER BY published_at DESC, version DESC LIMIT 1""",

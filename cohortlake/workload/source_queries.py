@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.plans.landing import Lake, Source
-from cohortlake.session import scratch_path, ship_package
+from cohortlake.session import scratch_path, ship_package, spread
 from cohortlake.sources import decoded, dialect, files, json_records
 from cohortlake.streaming.incremental import land_available
 from cohortlake.workload import base
@@ -54,7 +54,7 @@ def detect_dialect(spark: SparkSession, sf: str) -> DataFrame:
     bare = F.translate(F.col("text"), ',;\t|"\r', "      ")
     body = F.transform(F.split(bare, "\n"), lambda line: F.concat(F.lit("line"), sep, line))
     text = F.concat(F.lit("kind"), sep, F.lit("content\n"), F.array_join(body, "\n"), F.lit("\n"))
-    docs = base.table(spark, sf, "documents").select(
+    docs = spread(base.table(spark, sf, "documents").select("doc_id", "text", "lang")).select(
         "doc_id",
         F.concat(F.col("doc_id").cast("string"), F.lit(".csv")).alias("file_name"),
         _as_file(text).alias("content"),
@@ -81,7 +81,7 @@ def header_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(body, "\n"),
         F.lit("\n"),
     )
-    docs = base.table(spark, sf, "documents").select(
+    docs = spread(base.table(spark, sf, "documents").select("doc_id", "text", "source")).select(
         "doc_id", F.lit("table.csv").alias("file_name"), F.encode(text, "UTF-8").alias("content")
     )
     found = files.with_dialect(docs, skip_rows="auto", keep=("doc_id", "file_name"))
@@ -90,7 +90,7 @@ def header_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def numeric_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Words of all documents that look like a number, an amount or a date."""
-    docs = base.table(spark, sf, "documents")
+    docs = spread(base.table(spark, sf, "documents").select("text"))
     words = docs.select(F.explode(F.split("text", r"\s+")).alias("word"))
     kept = words.where(dialect.numeric_like(F.col("word")))
     return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n"))

@@ -11,6 +11,7 @@ from cohortlake.functions import text as t
 from cohortlake.functions.names import identifier_column, normalize_columns
 from cohortlake.operators import dsl
 from cohortlake.operators.latest import latest_partition
+from cohortlake.session import spread
 from cohortlake.sources.json_records import explode_path, flatten_records
 from cohortlake.workload import base
 
@@ -68,7 +69,7 @@ def safe_casts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalize_names(spark: SparkSession, sf: str) -> DataFrame:
-    docs = base.table(spark, sf, "documents")
+    docs = spread(base.table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", identifier_column(F.col("text"), F.col("doc_id")).alias("name"))
 
 

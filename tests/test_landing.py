@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlake.plans.landing import Lake, LandingError, Source, VolumeCheck, profile
+from cohortlake.plans.ops import optional_parquet
 from cohortlake.sources.decoded import DecodeOptions
 from cohortlake.streaming.incremental import land_available
 
@@ -169,6 +170,10 @@ def test_purge_and_profile(spark, lake, landing):
     (landing / "a.csv").write_text("id,x\n1,\n2,y\n")
     source = Source("p", str(landing))
     lake.load(source)
+    views = {name: df.count() for name, df in lake.ops.views().items()}
+    assert views == {"publications": 0, "runs": 1, "files": 1, "columns": 2}
+    absent = optional_parquet(spark, str(landing / "nowhere"), "id string, n bigint")
+    assert absent.count() == 0 and absent.columns == ["id", "n"]
     assert lake.ops.purge(0)["ingestion_runs"] == 1
     assert lake.ops.read("ingestion_runs").count() == 0
     found = rows(profile(lake.bronze(source).select("id", "x")), "column", "nu_rows", "nu_missing")
