@@ -78,7 +78,8 @@ def weighted_percentage(hits: Column, size: Column, pct: Column) -> Column:
     """Aggregate: 100 * hits / size over rows with ``pct``, else the size-weighted mean of ``pct``."""
     base = F.nullif(F.sum(F.when(pct.isNotNull(), size)), F.lit(0)).cast(EXACT)
     hit_sum = F.sum(F.when(pct.isNotNull(), hits)).cast(EXACT)
-    mean = F.try_divide(F.sum((pct * size).cast(EXACT)), base)
+    # A sum widens its decimal type; narrowed again, the quotient keeps its digits.
+    mean = F.try_divide(F.sum((pct * size).cast(EXACT)).cast(EXACT), base)
     exact = F.try_divide(hit_sum * F.lit(100).cast("decimal(3,0)"), base)
     kind = T.DecimalType(38, 12)
     return F.coalesce(exact.cast(kind), mean.cast(kind))

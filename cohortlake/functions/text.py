@@ -35,7 +35,8 @@ def to_numeric(col: Column, decimal: str = ".") -> Column:
         ",": comma,
         "auto": F.when(F.contains(bare, F.lit(",")), comma).otherwise(bare),
     }[decimal]
-    return safe_cast(text, NUMERIC)
+    # The test spares unreadable text the costly failure inside the cast.
+    return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), safe_cast(text, NUMERIC))
 
 
 # Fixed day-first / month-first layouts: which regex group holds year, month and day.

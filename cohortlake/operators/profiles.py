@@ -226,10 +226,16 @@ def funnel_with_total(
     size = F.nullif(F.col(taking), F.lit(0)).cast(m.EXACT)
     kind = T.DecimalType(38, 12)
     hits = F.try_divide(F.col("_hits").cast(m.EXACT) * F.lit(100).cast("decimal(3,0)"), size)
-    mean = F.try_divide(F.col("_weighted"), size)
+    # Narrow types keep all digits of products and quotients below the two that are published.
+    mean = F.try_divide(F.col("_weighted").cast(T.DecimalType(24, 6)), size)
     exact_pct = F.coalesce(hits.cast(kind), mean.cast(kind))
     done = m.exact_rate(F.col("_completed"), F.col("_base"))
-    both = F.round(done * exact_pct.cast(T.DecimalType(24, 12)) / F.lit(100).cast("decimal(3,0)"), 2)
+    both = F.round(
+        done.cast(T.DecimalType(12, 2))
+        * exact_pct.cast(T.DecimalType(18, 12))
+        / F.lit(100).cast("decimal(3,0)"),
+        2,
+    )
     return cells.where(F.col(entrants) >= min_cell).select(
         label.alias(group),
         "nu_entities",

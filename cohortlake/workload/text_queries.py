@@ -22,7 +22,7 @@ def dirty_events(spark: SparkSession, sf: str) -> DataFrame:
     value = F.col("value").cast("decimal(18,2)").cast("string")
     hour = F.date_format("ts", "HH:mm:ss")
     none = F.lit(None).cast("string")
-    return base.table(spark, sf, "events").select(
+    return spread(base.table(spark, sf, "events")).select(
         "event_id",
         F.when(kind == "view", number)
         .when(kind == "click", F.concat(F.lit("  "), number, F.lit(" ")))
