@@ -96,7 +96,11 @@ def band_label(band: Column, missing: str, special: str) -> Column:
 
 
 def _float_text(col: Column) -> Column:
-    """Shortest decimal text: plain between 1e-4 and 1e16, else ``1.5e+20`` style."""
+    """Shortest decimal text: plain between 1e-4 and 1e16, else ``1.5e+20`` style.
+
+    Java before release 19 gives some values outside that span one digit more than needed; the
+    text still reads back as the same number.
+    """
     raw = col.cast("string")
     plain = F.regexp_replace(
         raw.try_cast(T.DecimalType(38, 21)).cast("string"), r"(\.\d+?)0+$", "$1"

@@ -15,8 +15,14 @@ class StepError(ValueError):
     """A step names a column the frame does not have, or is not known."""
 
 
+def _readable(col: Column) -> Column:
+    """Number in a text; a type suffix as in ``1d`` or a NaN is no number."""
+    number = F.when(~col.rlike(r"[0-9.][dDfF]\s*$"), col.try_cast("double"))
+    return F.when(~F.isnan(number), number)
+
+
 def _number(compare: Callable[[Any, Any], Column]) -> Callable[[Column, Any], Column]:
-    return lambda col, value: compare(col.try_cast("double"), F.lit(float(value)))
+    return lambda col, value: compare(_readable(col), F.lit(float(value)))
 
 
 def _texts(values: Iterable[Any]) -> list[str]:

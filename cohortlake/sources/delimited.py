@@ -61,6 +61,7 @@ def read_layout(
     """
     charset = CHARSETS.get(encoding, encoding)
     if charset.startswith("windows-"):
+        # Spark accepts Java's own charset names only under this session setting.
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, OVERFLOW]])
     raw = spark.read.csv(

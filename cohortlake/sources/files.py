@@ -85,8 +85,11 @@ def list_files(
 
 
 def unseen(files: DataFrame, manifest: DataFrame, source: str) -> DataFrame:
-    """Files whose content the manifest does not hold, whatever their name."""
-    known = manifest.where(F.col("source") == source).select("sha256")
+    """Files whose content the manifest does not hold, whatever their name.
+
+    Known contents are made distinct first, so a content loaded many times is one row of the join.
+    """
+    known = manifest.where(F.col("source") == source).select("sha256").distinct()
     return files.join(known, "sha256", "left_anti")
 
 

@@ -41,7 +41,7 @@ def manifest_skip(spark: SparkSession, sf: str) -> DataFrame:
     docs = base.table(spark, sf, "documents")
     hashed = docs.select("doc_id", "source", F.sha2(F.encode("text", "UTF-8"), 256).alias("sha256"))
     early = F.col("source").isin("src0", "src1", "src2", "src3")
-    known = hashed.where(early).select("sha256")
+    known = hashed.where(early).select("sha256").distinct()
     return hashed.where(~early).join(known, "sha256", "left_anti").select("doc_id", "sha256")
 
 

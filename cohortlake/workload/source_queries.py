@@ -98,7 +98,7 @@ def numeric_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def _write_documents(spark: SparkSession, sf: str) -> str:
     folder = scratch_path(spark, "landing")
-    docs = base.table(spark, sf, "documents")
+    docs = spread(base.table(spark, sf, "documents"))
     for lang, (sep, charset) in LAYOUTS.items():
         text = F.regexp_replace("text", NOT_LATIN, "?") if charset == "ISO-8859-1" else F.col("text")
         rows = docs.where(F.col("lang") == lang).select(

@@ -1,7 +1,8 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, getcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +161,17 @@ def test_row_hash_tells_null_from_text(spark):
     df = spark.createDataFrame([(None, "a"), ("", "a"), ("x", "a")], "p string, q string")
     rows = [r[0] for r in df.select(t.row_hash(["p", "q"])).collect()]
     assert len(set(rows)) == 3 and all(len(r) == 16 for r in rows)
+
+
+def test_rates_and_float_texts_of_random_values(spark):
+    rng = random.Random(11)
+    pairs = [(rng.randint(0, 10 ** rng.randint(1, 15)), rng.randint(1, 10 ** rng.randint(1, 15))) for _ in range(2000)]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    getcontext().prec = 60
+    for r in df.select("a", "b", m.exact_rate(F.col("a"), F.col("b")).alias("x")).collect():
+        assert r["x"] == (Decimal(100 * r["a"]) / r["b"]).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    floats = [round(rng.uniform(-1e9, 1e9), rng.randint(0, 4)) for _ in range(2000)]
+    floats += [rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(2000)]
+    texts = t.to_text_frame(spark.createDataFrame([(x,) for x in floats], "x double")).collect()
+    assert [float(r["x"]) for r in texts] == floats
+    assert [r["x"] for r in texts[:2000]] == [repr(x) for x in floats[:2000]]
