@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions import measures as m
 from cohortlake.functions import text as t
-from cohortlake.operators import checks, cohorts, dsl, profiles
+from cohortlake.operators import checks, cohorts, consume, dsl, profiles
 from cohortlake.operators.latest import latest_partition, latest_per_key
 from cohortlake.plans.export import ExportTable
 from cohortlake.plans.release import ZONE, freshness
@@ -577,6 +577,72 @@ def refresh_control(runs: DataFrame, manifest: DataFrame, built_at: Column) -> D
     )
 
 
+# Names and types the control table promises.
+CONTROL_CONTRACT = (
+    "fonte string, ultimo_status string, ultima_carga_sucesso_local timestamp_ntz, "
+    "ultima_carga_sucesso_utc timestamp, linhas_ultima_execucao bigint, "
+    "linhas_rejeitadas_ultima_execucao bigint, nu_arquivos_carregados bigint, "
+    "linhas_disponiveis bigint, ultima_transformacao_local timestamp_ntz, fuso_horario string"
+)
+
+
+# ---- source diagnostics ----------------------------------------------------------------------
+
+
+def _with_institutions(census: DataFrame, institutions: DataFrame) -> DataFrame:
+    names = institutions.select("co_ies", "nu_ano_censo", "no_ies")
+    return census.join(names, ["co_ies", "nu_ano_censo"], "left").withColumn(
+        "ies", F.coalesce("no_ies", "co_ies")
+    )
+
+
+def funding_diagnostics(census: DataFrame) -> DataFrame:
+    """Private on-site undergraduate courses per year: missing funding parts and sums."""
+    grants = [F.col("qt_mat_prouni_integral"), F.col("qt_mat_prouni_parcial")]
+    rows = census.where("tp_rede = 2 and tp_modalidade_ensino = 1 and tp_nivel_academico = 1")
+    return consume.source_diagnostics(
+        rows,
+        "nu_ano_censo",
+        {
+            "cursos_sem_fies": F.col("qt_mat_fies").isNull(),
+            "cursos_sem_prouni": grants[0].isNull() | grants[1].isNull(),
+        },
+        {"matriculas": F.col("qt_mat"), "fies": F.col("qt_mat_fies"), "prouni": m.zero_sum(*grants)},
+    ).withColumnRenamed("nu_rows", "cursos")
+
+
+def top_institutions(
+    rows: DataFrame, institutions: DataFrame, sums: Mapping[str, str], by: str, nulls_last: bool = True
+) -> DataFrame:
+    """Five institutions per year with most of ``by``; filter ``rows`` to the part in question."""
+    top = consume.top_contributors(
+        rows,
+        institutions.select("co_ies", "nu_ano_censo", "no_ies"),
+        ["co_ies", "nu_ano_censo"],
+        "nu_ano_censo",
+        "co_ies",
+        "no_ies",
+        {name: F.sum(column) for name, column in sums.items()},
+        by,
+        nulls_last=nulls_last,
+    )
+    return top.withColumnRenamed("contributor", "ies")
+
+
+def courses_of_place(
+    census: DataFrame, institutions: DataFrame, pattern: str, n: int = 10
+) -> DataFrame:
+    """Largest on-site courses of the latest year in places whose name matches a pattern."""
+    newest = census.agg(F.max("nu_ano_censo")).scalar()
+    rows = census.where(F.col("no_municipio").ilike(pattern) & (F.col("tp_modalidade_ensino") == 1))
+    return (
+        _with_institutions(rows.where(F.col("nu_ano_censo") == newest), institutions)
+        .select("nu_ano_censo", "ies", "no_curso", "nu_vagas", "qt_ing", "qt_mat")
+        .orderBy(F.col("nu_vagas").desc_nulls_first(), "no_curso")
+        .limit(n)
+    )
+
+
 @dataclass(frozen=True)
 class Silver:
     """Relations several published tables share; each is written once."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable, Mapping
 from typing import Any
 
@@ -43,6 +44,10 @@ RETAINED = {
 }
 
 
+# Two commits into one folder must not overlap; loads of several sources may run at once.
+_writing = threading.Lock()
+
+
 def optional_parquet(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The relation at ``path``, or a typed empty one where none has arrived yet."""
     try:
@@ -67,7 +72,8 @@ class Ops:
         schema = T.StructType.fromDDL(SCHEMAS[name])
         if name not in self._made:
             # Does nothing where the relation exists already.
-            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(name))
+            with _writing:
+                self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(name))
             self._made.add(name)
         return self.spark.read.schema(schema).parquet(self.path(name))
 
@@ -80,7 +86,8 @@ class Ops:
                 for f in schema.fields
             }
             frame = self.spark.createDataFrame(pa.table(columns), schema).coalesce(1)
-            frame.write.mode("append").parquet(self.path(name))
+            with _writing:
+                frame.write.mode("append").parquet(self.path(name))
             self._made.add(name)
 
     def views(self) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions.measures import local_time
 from cohortlake.plans.landing import Lake, Source
 from cohortlake.plans.ops import Ops
+from cohortlake.session import run_together
 
 # Check outcomes that stop a publication.
 BLOCKING = ("error", "fail", "runtime error", "skipped")
@@ -139,8 +141,13 @@ class Publisher:
 
     def build(self, version: str, tables: Mapping[str, DataFrame]) -> None:
         """Write the candidate; nobody reads it before :meth:`publish` moves the pointer."""
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(self.path(version, name))
+        writes = {
+            name: partial(df.write.mode("overwrite").parquet, self.path(version, name))
+            for name, df in tables.items()
+        }
+        failed = [e for e in run_together(writes).values() if isinstance(e, Exception)]
+        if failed:
+            raise failed[0]
 
     def candidate(self, version: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(version, table))
@@ -231,11 +238,9 @@ def run_pipeline(
     version, publisher = new_version(), Publisher(lake)
     results: dict[str, str] = {}
     if skip_ingest_group is None:
-        for source in sources:
-            try:
-                results[source.name] = lake.load(source)["status"]
-            except Exception:  # noqa: BLE001 - the run log keeps the error, the gate decides
-                results[source.name] = "failed"
+        # The run log keeps the errors of failed loads; the gate decides what they mean.
+        runs = run_together({s.name: partial(lake.load, s) for s in sources})
+        results = {n: "failed" if isinstance(r, Exception) else r["status"] for n, r in runs.items()}
     else:
         runs = lake.ops.read("ingestion_runs")
         expected = lake.spark.createDataFrame([(s.name,) for s in sources], "source string")

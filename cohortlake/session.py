@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +62,23 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def run_together(calls: Mapping[str, Callable[[], Any]], at_once: int = 4) -> dict[str, Any]:
+    """Independent actions submitted from a few threads, so that small jobs share the cluster.
+
+    The value of a failed call is its exception; the caller decides what it means.
+    """
+
+    def attempt(call: Callable[[], Any]) -> Any:
+        try:
+            return call()
+        except Exception as error:  # noqa: BLE001 - handed to the caller
+            return error
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        futures = {name: pool.submit(attempt, call) for name, call in calls.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A scan with fewer partitions than cores, dealt out before heavy work per row.
 

@@ -102,8 +102,10 @@ def _expected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def orchestrated(spark: SparkSession, sf: str) -> DataFrame:
+    """The orchestration of the newest day: the last run of every expected source in it."""
     runs = base.run_log(spark, sf)
-    return release.orchestrated_results(runs, _expected(spark, sf), F.col("batch") >= 100)
+    newest = runs.agg(F.date_trunc("day", F.max("started_at")).cast("timestamp_ntz")).scalar()
+    return release.orchestrated_results(runs, _expected(spark, sf), F.col("started_at") >= newest)
 
 
 def source_gate(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,7 +227,8 @@ manifest AS (
 _ORCHESTRATED_SQL = f"""{base.RUNS_SQL},
 expected AS (SELECT source, source <> 'view' AS required FROM (
   SELECT DISTINCT source FROM runs UNION ALL SELECT 'never')),
-latest AS (SELECT * FROM runs WHERE batch >= 100
+latest AS (SELECT * FROM runs
+           WHERE started_at >= (SELECT date_trunc('day', max(started_at)) FROM runs)
            QUALIFY row_number() OVER (PARTITION BY source ORDER BY started_at DESC, run_id DESC) = 1),
 orch AS (SELECT e.source, required, coalesce(l.status, 'missing') AS status, run_id
          FROM expected e LEFT JOIN latest l ON e.source = l.source)"""

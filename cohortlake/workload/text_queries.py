@@ -156,7 +156,7 @@ def json_records_path(spark: SparkSession, sf: str) -> DataFrame:
 FILTERS: dict[str, tuple[str, object, str]] = {
     "eq": ("kind", "click", "kind = 'click'"),
     "ne": ("kind", "click", "kind <> 'click'"),
-    "in": ("user_id", [1, 2, 3, 40], "user_id IN ('1', '2', '3', '40')"),
+    "in": ("kind", ["click", "purchase"], "kind IN ('click', 'purchase')"),
     "not_in": ("kind", ["view", "click"], "kind NOT IN ('view', 'click')"),
     "gt": ("amount", 30, "TRY_CAST(amount AS DOUBLE) > 30"),
     "gte": ("amount", 12.31, "TRY_CAST(amount AS DOUBLE) >= 12.31"),

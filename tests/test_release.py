@@ -4,7 +4,9 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cohortlake.operators import checks
 from cohortlake.plans import higher_education as he
 from cohortlake.plans.export import Exporter, ExportError, ExportTable, base_columns, read_exported
 from cohortlake.plans.landing import Lake, Source
@@ -254,6 +256,15 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
     assert publisher.read("b2_financiamento_desistencia").count() == 4
     assert publisher.read("p2_desistencia_area").where("no_cine_area_geral = 'Não informada'").count() > 0
 
+    census = silver["s"].census
+    institutions = spark.createDataFrame([("1", 2021, "Uni")], "co_ies string, nu_ano_censo int, no_ies string")
+    years = {r["nu_ano_censo"]: r for r in he.funding_diagnostics(census).collect()}
+    assert set(years) == set() or all(r["cursos_sem_fies"] == 0 for r in years.values())
+    top = he.top_institutions(census, institutions, {"fies": "qt_mat_fies"}, "fies").collect()
+    assert {(r["nu_ano_censo"], r["ies"], r["position"]) for r in top} == {(2021, "Uni", 1), (2023, "1", 1)}
+    place = he.courses_of_place(census, institutions, "m%").collect()
+    assert len(place) == 10 and {r["nu_ano_censo"] for r in place} == {2023}
+
     # A republished cohort with an unreadable count is landed, but stops at the tests.
     text, _ = _trajectory(2020, 99)
     lines = text.splitlines()
@@ -270,6 +281,8 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
     control = he.refresh_control(
         lake.ops.read("ingestion_runs"), lake.ops.read("file_manifest"), F.current_timestamp()
     )
+    contract = T.StructType.fromDDL(he.CONTROL_CONTRACT)
+    assert checks.schema_differences(control, contract) == []
     held = {r["fonte"]: r for r in control.collect()}
     assert held["trajectory"]["nu_arquivos_carregados"] == 3 and held["census"]["linhas_ultima_execucao"] == 0
     assert held["exam"]["ultimo_status"] == "success" and held["exam"]["linhas_disponiveis"] == 20
