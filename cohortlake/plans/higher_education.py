@@ -18,7 +18,7 @@ from cohortlake.operators import checks, cohorts, consume, dsl, profiles
 from cohortlake.operators.latest import latest_partition, latest_per_key
 from cohortlake.plans.export import ExportTable
 from cohortlake.plans.release import ZONE, freshness
-from cohortlake.session import cut_lineage
+from cohortlake.session import all_together, cut_lineage
 
 MILESTONE = 4
 SCORE_EDITIONS = (2021, 2022, 2023)
@@ -128,6 +128,10 @@ EXAM_PATTERNS = {
     "conceito_continuo": (("conceito.*continuo", "continuo"), "numeric"),
 }
 EXAM_REQUIRED = {"co_curso": "course", "proficiencia": "proficiency"}
+POPULATION_SCHEMA = (
+    "co_municipio string, no_municipio string, co_idade string, idade string, nu_ano int, "
+    "nu_populacao bigint"
+)
 POPULATION_COLUMNS = {"text": "co_municipio no_municipio co_idade idade", "int": "nu_ano"}
 
 COURSE_ATTRIBUTES = [
@@ -661,54 +665,72 @@ class Silver:
 def build_silver(bronze: Mapping[str, DataFrame]) -> Silver:
     """``bronze``: trajectory, census, scores, and optionally exam and population."""
     spark = bronze["trajectory"].sparkSession
-    typed = cut_lineage(trajectory(bronze["trajectory"]), "trajectory")
-    acc = cut_lineage(accumulated(typed), "accumulated")
-    snapshot = cut_lineage(milestone(acc), "milestone")
-    census = cut_lineage(census_courses(bronze["census"]), "census")
-    course_year = cut_lineage(census_course_year(census), "course_year")
-    scores = course_scores(bronze["scores"])
-    exam = (
-        exam_results(bronze["exam"])
-        if "exam" in bronze
-        else spark.createDataFrame([], EXAM_SCHEMA)
+
+    def cohorts_of() -> tuple[DataFrame, ...]:
+        typed = cut_lineage(trajectory(bronze["trajectory"]), "trajectory")
+        acc = cut_lineage(accumulated(typed), "accumulated")
+        return typed, acc, cut_lineage(milestone(acc), "milestone")
+
+    def courses_of() -> tuple[DataFrame, ...]:
+        census = cut_lineage(census_courses(bronze["census"]), "census")
+        return census, cut_lineage(census_course_year(census), "course_year")
+
+    def exam_of() -> DataFrame:
+        if "exam" not in bronze:
+            return spark.createDataFrame([], EXAM_SCHEMA)
+        return cut_lineage(exam_results(bronze["exam"]), "exam")
+
+    def people_of() -> DataFrame:
+        if "population" not in bronze:
+            return spark.createDataFrame([], POPULATION_SCHEMA)
+        return population(bronze["population"])
+
+    parts = all_together(
+        {
+            "cohorts": cohorts_of,
+            "courses": courses_of,
+            "scores": lambda: cut_lineage(course_scores(bronze["scores"]), "scores"),
+            "exam": exam_of,
+        }
+    )
+    (typed, acc, snapshot), (census, course_year) = parts["cohorts"], parts["courses"]
+    later = all_together(
+        {
+            "outcome": lambda: cut_lineage(course_outcome(snapshot, parts["scores"]), "outcome"),
+            "profile": lambda: cut_lineage(social_profile(course_year), "profile"),
+        }
     )
-    people = (
-        population(bronze["population"])
-        if "population" in bronze
-        else spark.createDataFrame(
-            [], "co_municipio string, no_municipio string, co_idade string, idade string, "
-            "nu_ano int, nu_populacao bigint",
-        )
-    )
     return Silver(
         typed,
         acc,
         snapshot,
         census,
         course_year,
-        cut_lineage(course_outcome(snapshot, scores), "outcome"),
-        social_profile(course_year),
-        cut_lineage(exam, "exam"),
-        people,
+        later["outcome"],
+        later["profile"],
+        parts["exam"],
+        people_of(),
     )
 
 
 def build_gold(s: Silver) -> dict[str, DataFrame]:
-    return {
-        "p1_trajetoria_coorte": cohort_curve(s.accumulated),
-        "p2_desistencia_curso": course_milestone(s.milestone),
-        "p2_desistencia_area": area_curve(s.accumulated),
-        "p3_rede_modalidade_ano": yearly_churn(s.course_year),
-        "p4_qualidade_curso": quality_courses(s.outcome),
-        "p4_qualidade_faixa": quality_bands(s.outcome),
-        "p4_fatores": score_factors(s.outcome),
-        "p5_licenciaturas_curso": teaching_courses(s.outcome, s.exam),
-        "p5_funil_licenciaturas": teaching_funnel(s.outcome, s.exam),
-        "b1_desertos_municipio": supply_deserts(s.population, s.census),
-        "b2_financiamento_ano": funding_years(s.course_year),
-        "b2_financiamento_desistencia": funding_outcome(s.outcome, s.course_year),
-        "s1_fator_social_desistencia": social_outcome(s.outcome, s.profile),
+    plans = {
+        "p1_trajetoria_coorte": lambda: cohort_curve(s.accumulated),
+        "p2_desistencia_curso": lambda: course_milestone(s.milestone),
+        "p2_desistencia_area": lambda: area_curve(s.accumulated),
+        "p3_rede_modalidade_ano": lambda: yearly_churn(s.course_year),
+        "p4_qualidade_curso": lambda: quality_courses(s.outcome),
+        "p4_qualidade_faixa": lambda: quality_bands(s.outcome),
+        "p4_fatores": lambda: score_factors(s.outcome),
+        "p5_licenciaturas_curso": lambda: teaching_courses(s.outcome, s.exam),
+        "p5_funil_licenciaturas": lambda: teaching_funnel(s.outcome, s.exam),
+        "b1_desertos_municipio": lambda: supply_deserts(s.population, s.census),
+        "b2_financiamento_ano": lambda: funding_years(s.course_year),
+        "b2_financiamento_desistencia": lambda: funding_outcome(s.outcome, s.course_year),
+        "s1_fator_social_desistencia": lambda: social_outcome(s.outcome, s.profile),
     }
+    # The quartile tables sort their rows while they are planned; the others only describe work.
+    return all_together(plans)
 
 
 # Published table -> key columns, and base column of its export (none: not suppressed).

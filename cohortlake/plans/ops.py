@@ -108,9 +108,9 @@ class Ops:
             removed[name] = counts.first()["removed"]
             if removed[name]:
                 spare = f"{self.path(name)}_kept"
-                kept.coalesce(1).write.mode("overwrite").parquet(spare)
+                kept.write.mode("overwrite").parquet(spare)
                 safe = self.spark.read.schema(SCHEMAS[name]).parquet(spare)
-                safe.coalesce(1).write.mode("overwrite").parquet(self.path(name))
+                safe.write.mode("overwrite").parquet(self.path(name))
         return removed
 
 

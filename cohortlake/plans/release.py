@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions.measures import local_time
 from cohortlake.plans.landing import Lake, Source
 from cohortlake.plans.ops import Ops
-from cohortlake.session import run_together
+from cohortlake.session import all_together, run_together
 
 # Check outcomes that stop a publication.
 BLOCKING = ("error", "fail", "runtime error", "skipped")
@@ -145,9 +145,7 @@ class Publisher:
             name: partial(df.write.mode("overwrite").parquet, self.path(version, name))
             for name, df in tables.items()
         }
-        failed = [e for e in run_together(writes).values() if isinstance(e, Exception)]
-        if failed:
-            raise failed[0]
+        all_together(writes)
 
     def candidate(self, version: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(version, table))

@@ -79,6 +79,15 @@ def run_together(calls: Mapping[str, Callable[[], Any]], at_once: int = 4) -> di
         return {name: future.result() for name, future in futures.items()}
 
 
+def all_together(calls: Mapping[str, Callable[[], Any]], at_once: int = 4) -> dict[str, Any]:
+    """The same where every call must succeed: the first failure is raised when all have ended."""
+    results = run_together(calls, at_once)
+    for value in results.values():
+        if isinstance(value, Exception):
+            raise value
+    return results
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A scan with fewer partitions than cores, dealt out before heavy work per row.
 

@@ -179,9 +179,13 @@ def decode_files(files: DataFrame, options: DecodeOptions = DecodeOptions()) ->
 
 
 def record_columns(rows: DataFrame) -> list[str]:
-    """All column names of decoded rows, in order of arrival (bounded by the layouts' width)."""
+    """All column names of decoded rows, in order of arrival.
+
+    Rows of one file member share their names, so its first row stands for all.
+    """
     first = (
-        rows.select("file_uri", "row_no", F.posexplode(F.map_keys("record")).alias("at", "name"))
+        rows.where("row_no = 1")
+        .select("file_uri", F.posexplode(F.map_keys("record")).alias("at", "name"))
         .groupBy("name")
         .agg(F.min(F.struct("file_uri", "at")).alias("seen"))
         .orderBy("seen")
@@ -196,7 +200,7 @@ def spread_records(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def file_layouts(rows: DataFrame) -> DataFrame:
-    """Column names of every file (rows of one file share their names)."""
-    return rows.groupBy("file_uri").agg(
+    """Column names of every file, all its members together."""
+    return rows.where("row_no = 1").groupBy("file_uri").agg(
         F.array_distinct(F.flatten(F.collect_set(F.map_keys("record")))).alias("header")
     )

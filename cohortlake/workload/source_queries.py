@@ -34,7 +34,7 @@ def _by_language(values: dict[str, object]) -> Column:
     return out
 
 
-def _as_file(text: Column) -> DataFrame:
+def _as_file(text: Column) -> Column:
     """Bytes of a text in the encoding of its language, with a mark for French."""
     plain = F.encode(text, "UTF-8")
     latin = F.encode(F.regexp_replace(text, NOT_LATIN, "?"), "ISO-8859-1")
