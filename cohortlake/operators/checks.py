@@ -54,16 +54,16 @@ def flow_unbalanced(parts: Sequence[str], whole: str) -> Column:
 
 
 def row_count_equal(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Both sides are one-row aggregates."""
+    """A row with both counts where they differ."""
     left = a.agg(F.count(F.lit(1)).alias("model"))
-    right = b.agg(F.count(F.lit(1)).alias("reference"))
-    return left.crossJoin(F.broadcast(right)).where("model <> reference")
+    right = b.agg(F.count(F.lit(1))).scalar()
+    return left.withColumn("reference", right).where("model <> reference")
 
 
 def sum_equal(a: DataFrame, column: str, b: DataFrame, other: str) -> DataFrame:
     left = a.agg(F.coalesce(F.sum(column), F.lit(0)).alias("model"))
-    right = b.agg(F.coalesce(F.sum(other), F.lit(0)).alias("reference"))
-    return left.crossJoin(F.broadcast(right)).where("model <> reference")
+    right = b.agg(F.coalesce(F.sum(other), F.lit(0))).scalar()
+    return left.withColumn("reference", right).where("model <> reference")
 
 
 def join_coverage(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:

@@ -280,14 +280,13 @@ def supply_gaps(
             F.sum(entrants).alias(entrants),
         )
     )
-    # ``latest`` is an aggregate without groups: one row, whatever the data.
-    rows = everyone.join(offered, place, "left").crossJoin(F.broadcast(latest))
+    rows = everyone.join(offered, place, "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("nu_offers", seats, entrants)}
     hidden = zero[entrants].between(1, min_cell - 1)
     return rows.select(
         place,
         name,
-        year,
+        latest.scalar().alias(year),
         people,
         zero["nu_offers"].alias("nu_offers"),
         zero[seats].alias(seats),
@@ -331,8 +330,8 @@ def funding_by_year(
 def repair_scale(df: DataFrame, column: str, name: str) -> DataFrame:
     """Percentages delivered as fractions: if the greatest value is at most 1, times 100.
 
-    The maximum is a one-row aggregate joined back, not a window over the whole relation.
+    The maximum is a scalar subquery, not a window over the whole relation.
     """
-    top = df.agg(F.max(column).alias("_top"))
-    fixed = F.when(F.col("_top") <= 1, F.col(column) * 100).otherwise(F.col(column))
-    return df.crossJoin(F.broadcast(top)).withColumn(name, fixed).drop("_top")
+    top = df.agg(F.max(column)).scalar()
+    fixed = F.when(top <= 1, F.col(column) * 100).otherwise(F.col(column))
+    return df.withColumn(name, fixed)
