@@ -34,6 +34,8 @@ SCHEMAS = {
     "publications": """
         version string, status string, published_at timestamp, previous string, reason string,
         sources string, checks string""",
+    "published_files": """
+        version string, source string, sha256 string, file_uri string, rows_loaded bigint""",
     "pointer": "changed_at timestamp, current string, previous string",
 }
 # Relations under retention and their time column.
@@ -90,6 +92,14 @@ class Ops:
                 frame.write.mode("append").parquet(self.path(name))
             self._made.add(name)
 
+    def append_frame(self, name: str, rows: DataFrame) -> None:
+        """Append rows Spark already holds; they do not pass through the driver."""
+        schema = T.StructType.fromDDL(SCHEMAS[name])
+        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        with _writing:
+            typed.write.mode("append").parquet(self.path(name))
+        self._made.add(name)
+
     def views(self) -> dict[str, DataFrame]:
         """What an operator looks at: publications, runs, files per source, new columns."""
         return {

@@ -171,11 +171,19 @@ class Publisher:
             "checks": json.dumps(checks or [], ensure_ascii=False, default=str),
         }
         if not reason:
+            held = self.ops.read("file_manifest").withColumn("version", F.lit(version))
+            self.ops.append_frame("published_files", held)
             self._point(version, current)
         self.ops.append("publications", [record])
         outcome = {"status": record["status"], "version": version, "reason": reason}
         return outcome | ({"kept": current} if reason else {"previous": current})
 
+    def release(self) -> tuple[DataFrame, DataFrame]:
+        """The newest published record with its checks, and the files behind that version."""
+        record = latest_release(self.ops.read("publications"))
+        files = self.ops.read("published_files").join(record.select("version"), "version", "left_semi")
+        return record, files
+
     def rollback(self) -> dict[str, Any]:
         """Swap current and previous; without a previous version nothing happens."""
         current, previous = self.pointer()
@@ -195,25 +203,21 @@ class Publisher:
 def source_gate(
     lake: Lake, sources: Sequence[Source], results: Mapping[str, str]
 ) -> tuple[list[str], dict[str, Any]]:
-    """Gate over landed sources: problems and the rows and files behind each source."""
+    """Gate over landed sources: problems and the number of rows and files behind each source."""
     spark = lake.spark
     expected = spark.createDataFrame(
         [(s.name, s.required, results.get(s.name)) for s in sources],
         "source string, required boolean, status string",
     )
     loaded, held = [], {}
-    files = lake.ops.read("file_manifest").select("source", "file_uri", "sha256", "rows_loaded")
-    by_source: dict[str, list[dict[str, Any]]] = {}
-    for f in files.orderBy("file_uri").collect():
-        by_source.setdefault(f["source"], []).append(
-            {"file": f["file_uri"].rsplit("/", 1)[-1], "sha256": f["sha256"], "rows": f["rows_loaded"]}
-        )
+    manifest = lake.ops.read("file_manifest").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    files = {r["source"]: r["n"] for r in manifest.collect()}
     for s in sources:
         columns = lake.columns(s.target)
         rows = lake.bronze(s).count() if columns else None
         missing = [c for c in s.essential if c not in columns]
         loaded.append((s.name, rows, missing))
-        held[s.name] = {"rows": rows or 0, "files": by_source.get(s.name, [])}
+        held[s.name] = {"rows": rows or 0, "files": files.get(s.name, 0), "required": s.required}
     state = spark.createDataFrame(
         loaded, "source string, rows bigint, missing_columns array<string>"
     )

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,26 +92,27 @@ def read_layout(
     return rows.select(*clean, checked.alias("_source_file"))
 
 
-def read_profiled(spark: SparkSession, profiles: Sequence[Row], quote: str = '"') -> DataFrame:
-    """Profiled files united by column name: one scan per distinct layout."""
-    layouts: dict[tuple, list[str]] = {}
-    for file in profiles:
-        names = tuple(normalize_columns(file["header"]))
-        key = (names, file["sep"], file["encoding"], file["skip"], file["is_split_safe"])
-        layouts.setdefault(key, []).append(file["path"])
-    scans = [
-        read_layout(spark, paths, names, sep, encoding, skip, quote, safe)
-        for (names, sep, encoding, skip, safe), paths in layouts.items()
-        if names
-    ]
-    if not scans:
-        return spark.createDataFrame([], "_source_file string")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-
-
 def read_delimited(spark: SparkSession, profiles: DataFrame, quote: str = '"') -> DataFrame:
-    """All files of a dialect profile.
+    """All files of a dialect profile, united by column name: one scan per distinct layout.
 
-    The driver sees one short row per file, as Spark's own file index does.
+    The driver sees the few layouts and one path per file, as Spark's own file index does.
     """
-    return read_profiled(spark, profiles.orderBy("file_uri").collect(), quote)
+    layout = F.struct("header", "sep", "encoding", "skip", "is_split_safe")
+    keyed = profiles.withColumn("_layout", layout)
+    keyed = keyed.withColumn("_key", F.md5(F.to_json("_layout").cast("binary")))
+    shapes = keyed.groupBy("_key").agg(
+        F.any_value("_layout").alias("layout"), F.min("file_uri").alias("first")
+    )
+    paths: dict[str, list[str]] = defaultdict(list)
+    for file in keyed.select("_key", "path").orderBy("path").collect():
+        paths[file["_key"]].append(file["path"])
+    scans = []
+    for shape in shapes.orderBy("first").collect():
+        header, sep, encoding, skip, safe = shape["layout"]
+        if names := normalize_columns(header):
+            scans.append(
+                read_layout(spark, paths[shape["_key"]], names, sep, encoding, skip, quote, safe)
+            )
+    if not scans:
+        return spark.createDataFrame([], "_source_file string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)

@@ -244,6 +244,8 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
         assert row["taxa_desistencia_acum"] == pytest.approx(
             100 * sum(f["QT_DESISTENCIA"] for f in upto) / base, abs=0.005001
         )
+    record, files = publisher.release()
+    assert record.first()["version"] == summary["version"] and files.count() == 8
     funnel = {r["rede"]: r for r in publisher.read("p5_funil_licenciaturas").collect()}
     assert set(funnel) == {"Pública", "Privada", "Total"}
     assert funnel["Total"]["nu_cursos_enade"] == 20
