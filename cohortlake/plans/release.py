@@ -239,16 +239,19 @@ def run_pipeline(
     """
     version, publisher = new_version(), Publisher(lake)
     results: dict[str, str] = {}
+    errors: dict[str, str] = {}
     if skip_ingest_group is None:
         # The run log keeps the errors of failed loads; the gate decides what they mean.
         runs = run_together({s.name: partial(lake.load, s) for s in sources})
-        results = {n: "failed" if isinstance(r, Exception) else r["status"] for n, r in runs.items()}
+        errors = {n: f"{type(r).__name__}: {r}" for n, r in runs.items() if isinstance(r, Exception)}
+        results = {n: "failed" if n in errors else r["status"] for n, r in runs.items()}
     else:
         runs = lake.ops.read("ingestion_runs")
         expected = lake.spark.createDataFrame([(s.name,) for s in sources], "source string")
         latest = orchestrated_results(runs, expected, F.col("group_id") == skip_ingest_group)
         results = {r["source"]: r["status"] for r in latest.collect()}
     problems, held = source_gate(lake, sources, results)
+    problems = [f"{p} ({errors[n]})" if (n := p.split(":")[0]) in errors else p for p in problems]
     summary: dict[str, Any] = {"version": version, "ingest": results, "problems": problems}
     names: list[str] = []
     checks: list[dict[str, Any]] = []

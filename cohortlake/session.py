@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable, Mapping
@@ -13,6 +14,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipping = threading.Lock()
+
+
 def build_session(app: str = "cohortlake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library expects; cluster settings win over none of them."""
     builder = SparkSession.builder.appName(app)
@@ -102,15 +106,16 @@ def ship_package(spark: SparkSession) -> None:
 
     A cluster that installs it on every node needs nothing of this; adding it again is harmless.
     """
-    if getattr(spark, "_cohortlake_shipped", False):
-        return
-    home = Path(__file__).resolve().parent
-    bundle = Path(tempfile.mkdtemp(prefix="cohortlake-")) / "cohortlake.zip"
-    with zipfile.ZipFile(bundle, "w") as archive:
-        for source in sorted(home.rglob("*.py")):
-            archive.write(source, source.relative_to(home.parent))
-    spark.sparkContext.addPyFile(str(bundle))
-    spark._cohortlake_shipped = True
+    with _shipping:
+        if getattr(spark, "_cohortlake_shipped", False):
+            return
+        home = Path(__file__).resolve().parent
+        bundle = Path(tempfile.mkdtemp(prefix="cohortlake-")) / "cohortlake.zip"
+        with zipfile.ZipFile(bundle, "w") as archive:
+            for source in sorted(home.rglob("*.py")):
+                archive.write(source, source.relative_to(home.parent))
+        spark.sparkContext.addPyFile(str(bundle))
+        spark._cohortlake_shipped = True
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
