@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import revisits, topk
+from cohortlake.llm import revisits, tokencount, topk
 from cohortlake.llm.common import documents, ship_package, table
 
 
@@ -114,5 +114,20 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
-QUERIES = {"op1_revisits": op1_revisits, "op5_topk": op5_topk}
+def piece_model() -> str:
+    """Place of the tokenizer file on this machine; the package is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return tokencount.token_counts(documents(spark, sf, "doc_id", "text"), piece_model())
+
+
+QUERIES = {
+    "op1_revisits": op1_revisits,
+    "op3_token_counts": op3_token_counts,
+    "op5_topk": op5_topk,
+}
 ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL}
