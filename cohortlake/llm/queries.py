@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import revisits, tokencount, topk
-from cohortlake.llm.common import documents, ship_package, table
+from cohortlake.llm import langid, revisits, tokencount, topk
+from cohortlake.llm.common import documents, ship_package, table, third
 
 
 def captures(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,9 +125,18 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf, "doc_id", "text"), piece_model())
 
 
+def op7_langid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf, "doc_id", "text", "lang")
+    held_out = F.coalesce(third("doc_id", 4) == 2, F.lit(False))
+    model = langid.train(docs.where(third("doc_id", 4) != 2))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_revisits": op1_revisits,
     "op3_token_counts": op3_token_counts,
     "op5_topk": op5_topk,
+    "op7_langid": op7_langid,
 }
 ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL}
