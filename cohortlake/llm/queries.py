@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import langid, revisits, tokencount, topk
+from cohortlake.llm import langid, revisits, simhash, tokencount, topk
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -114,6 +114,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf, "doc_id", "text"))
+
+
 def piece_model() -> str:
     """Place of the tokenizer file on this machine; the package is installed on every executor."""
     import public_tokenizers
@@ -135,6 +139,7 @@ def op7_langid(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_revisits": op1_revisits,
+    "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
     "op5_topk": op5_topk,
     "op7_langid": op7_langid,
