@@ -1,10 +1,14 @@
 """Frequencies of text units in documents, and sums of unit values over documents.
 
-Documents are read in blocks of some megabytes. A block gives one row for each distinct unit with the
-block's documents that hold it, so a unit that stands in every document costs one row a block, and a
-join on units sees blocks times distinct units instead of documents times distinct units. Values of
-units are joined to these rows, added up for each document where the rows are, and the sums go back
-to the block.
+Documents are read in blocks of some megabytes. The distinct units of a block are dealt into buckets
+by their hash, and a (block, bucket) pair is one packed row: units, the places of the block's
+documents that hold them, and frequencies. All rows of a unit thus meet in one bucket, where its value
+is found once; the sums go back to the block. A shuffle moves packed columns instead of one row for
+each unit of each document.
+
+A hot unit, one in more than an eighth of a block's documents, would send all its postings to one
+bucket. Such units of a block are packed apart and dealt by block instead; there are at most eight
+times as many as a document has distinct units on average.
 """
 
 from __future__ import annotations
@@ -12,32 +16,59 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut_lineage, flat, gathered, lists
+from cohortlake.llm.common import cut_lineage, flat, gathered, lists, shuffle_partitions
 
 #: Bytes of text in a block. Memory of a task is some multiple of it, whatever the table's size.
 BLOCK_BYTES = 24 << 20
 #: Sums a task holds before it hands them on.
-HELD_SUMS = 4 << 20
-_SCHEMA = (
-    "block long, unit binary, at array<int>, times array<int>, training long, "
+HELD_SUMS = 2 << 20
+#: Share of a block's documents from which a unit is hot: one in so many.
+HOT = 8
+POSTINGS = (
+    "block long, bucket int, n_docs int, packed binary, "
     "doc_ids array<long>, n_bytes array<long>, trained array<boolean>"
 )
 #: Units of a column of texts: the units, and the index of the text of each.
 Units = Callable[[pa.Array], tuple[pa.Array, np.ndarray]]
 
 
+def packed_columns(columns: dict[str, pa.Array]) -> bytes:
+    batch = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
+
+
+def bucket_of(units: pa.Array, buckets: int) -> np.ndarray:
+    """Bucket of each unit, the same on every machine."""
+    named = np.array(units.to_pylist() + [b""], dtype=object)[:-1]
+    return (pd.util.hash_array(named, categorize=False) % np.uint64(buckets)).astype(np.int32)
+
+
+def bucket_count(df: DataFrame) -> int:
+    return 4 * shuffle_partitions(df.sparkSession)
+
+
 def block_postings(docs: DataFrame, units: Units, label: str) -> DataFrame:
     """Postings of ``docs`` (doc_id long, text string, training boolean), written once.
 
-    Two kinds of rows: a unit of a block (``unit, at, times, training``: places of documents in the
-    block, frequencies, tokens in training documents), and the block itself (``unit`` null; ``doc_ids,
-    n_bytes, trained`` by place). Every input row is a document of its own, repeated ids too.
+    Rows: ``bucket`` null: the block itself (``doc_ids, n_bytes, trained`` by place); 0 and up: a
+    bucket's units; below 0: hot units of a block. ``packed``: unit, at, times, and ``training``, the
+    unit's frequency in the block's training documents. Every input row is a document of its own,
+    repeated ids too.
     """
+    buckets = bucket_count(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -46,88 +77,149 @@ def block_postings(docs: DataFrame, units: Units, label: str) -> DataFrame:
         for batch in gathered(batches, "text", BLOCK_BYTES):
             texts = pc.fill_null(batch.column("text"), "")
             training = pc.fill_null(batch.column("training"), False)
-            yield _block_row(block, batch.column("doc_id"), pc.binary_length(texts), training)
+            n = len(texts)
+            whole = pa.array([0, n], pa.int32())
+            make = pa.ListArray.from_arrays
+            yield _row(
+                1, block, n,
+                doc_ids=make(whole, batch.column("doc_id")),
+                n_bytes=make(whole, pc.binary_length(texts).cast(pa.int64())),
+                trained=make(whole, training),
+            )
             words, owner = units(texts)
-            yield from _unit_rows(block, words, owner, training.to_numpy(zero_copy_only=False), len(texts))
+            if len(words):
+                yield _unit_rows(block, words, owner, training.to_numpy(zero_copy_only=False), n, buckets)
             block += 1
 
-    rows = docs.select("doc_id", "text", "training").mapInArrow(run, _SCHEMA)
+    rows = docs.select("doc_id", "text", "training").mapInArrow(run, POSTINGS)
     return cut_lineage(rows, label)
 
 
-def _row(n: int, **columns: pa.Array) -> pa.RecordBatch:
+def _row(n: int, block: int, n_docs: int, **columns: pa.Array) -> pa.RecordBatch:
     kinds = {
-        "block": pa.int64(), "unit": pa.binary(), "at": pa.list_(pa.int32()), "times": pa.list_(pa.int32()),
-        "training": pa.int64(), "doc_ids": pa.list_(pa.int64()), "n_bytes": pa.list_(pa.int64()),
-        "trained": pa.list_(pa.bool_()),
+        "bucket": pa.int32(), "packed": pa.binary(), "doc_ids": pa.list_(pa.int64()),
+        "n_bytes": pa.list_(pa.int64()), "trained": pa.list_(pa.bool_()),
     }
-    return pa.RecordBatch.from_arrays(
-        [columns[c] if c in columns else pa.nulls(n, kind) for c, kind in kinds.items()], names=list(kinds)
-    )
-
-
-def _block_row(block: int, ids: pa.Array, sizes: pa.Array, training: pa.Array) -> pa.RecordBatch:
-    whole = pa.array([0, len(ids)], pa.int32())
-    make = pa.ListArray.from_arrays
-    return _row(
-        1,
-        block=pa.array([block], pa.int64()),
-        doc_ids=make(whole, ids),
-        n_bytes=make(whole, sizes.cast(pa.int64())),
-        trained=make(whole, training),
-    )
+    columns |= {"block": pa.array([block] * n, pa.int64()), "n_docs": pa.array([n_docs] * n, pa.int32())}
+    names = ["block", "bucket", "n_docs", "packed", "doc_ids", "n_bytes", "trained"]
+    return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, kinds[c]) for c in names], names=names)
 
 
 def _unit_rows(
-    block: int, words: pa.Array, owner: np.ndarray, training: np.ndarray, n_docs: int
-) -> Iterator[pa.RecordBatch]:
-    if not len(words):
-        return
+    block: int, words: pa.Array, owner: np.ndarray, training: np.ndarray, n_docs: int, buckets: int
+) -> pa.RecordBatch:
     coded = words.dictionary_encode()
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.combine_chunks()
-    key = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n_docs + owner
+    names = coded.dictionary.cast(pa.large_binary()).cast(pa.binary())
+    home = bucket_of(names, buckets)
+    # Units in order of bucket and bytes, so that like ones are packed side by side.
+    order = np.lexsort((pc.rank(names, tiebreaker="first").to_numpy(), home))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    key = place[coded.indices.to_numpy(zero_copy_only=False)] * n_docs + owner
     key.sort()
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    times = np.diff(np.r_[first, len(key)])
+    times = np.diff(np.r_[first, len(key)]).astype(np.int32)
     unit, at = np.divmod(key[first], n_docs)
+    at = at.astype(np.int32)
     starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-    seen = np.add.reduceat(times * training[at], starts)
-    offsets = np.r_[starts, len(unit)]
-    names = coded.dictionary.cast(pa.large_binary()).cast(pa.binary())
-    for begin in range(0, len(starts), 50_000):
-        end = min(begin + 50_000, len(starts))
-        low, high = offsets[begin], offsets[end]
-        yield _row(
-            end - begin,
-            block=pa.array(np.full(end - begin, block, np.int64)),
-            unit=names.take(pa.array(unit[starts[begin:end]])),
-            at=lists(at[low:high].astype(np.int32), offsets[begin : end + 1] - low),
-            times=lists(times[low:high].astype(np.int32), offsets[begin : end + 1] - low),
-            training=pa.array(seen[begin:end].astype(np.int64)),
+    sizes = np.diff(np.r_[starts, len(unit)])
+    seen = np.add.reduceat(times * training[at].astype(np.int64), starts)
+    home, names = home[order], names.take(pa.array(order))
+    hot = sizes * HOT > max(n_docs, 4 * HOT)
+
+    def pack(chosen: np.ndarray) -> bytes:
+        lengths = sizes[chosen]
+        if len(chosen) and chosen[-1] - chosen[0] + 1 == len(chosen):
+            rows = slice(starts[chosen[0]], starts[chosen[-1]] + lengths[-1])
+        else:
+            rows = np.repeat(starts[chosen] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        ends = np.r_[0, np.cumsum(lengths)]
+        return packed_columns(
+            {"unit": names.take(pa.array(chosen)), "at": lists(at[rows], ends), "times": lists(times[rows], ends), "training": pa.array(seen[chosen])}
         )
 
-
-def sums_by_document(postings: DataFrame, values: DataFrame, names: list[str]) -> DataFrame:
+    bounds = np.searchsorted(home, np.arange(buckets + 1))
+    out: list[tuple[int, bytes]] = []
+    for b in range(buckets):
+        own = np.arange(bounds[b], bounds[b + 1])
+        own = own[~hot[own]]
+        if len(own):
+            out.append((b, pack(own)))
+    if hot.any():
+        out.append((-1 - int(block % buckets), pack(np.flatnonzero(hot))))
+    return _row(
+        len(out), block, n_docs,
+        bucket=pa.array([b for b, _ in out], pa.int32()), packed=pa.array([p for _, p in out], pa.binary()),
+    )
+
+
+class HeldSums:
+    """Sums by block and place; handed on when there are many."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.names = names
+        self.held: dict[int, np.ndarray] = {}
+        self.cells = 0
+
+    def add(self, block: int, n_docs: int, at: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """values: one row for each name, one column for each entry of ``at``."""
+        if block not in self.held:
+            if self.cells and self.cells + n_docs > HELD_SUMS:
+                yield from self.flush()
+            self.held[block] = np.zeros((len(self.names), n_docs))
+            self.cells += n_docs
+        for total, v in zip(self.held[block], values, strict=True):
+            total += np.bincount(at, weights=v, minlength=n_docs)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for block, sums in self.held.items():
+            at = np.flatnonzero(sums.any(0))
+            whole = np.array([0, len(at)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), lists(at.astype(np.int32), whole), *(lists(s[at], whole) for s in sums)],
+                names=["block", "at", *self.names],
+            )
+        self.held, self.cells = {}, 0
+
+    def schema(self) -> str:
+        return "block long, at array<int>, " + ", ".join(f"{n} array<double>" for n in self.names)
+
+
+def sums_by_document(postings: DataFrame, value_of: Callable[[], Callable], names: list[str]) -> DataFrame:
     """``doc_id, n_bytes, training`` and, for each of ``names``, the sum over the document's units of
-    frequency times value. ``values``: one row for each unit (``unit`` and ``names``, doubles); units
-    without a row count as zero. A document without units has sums of zero.
-
-    A unit that stands in most blocks is one key of many rows; the join is a plain equi-join that
-    adaptive execution splits there.
+    frequency times value. ``value_of()`` gives, in a task, a function from units to one array of
+    values for each name; it sees a unit once in a bucket. A document without units has sums of zero.
     """
-    joined = postings.where("unit is not null").select("unit", "block", "at", "times").join(values, "unit")
-    lists_of = ", ".join(f"{n} array<double>" for n in names)
-    parts = joined.select("block", "at", "times", *names).mapInArrow(
-        lambda b: _partial_sums(b, names), f"block long, at array<int>, {lists_of}"
-    )
-    blocks = postings.where("unit is null").select("block", "doc_ids", "n_bytes", "trained")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function, held = value_of(), HeldSums(names)
+        known: dict[bytes, tuple] = {}
+        for batch in batches:
+            for block, n_docs, data in zip(*(batch.column(c).to_pylist() for c in ("block", "n_docs", "packed")), strict=True):
+                rows = unpacked(data)
+                units = rows.column("unit").to_pylist()
+                fresh = [u for u in units if u not in known]
+                if fresh:
+                    known.update(zip(fresh, zip(*function(fresh), strict=True), strict=True))
+                values = np.array([known[u] for u in units], float).T
+                at, lengths = flat(rows.column("at"))
+                times, _ = flat(rows.column("times"))
+                yield from held.add(block, n_docs, at, np.repeat(values, lengths, axis=1) * times)
+        yield from held.flush()
+
+    parts = shuffle_partitions(postings.sparkSession)
+    dealt = postings.where("bucket is not null").select("block", "bucket", "n_docs", "packed").repartition(parts, "bucket")
+    return finished(postings, dealt.mapInArrow(run, HeldSums(names).schema()), names)
+
+
+def finished(postings: DataFrame, parts: DataFrame, names: list[str]) -> DataFrame:
+    """Sums of parts, by document."""
+    blocks = postings.where("bucket is null").select("block", "doc_ids", "n_bytes", "trained")
     both = parts.unionByName(blocks, allowMissingColumns=True)
     out = ", ".join(f"{n} double" for n in names)
 
     def finish(rows: pa.Table) -> pa.Table:
         own = rows.filter(pc.is_valid(rows.column("doc_ids"))).slice(0, 1)
-        ids, _ = flat(own.column("doc_ids"))
         kept = rows.filter(pc.is_valid(rows.column("at")))
         at, _ = flat(kept.column("at"))
         columns = {
@@ -137,67 +229,7 @@ def sums_by_document(postings: DataFrame, values: DataFrame, names: list[str]) -
         }
         for name in names:
             v, _ = flat(kept.column(name))
-            columns[name] = pa.array(np.bincount(at, weights=v, minlength=len(ids)).astype(float))
+            columns[name] = pa.array(np.bincount(at, weights=v, minlength=len(columns["doc_id"])).astype(float))
         return pa.table(columns)
 
     return both.groupBy("block").applyInArrow(finish, f"doc_id long, n_bytes long, training boolean, {out}")
-
-
-def _partial_sums(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    keys: list[np.ndarray] = []
-    held: list[np.ndarray] = []
-    size = 0
-
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        k, v = np.concatenate(keys), np.concatenate(held, axis=1)
-        order = np.argsort(k, kind="stable")
-        k = k[order]
-        first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-        return k[first], np.add.reduceat(v[:, order], first, axis=1)
-
-    def handed(k: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        # block numbers are below 2**63, so block and place are kept as two fields of one key
-        block, at = k["block"], k["at"]
-        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        offsets = np.r_[starts, len(k)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(block[starts]), lists(at, offsets), *(lists(x, offsets) for x in v)],
-            names=["block", "at", *names],
-        )
-
-    codes: dict[int, int] = {}
-    back: list[int] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal keys, held, size
-        if keys:
-            k, v = merged()
-            pair = np.empty(len(k), [("block", np.int64), ("at", np.int32)])
-            pair["block"] = np.array(back, np.int64)[k >> 32]
-            pair["at"] = k & 0xFFFFFFFF
-            yield handed(pair, v)
-        keys, held, size = [], [], 0
-
-    for batch in batches:
-        at, lengths = flat(batch.column("at"))
-        if not len(at):
-            continue
-        times, _ = flat(batch.column("times"))
-        blocks = batch.column("block").to_numpy(zero_copy_only=False)
-        some, inverse = np.unique(blocks, return_inverse=True)
-        for b in some:
-            if int(b) not in codes:
-                codes[int(b)] = len(back)
-                back.append(int(b))
-        code = np.array([codes[int(b)] for b in some], np.int64)[inverse]
-        keys.append(np.repeat(code, lengths) << 32 | at)
-        held.append(
-            np.stack([np.repeat(batch.column(n).to_numpy(zero_copy_only=False), lengths) * times for n in names])
-        )
-        size += len(at)
-        if size > HELD_SUMS:
-            k, v = merged()
-            keys, held, size = [k], [v], len(k)
-            if size > HELD_SUMS // 2:
-                yield from flush()
-    yield from flush()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import langid, revisits, simhash, suffix_dedup, tokencount, topk
+from cohortlake.llm import decontaminate, langid, revisits, simhash, suffix_dedup, tokencount, topk
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -137,6 +137,11 @@ def op7_langid(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf, "doc_id", "text")
+    return decontaminate.contaminated_pairs(docs, table(spark, sf, "benchmark").select("item_id", "text"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf, "doc_id", "text"))
 
@@ -147,6 +152,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_topk": op5_topk,
     "op7_langid": op7_langid,
+    "op9_decontaminate": op9_decontaminate,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL}

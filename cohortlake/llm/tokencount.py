@@ -8,7 +8,6 @@ pre-tokens that the library encodes alone exactly as within the text. ``check_mo
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -92,17 +91,12 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     check_model(model_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(False).alias("training"))
     postings = block_postings(rows, pre_tokens, "pre-tokens")
-    distinct = postings.where("unit is not null").select("unit").distinct()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def value_of():
         sp = load_model(model_path)
-        for batch in batches:
-            units = batch.column("unit")
-            n = count_pieces(sp, units.cast(pa.string()).to_pylist())
-            yield pa.RecordBatch.from_arrays([units, pa.array(n.astype(float))], names=["unit", "pieces"])
+        return lambda units: [count_pieces(sp, [u.decode() for u in units])]
 
-    pieces = distinct.mapInArrow(count, "unit binary, pieces double")
     tokens = F.col("pieces").cast("long")
-    return sums_by_document(postings, pieces, ["pieces"]).select(
+    return sums_by_document(postings, value_of, ["pieces"]).select(
         "doc_id", "n_bytes", tokens.alias("n_tokens"), (tokens > limit).alias("over_limit")
     )
