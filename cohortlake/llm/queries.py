@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import decontaminate, langid, revisits, simhash, suffix_dedup, tokencount, topk
+from cohortlake.llm import decontaminate, langid, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -91,6 +91,10 @@ FROM judged
 """
 
 
+def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return sentencepiece_fst.encode_documents(documents(spark, sf, "doc_id", "text"), piece_model())
+
+
 def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
     ship_package(spark)
     vectors = topk.whole_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding")
@@ -150,6 +154,7 @@ QUERIES = {
     "op1_revisits": op1_revisits,
     "op2_simhash": op2_simhash,
     "op3_token_counts": op3_token_counts,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_topk": op5_topk,
     "op7_langid": op7_langid,
     "op9_decontaminate": op9_decontaminate,
