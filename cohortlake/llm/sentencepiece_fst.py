@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from cohortlake.llm.common import gathered, ragged, ship_package
 from cohortlake.llm.tokencount import SPACE_MARK, check_model, pre_tokens
@@ -219,7 +220,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     ship_package(docs.sparkSession)
     check_model(model_path)
     keep = [c for c in docs.columns if c not in ("ids", "n_tokens", "round_trip")]
-    schema = docs.select(*keep).schema.add("ids", "array<int>").add("n_tokens", "long").add("round_trip", "boolean")
+    schema = docs.select(*keep).schema.add("ids", ArrayType(IntegerType())).add("n_tokens", "long").add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = compiled(model_path)
