@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import decontaminate, langid, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk
+from cohortlake.llm import decontaminate, langid, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -141,6 +141,15 @@ def op7_langid(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf, "doc_id", "text")
+    labels = table(spark, sf, "labels").where(third("doc_id", 4) != 2)
+    lexicon, coefficients = toxicity.train(docs, labels)
+    held_out = F.coalesce(third("doc_id", 4) == 2, F.lit(False))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return toxicity.score(rows, lexicon, coefficients).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf, "doc_id", "text")
     return decontaminate.contaminated_pairs(docs, table(spark, sf, "benchmark").select("item_id", "text"))
@@ -157,6 +166,7 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_topk": op5_topk,
     "op7_langid": op7_langid,
+    "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
