@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import decontaminate, langid, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
+from cohortlake.llm import decontaminate, langid, lm_mixing, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -133,6 +133,15 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf, "doc_id", "text"), piece_model())
 
 
+def op6_lm_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.coalesce(third("doc_id", 5) == 1, F.lit(False))
+    docs = documents(spark, sf, "doc_id", "text").withColumn("training", ~held_out)
+    scored = lm_mixing.log_probabilities(docs)
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_langid(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf, "doc_id", "text", "lang")
     held_out = F.coalesce(third("doc_id", 4) == 2, F.lit(False))
@@ -165,6 +174,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_topk": op5_topk,
+    "op6_lm_mixing": op6_lm_mixing,
     "op7_langid": op7_langid,
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
