@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut_lineage, flat, gathered, lists, shuffle_partitions
+from cohortlake.llm.common import flat, gathered, lists, shuffle_partitions
 
 #: Bytes of text in a block. Memory of a task is some multiple of it, whatever the table's size.
 BLOCK_BYTES = 24 << 20
@@ -60,13 +60,14 @@ def bucket_count(df: DataFrame) -> int:
     return 4 * shuffle_partitions(df.sparkSession)
 
 
-def block_postings(docs: DataFrame, units: Units, label: str) -> DataFrame:
-    """Postings of ``docs`` (doc_id long, text string, training boolean), written once.
+def block_postings(docs: DataFrame, units: Units) -> DataFrame:
+    """Postings of ``docs`` (doc_id long, text string, training boolean).
 
-    Rows: ``bucket`` null: the block itself (``doc_ids, n_bytes, trained`` by place); 0 and up: a
-    bucket's units; below 0: hot units of a block. ``packed``: unit, at, times, and ``training``, the
-    unit's frequency in the block's training documents. Every input row is a document of its own,
-    repeated ids too.
+    Rows: ``packed`` null: the block itself (``doc_ids, n_bytes, trained`` by place); otherwise units of
+    a bucket, or, for a bucket below 0, hot units of a block. ``packed``: unit, at, times, and
+    ``training``, the unit's frequency in the block's training documents. Every input row is a document
+    of its own, repeated ids too. Blocks follow the order of the input's rows, so ``docs`` must be a
+    plain scan, which gives the same blocks again when a lost task is run anew.
     """
     buckets = bucket_count(docs)
 
@@ -82,6 +83,7 @@ def block_postings(docs: DataFrame, units: Units, label: str) -> DataFrame:
             make = pa.ListArray.from_arrays
             yield _row(
                 1, block, n,
+                bucket=pa.array([block % buckets], pa.int32()),
                 doc_ids=make(whole, batch.column("doc_id")),
                 n_bytes=make(whole, pc.binary_length(texts).cast(pa.int64())),
                 trained=make(whole, training),
@@ -91,8 +93,7 @@ def block_postings(docs: DataFrame, units: Units, label: str) -> DataFrame:
                 yield _unit_rows(block, words, owner, training.to_numpy(zero_copy_only=False), n, buckets)
             block += 1
 
-    rows = docs.select("doc_id", "text", "training").mapInArrow(run, POSTINGS)
-    return cut_lineage(rows, label)
+    return docs.select("doc_id", "text", "training").mapInArrow(run, POSTINGS)
 
 
 def _row(n: int, block: int, n_docs: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -175,14 +176,16 @@ class HeldSums:
         for block, sums in self.held.items():
             at = np.flatnonzero(sums.any(0))
             whole = np.array([0, len(at)])
+            none = [pa.nulls(1, pa.list_(kind)) for kind in (pa.int64(), pa.int64(), pa.bool_())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), lists(at.astype(np.int32), whole), *(lists(s[at], whole) for s in sums)],
-                names=["block", "at", *self.names],
+                [pa.array([block], pa.int64()), lists(at.astype(np.int32), whole), *(lists(s[at], whole) for s in sums), *none],
+                names=["block", "at", *self.names, "doc_ids", "n_bytes", "trained"],
             )
         self.held, self.cells = {}, 0
 
     def schema(self) -> str:
-        return "block long, at array<int>, " + ", ".join(f"{n} array<double>" for n in self.names)
+        sums = ", ".join(f"{n} array<double>" for n in self.names)
+        return f"block long, at array<int>, {sums}, doc_ids array<long>, n_bytes array<long>, trained array<boolean>"
 
 
 def sums_by_document(postings: DataFrame, value_of: Callable[[], Callable], names: list[str]) -> DataFrame:
@@ -195,7 +198,10 @@ def sums_by_document(postings: DataFrame, value_of: Callable[[], Callable], name
         function, held = value_of(), HeldSums(names)
         known: dict[bytes, tuple] = {}
         for batch in batches:
+            yield from passed_on(batch, names)
             for block, n_docs, data in zip(*(batch.column(c).to_pylist() for c in ("block", "n_docs", "packed")), strict=True):
+                if data is None:
+                    continue
                 rows = unpacked(data)
                 units = rows.column("unit").to_pylist()
                 fresh = [u for u in units if u not in known]
@@ -207,15 +213,24 @@ def sums_by_document(postings: DataFrame, value_of: Callable[[], Callable], name
                 yield from held.add(block, n_docs, at, np.repeat(values, lengths, axis=1) * times)
         yield from held.flush()
 
-    parts = shuffle_partitions(postings.sparkSession)
-    dealt = postings.where("bucket is not null").select("block", "bucket", "n_docs", "packed").repartition(parts, "bucket")
-    return finished(postings, dealt.mapInArrow(run, HeldSums(names).schema()), names)
+    dealt = postings.repartition(shuffle_partitions(postings.sparkSession), "bucket")
+    return finished(dealt.mapInArrow(run, HeldSums(names).schema()), names)
 
 
-def finished(postings: DataFrame, parts: DataFrame, names: list[str]) -> DataFrame:
-    """Sums of parts, by document."""
-    blocks = postings.where("bucket is null").select("block", "doc_ids", "n_bytes", "trained")
-    both = parts.unionByName(blocks, allowMissingColumns=True)
+def passed_on(batch: pa.RecordBatch, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of blocks themselves, in the form of sums."""
+    own = batch.filter(pc.is_valid(batch.column("doc_ids")))
+    if own.num_rows:
+        sums = [pa.nulls(own.num_rows, pa.list_(pa.float64())) for _ in names]
+        block = [own.column(c) for c in ("doc_ids", "n_bytes", "trained")]
+        yield pa.RecordBatch.from_arrays(
+            [own.column("block"), pa.nulls(own.num_rows, pa.list_(pa.int32())), *sums, *block],
+            names=["block", "at", *names, "doc_ids", "n_bytes", "trained"],
+        )
+
+
+def finished(parts: DataFrame, names: list[str]) -> DataFrame:
+    """Sums of parts and rows of blocks, by document."""
     out = ", ".join(f"{n} double" for n in names)
 
     def finish(rows: pa.Table) -> pa.Table:
@@ -232,4 +247,4 @@ def finished(postings: DataFrame, parts: DataFrame, names: list[str]) -> DataFra
             columns[name] = pa.array(np.bincount(at, weights=v, minlength=len(columns["doc_id"])).astype(float))
         return pa.table(columns)
 
-    return both.groupBy("block").applyInArrow(finish, f"doc_id long, n_bytes long, training boolean, {out}")
+    return parts.groupBy("block").applyInArrow(finish, f"doc_id long, n_bytes long, training boolean, {out}")

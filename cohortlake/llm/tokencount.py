@@ -90,7 +90,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     """
     check_model(model_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(False).alias("training"))
-    postings = block_postings(rows, pre_tokens, "pre-tokens")
+    postings = block_postings(rows, pre_tokens)
 
     def value_of():
         sp = load_model(model_path)
