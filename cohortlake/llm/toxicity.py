@@ -25,6 +25,8 @@ EXACT_BELOW = 4
 #: Words looked at on each side of a hit.
 CONTEXT = 5
 BATCH_BYTES = 8 << 20
+#: Evidence from which a word becomes a term.
+LIKELIHOOD_RATIO = 25.0
 #: Words of address, and quotation marks.
 ADDRESS = {"you", "your", "du", "dich", "dein", "ihr", "tu", "te", "toi", "vous", "tú", "usted", "eres"}
 _QUOTE = "[\"“”„«»‹›‘’']"
@@ -136,12 +138,20 @@ def learn_lexicon(sample: DataFrame, most_terms: int, least: int = 4) -> tuple[l
         return [], []
     counted = words.groupBy("word").agg(F.count_if(F.col("label") == 1).alias("t"), F.count_if(F.col("label") == 0).alias("n"))
     odds = F.log((F.col("t") + 0.5) / (toxic - F.col("t") + 0.5)) - F.log((F.col("n") + 0.5) / (other - F.col("n") + 0.5))
-    z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") + 0.5))
+    # Likelihood ratio of the word's share among toxic and among other texts.
+    share = (F.col("t") + F.col("n")) / (toxic + other)
+    part = lambda seen, due: F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0)
+    ratio = 2 * (
+        part(F.col("t"), toxic * share)
+        + part(F.col("n"), other * share)
+        + part(toxic - F.col("t"), toxic * (1 - share))
+        + part(other - F.col("n"), other * (1 - share))
+    )
     best = (
         counted.where((F.col("t") >= least) & (F.length("word") >= 3))
-        .select("word", odds.alias("odds"), z.alias("z"))
-        .where("z >= 4 and odds >= 2.5")
-        .orderBy(F.desc("z"), "word")
+        .select("word", odds.alias("odds"), ratio.alias("ratio"))
+        .where((F.col("ratio") >= LIKELIHOOD_RATIO) & (F.col("odds") >= 2.0))
+        .orderBy(F.desc("ratio"), "word")
         .limit(most_terms)
         .collect()
     )
