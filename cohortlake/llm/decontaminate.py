@@ -115,6 +115,8 @@ def search(index: ItemIndex, words: pa.Array, owner: np.ndarray, n_docs: int) ->
     place = np.arange(len(owner)) - first[owner]
     known = term >= 0
     term, doc, place = term[known], owner[known], place[known]
+    if not len(term):
+        return none
     half = index.passage // 2
     # Passage j of a document covers words j * half to (j + 2) * half; each word lies in two of them.
     stride = int(place.max(initial=0)) // half + 2
