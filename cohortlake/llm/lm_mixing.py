@@ -313,7 +313,7 @@ def cell_counts(rows: Range) -> tuple[np.ndarray, np.ndarray]:
         keys.append((np.int64(base) + ctx.astype(np.int64)) << 8 | v)
         base += 1 << bits
     cell, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return cell, np.bincount(inverse, weights=np.tile(rows.n[row], len(CONTEXT_BITS)), minlength=len(cell))
+    return cell, np.bincount(inverse, weights=np.tile(rows.n[row], len(CONTEXT_BITS)), minlength=len(cell)).astype(float)
 
 
 class Hashed:
@@ -518,6 +518,9 @@ def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _collected(edges: DataFrame) -> Shared:
     """Edge counts and hashed predictors of all ranges; one row for each range, and bounded cells."""
     tops = sorted(edges.select("part", "edges", "paths").collect(), key=lambda r: r["part"])
+    if not tops:  # no texts at all
+        none = np.empty(0, np.int64)
+        return Shared(Hashed(none, none), {})
     ends = np.stack([np.frombuffer(r["edges"], np.uint64).reshape(2, 2) for r in tops])
     paths = np.stack([np.frombuffer(r["paths"], float).reshape(2, GATES + 1, BITS + 1) for r in tops])
     totals = edge_totals(ends[:, 0], ends[:, 1], paths)
