@@ -7,15 +7,17 @@ have equal anchors at equal places, so suffixes with different leading bytes nee
 1. Documents are packed into blocks. Each block sends the hashed leading bytes of its anchors, dealt by
    range; a range returns those that stand in more than one document.
 2. For these anchors, blocks send the suffixes themselves with the bytes before them that their windows
-   reach: distinct ones once, with their places. They are range-partitioned by leading bytes with
-   sampled splitters; a splitter never falls between equal leading bytes, so the suffixes on the two
-   sides of a boundary differ within them and no window spans it.
+   reach: distinct ones once, with their places. They are range-partitioned by leading bytes. The bytes
+   are hashed, so splitters at equal steps share out evenly and no sample is needed to find them; a
+   splitter never falls between equal leading bytes, so no window has a match across a boundary.
 3. Each bucket sorts by multikey quicksort, eight bytes a key, refining only groups that are still
    tied. Equal strings meet, the smallest doc_id stands, and the windows of all others are marked.
    Strings that agree only in part are compared window by window in the same way.
 4. Marks go back to the blocks, which cut the marked bytes out.
 
-A passage that a third of all documents share is one entry for each block, not for each document.
+A passage that a third of all documents share is one entry for each block, not for each document. If
+its surroundings differ, its leading bytes have many strings; beyond ``HOT_LEAD`` of them, each window
+is sent as a string of its own under its own hash, which spreads them over all buckets.
 """
 
 from __future__ import annotations
@@ -38,8 +40,12 @@ WINDOW = 50
 LEAD = 26
 REACH = WINDOW - LEAD + 1
 #: Bytes of text in a block, and positions looked at together within it.
-BLOCK_BYTES = 16 << 20
-CHUNK = 1 << 19
+BLOCK_BYTES = 4 << 20
+CHUNK = 1 << 18
+#: Records of the same leading bytes from which their windows are dealt out one by one.
+HOT_LEAD = 4096
+#: Windows compared at once in a bucket.
+HELD_WINDOWS = 1 << 19
 _LAST = np.iinfo(np.int64).max
 
 
@@ -160,12 +166,14 @@ def _send_leads(ranges: int):
                 leads, doc = leads[order], doc[order]
                 starts = np.flatnonzero(np.r_[True, leads[1:] != leads[:-1]])
                 several = np.maximum.reduceat(doc, starts) != np.minimum.reduceat(doc, starts)
+                # frequency in the block, doubled; odd where more than one document has it
+                seen = (np.diff(np.r_[starts, len(leads)]) * 2 + several).astype(np.uint32)
                 leads = leads[starts]
                 home = _range_of(leads, ranges)
                 cuts = np.searchsorted(home, np.arange(ranges + 1))
                 out = [(r, cuts[r], cuts[r + 1]) for r in range(ranges) if cuts[r] < cuts[r + 1]]
                 packed = [
-                    packed_columns(_small(leads[a:b]) | {"several": lists(several[a:b], np.array([0, b - a]))}) for _, a, b in out
+                    packed_columns(_small(leads[a:b]) | {"seen": lists(seen[a:b], np.array([0, b - a]))}) for _, a, b in out
                 ]
                 yield pa.RecordBatch.from_pydict(
                     {"range": pa.array([r for r, _, _ in out], pa.int32()), "block": pa.array([block] * len(out), pa.int64()), "packed": pa.array(packed, pa.binary())}
@@ -179,28 +187,29 @@ def _range_of(leads: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _repeated_leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    leads, several, blocks = [], [], []
+    leads, seen, blocks = [], [], []
     for batch in batches:
         for block, data in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist(), strict=True):
             row = unpacked(data)
             leads.append(_large(row))
-            several.append(flat(row.column("several"))[0])
+            seen.append(flat(row.column("seen"))[0])
             blocks.append(np.full(len(leads[-1]), block))
     if not leads:
         return
-    x, m, b = np.concatenate(leads), np.concatenate(several), np.concatenate(blocks)
+    x, m, b = np.concatenate(leads), np.concatenate(seen), np.concatenate(blocks)
     order = np.argsort(x, kind="stable")
     x, m, b = x[order], m[order], b[order]
-    same = x[1:] == x[:-1]
-    again = np.r_[False, same] | np.r_[same, False] | m
-    x, b = x[again], b[again]
+    starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+    sizes = np.diff(np.r_[starts, len(x)])
+    again = np.repeat((sizes > 1) | (np.bitwise_or.reduceat(m, starts) & 1 > 0), sizes)
+    hot = np.repeat(np.add.reduceat((m >> 1).astype(np.int64), starts) > HOT_LEAD, sizes)
+    x, b, hot = x[again], b[again], hot[again]
     order = np.lexsort((x, b))
-    x, b = x[order], b[order]
+    x, b, hot = x[order], b[order], hot[order]
     cuts = np.r_[np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else [], len(b)].astype(int)
     for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
-        yield pa.RecordBatch.from_pydict(
-            {"block": pa.array([int(b[start])], pa.int64()), "leads": pa.array([packed_columns(_small(x[start:stop]))], pa.binary())}
-        )
+        packed = packed_columns(_small(x[start:stop]) | {"hot": lists(hot[start:stop], np.array([0, stop - start]))})
+        yield pa.RecordBatch.from_pydict({"block": pa.array([int(b[start])], pa.int64()), "leads": pa.array([packed], pa.binary())})
 
 
 def _send_strings(ranges: int):
@@ -209,12 +218,21 @@ def _send_strings(ranges: int):
         if not left.num_rows or not right.num_rows:
             return empty
         rows = unpacked(left.column("packed")[0].as_py())
-        wanted = np.sort(np.concatenate([_large(unpacked(d.as_py())) for d in right.column("leads")]))
+        replies = [unpacked(d.as_py()) for d in right.column("leads")]
+        wanted, hot = (np.concatenate(x) for x in zip(*((_large(r), flat(r.column("hot"))[0]) for r in replies), strict=True))
+        order = np.argsort(wanted)
+        wanted, hot = wanted[order], hot[order]
         buf, ends, first, count, leads = _anchors_of(rows)
         if not len(leads):
             return empty
-        hit = wanted[np.minimum(np.searchsorted(wanted, leads), len(wanted) - 1)] == leads
-        first, count, leads = first[hit], count[hit], leads[hit]
+        at = np.minimum(np.searchsorted(wanted, leads), len(wanted) - 1)
+        hit = wanted[at] == leads
+        first, count, leads, hot = first[hit], count[hit], leads[hit], hot[at[hit]]
+        if hot.any():
+            single = ragged(first[hot], count[hot])
+            first = np.r_[first[~hot], single]
+            leads = np.r_[leads[~hot], _window_hashes(buf, single)]
+            count = np.r_[count[~hot], np.ones(len(single), np.int64)]
         ids = pc.fill_null(rows.column("doc_id"), _LAST).to_numpy(zero_copy_only=False)
         doc = ids[np.searchsorted(ends, first, side="right")]
         label = equal_classes(leads, _string_keys(buf, first, count))
@@ -248,12 +266,25 @@ def _send_strings(ranges: int):
     return run
 
 
+def _window_hashes(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """48-bit hash of the window at each place."""
+    view = _at_every_byte(buf)
+    h = np.zeros(len(first), np.uint64)
+    for at in (*range(0, WINDOW - 8, 8), WINDOW - 8):
+        h = (h ^ (h >> np.uint64(29)) ^ view[first + at]) * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(16)
+
+
+def _at_every_byte(buf: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on, as numbers; the texts end eight bytes before the buffer."""
+    return np.ndarray((len(buf) - 7,), "<u8", buffer=buf, strides=(1,))
+
+
 def _string_keys(buf: np.ndarray, first: np.ndarray, count: np.ndarray) -> Iterator[np.ndarray]:
     """Keys that decide whether strings are equal: the length, then eight bytes at a time."""
     size = count + WINDOW - 1
     yield size
-    padded = np.r_[buf, np.zeros(8, np.uint8)]
-    view = np.ndarray((len(padded) - 7,), "<u8", buffer=padded, strides=(1,))
+    view = _at_every_byte(buf)
     for at in range(0, int(size.max(initial=0)), 8):
         # a key that would pass the string's end is taken from its last eight bytes
         yield view[first + np.minimum(at, size - 8)]
@@ -272,7 +303,8 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block.append(np.full(len(f), b))
     if not lead:
         return
-    lead, size, text, n_rec, first, doc, block = (np.concatenate(x) for x in (lead, size, text, n_rec, first, doc, block))
+    lead, size, n_rec, first, doc, block = (np.concatenate(x) for x in (lead, size, n_rec, first, doc, block))
+    text = np.concatenate([*text, np.zeros(8, np.uint8)])
     begin = np.cumsum(size) - size
     count = size - WINDOW + 1
     label = equal_classes(lead, _string_keys(text, begin, count))
@@ -286,29 +318,35 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     stands = np.unique(label, return_index=True)[1]
     leads_of = np.unique(lead[stands], return_inverse=True, return_counts=True)
     stands = stands[leads_of[2][leads_of[1]] > 1]
-    if len(stands):
-        at = ragged(begin[stands], count[stands])
-        owner = np.repeat(np.arange(len(stands)), count[stands])
-        padded = np.r_[text, np.zeros(8, np.uint8)]
-        view = np.ndarray((len(padded) - 7,), "<u8", buffer=padded, strides=(1,))
+    stands = stands[np.argsort(lead[stands], kind="stable")]
+    rec = np.flatnonzero(~later)
+    rec = rec[np.argsort(label[entry[rec]], kind="stable")]
+    rec_label = label[entry[rec]]
+    view = _at_every_byte(text)
+    # Chunks end where the leading bytes change; no lead has more than HOT_LEAD strings.
+    ends = np.flatnonzero(np.r_[lead[stands][1:] != lead[stands][:-1], True]) + 1 if len(stands) else []
+    total = np.cumsum(count[stands])
+    start = 0
+    while start < len(stands):
+        past = (total[start - 1] if start else 0) + HELD_WINDOWS
+        stop = int(ends[np.searchsorted(ends, max(np.searchsorted(total, past, side="right"), start + 1))])
+        some = stands[start:stop]
+        start = stop
+        at = ragged(begin[some], count[some])
+        owner = np.repeat(np.arange(len(some)), count[some])
         keys = (view[at + min(k, WINDOW - 8)] for k in range(0, WINDOW, 8))
-        window = equal_classes(lead[stands][owner], keys)
-        own = low[label[stands]][owner]
+        window = equal_classes(lead[some][owner], keys)
+        own = low[label[some]][owner]
         marked = own > smallest(window, own)
-        # runs of marked windows of each string, for all its records of the smallest document
+        # Runs of marked windows of each string, for all its records of the smallest document.
         new = marked & np.r_[True, ~marked[:-1] | (owner[1:] != owner[:-1])]
         end = marked & np.r_[~marked[1:] | (owner[1:] != owner[:-1]), True]
         runs, stops = np.flatnonzero(new), np.flatnonzero(end) + 1
-        offset = runs - (np.cumsum(count[stands]) - count[stands])[owner[runs]]
-        by_class = np.full(len(low), -1)
-        per_owner = np.bincount(owner[runs], minlength=len(stands))
-        by_class[label[stands]] = np.arange(len(stands))
-        rec = np.flatnonzero(~later & (by_class[label[entry]] >= 0))
-        who = by_class[label[entry[rec]]]
-        reps = per_owner[who]
-        which = ragged((np.cumsum(per_owner) - per_owner)[who], reps)
-        rec = np.repeat(rec, reps)
-        out.append((block[rec], first[rec] + offset[which], (stops - runs)[which]))
+        offset = runs - (np.cumsum(count[some]) - count[some])[owner[runs]]
+        left = np.searchsorted(rec_label, label[some][owner[runs]], side="left")
+        reps = np.searchsorted(rec_label, label[some][owner[runs]], side="right") - left
+        who = rec[ragged(left, reps)]
+        out.append((block[who], first[who] + np.repeat(offset, reps), np.repeat(stops - runs, reps)))
     b, f, c = (np.concatenate(x) for x in zip(*out, strict=True))
     order = np.lexsort((f, b))
     b, f, c = b[order], f[order], c[order]
@@ -329,12 +367,16 @@ def _cut(columns: list[str], with_text: bool):
             f, c = flat(row.column("first"))[0], flat(row.column("count"))[0]
             np.add.at(removed, f, 1)
             np.add.at(removed, f.astype(np.int64) + c + WINDOW - 1, -1)
-        gone = np.cumsum(removed)[:-1] > 0
+        gone = np.cumsum(removed, dtype=np.int32)[:-1] > 0
+        del removed
         starts = np.r_[0, ends[:-1]]
-        before = np.r_[False, gone[:-1]]
-        before[starts[starts < len(before)]] = False
-        sums = np.r_[0, np.cumsum(gone)]
-        runs = np.r_[0, np.cumsum(gone & ~before)]
+        opens = gone.copy()
+        opens[1:] &= ~gone[:-1]
+        at = starts[starts < len(gone)]
+        opens[at] = gone[at]
+        sums = np.r_[0, np.cumsum(gone, dtype=np.int32)]
+        runs = np.r_[0, np.cumsum(opens, dtype=np.int32)]
+        del opens
         n_removed = sums[ends] - sums[starts]
         kept = []
         for a, e, r in zip(starts.tolist(), ends.tolist(), n_removed.tolist(), strict=True):
@@ -342,7 +384,7 @@ def _cut(columns: list[str], with_text: bool):
             kept.append(part.tobytes() if not r else part[~gone[a:e]].tobytes())
         out = {c: rows.column(c) for c in columns}
         if with_text:
-            out["kept"] = pa.array(kept, pa.binary())
+            out["text"] = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
         return pa.table(
             out
             | {
@@ -358,19 +400,20 @@ def _cut(columns: list[str], with_text: bool):
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """Rows of ``docs`` (doc_id long, text string, more) without text, with ``n_bytes, n_removed,
-    n_spans, kept_sha256`` and, if ``with_text``, ``kept``: the bytes that stay.
+    n_spans, kept_sha256`` and, if ``with_text``, the new ``text``: what stays, without the rests of
+    characters that a cut has split.
 
     A byte goes if a 50-byte string that covers it also starts in a row with a smaller doc_id; strings
     are judged on the input and never cross rows. Null texts are empty. Rows that repeat a doc_id do
     not count against each other; a null doc_id is larger than any other. Other columns pass through,
-    but for the names above, which are replaced. Cuts may fall within a character.
+    but for the names above, which are replaced. The digest is of the bytes that stay.
     """
     spark = docs.sparkSession
-    made = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    made = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
     source = docs.select(*(c for c in docs.columns if c not in made)).withColumn("doc_id", F.col("doc_id").cast("long"))
     columns = [c for c in source.columns if c != "text"]
-    parts = shuffle_partitions(spark)
-    ranges = 4 * parts
+    # Strings are some times their text, so their ranges are finer than usual partitions.
+    ranges = 4 * shuffle_partitions(spark)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -383,16 +426,15 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     blocks = cut_lineage(source.mapInArrow(pack, "block long, packed binary"), "suffix-blocks")
     leads = blocks.mapInArrow(_send_leads(ranges), "range int, block long, packed binary")
-    repeated = leads.repartition(parts, "range").mapInArrow(_repeated_leads, "block long, leads binary")
+    repeated = leads.repartition(ranges, "range").mapInArrow(_repeated_leads, "block long, leads binary")
     strings = (
         blocks.groupBy("block")
         .cogroup(repeated.groupBy("block"))
         .applyInArrow(_send_strings(ranges), "range int, block long, packed binary")
     )
-    # Spark samples the leading ranges for splitters; equal leading bytes have one range.
-    marks = strings.repartitionByRange(parts, "range").mapInArrow(_marks, "block long, marks binary")
+    marks = strings.repartition(ranges, "range").mapInArrow(_marks, "block long, marks binary")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "text")
-    kept = ", kept binary" if with_text else ""
+    kept = ", text string" if with_text else ""
     return (
         blocks.groupBy("block")
         .cogroup(marks.groupBy("block"))
