@@ -30,9 +30,9 @@ from pyspark.sql.types import ArrayType, IntegerType
 from cohortlake.llm.common import gathered, ragged, ship_package
 from cohortlake.llm.tokencount import SPACE_MARK, check_model, pre_tokens
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Stretches and pairs a task remembers; beyond that it forgets and finds them anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 _BPE = 2
 
 
