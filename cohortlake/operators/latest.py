@@ -32,16 +32,19 @@ def latest_partition(
 ) -> DataFrame:
     """Rows of the newest (file, batch) of every partition value; blank values are dropped.
 
-    The winners are one row per partition value. They are written first, so that Spark joins
-    them by broadcast when their real size allows it and by a skew-aware shuffle join otherwise.
+    The large relation is reduced by a hash aggregate to one row per value, file and batch, which
+    keeps nothing but the newest load time; only that small result is ordered for its winners. They
+    are written first, so that Spark joins them by broadcast when their real size allows it and by a
+    skew-aware shuffle join otherwise.
     """
     value = F.trim(F.col(partition).cast("string"))
-    winners = (
+    versions = (
         df.where(F.nullif(value, F.lit("")).isNotNull())
-        .groupBy(value.alias("_value"))
-        .agg(F.max_by(F.struct(file, batch), F.struct(loaded_at, file, batch)).alias("_win"))
-        .select("_value", F.col(f"_win.{file}").alias("_file"), F.col(f"_win.{batch}").alias("_batch"))
+        .groupBy(value.alias("_value"), F.col(file).alias("_file"), F.col(batch).alias("_batch"))
+        .agg(F.max(loaded_at).alias("_at"))
     )
+    newest = F.max_by(F.struct("_file", "_batch"), F.struct("_at", "_file", "_batch")).alias("_win")
+    winners = versions.groupBy("_value").agg(newest).select("_value", "_win.*")
     winners = cut_lineage(winners, "versions")
     match = (
         (value == F.col("_value")) & (df[file] == F.col("_file")) & (df[batch] == F.col("_batch"))

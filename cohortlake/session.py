@@ -27,6 +27,8 @@ def build_session(app: str = "cohortlake", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Western single-byte pages are read under Java's own charset names.
+        "spark.sql.legacy.javaCharsets": "true",
         **conf,
     }
     for key, value in settings.items():

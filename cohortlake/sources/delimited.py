@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +24,14 @@ CHARSETS = {
     "cp1252": "windows-1252",
     "latin-1": "ISO-8859-1",
 }
-OVERFLOW = "_overflow"
+CORRUPT = "_corrupt_record"
+
+
+def _too_wide(record: Column, width: int, sep: str, quote: str) -> Column:
+    """More separators outside quotes than a header of ``width`` names has."""
+    bare = F.regexp_replace(record, f"{re.escape(quote)}[^{re.escape(quote)}]*{re.escape(quote)}", "")
+    marks = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))
+    return F.coalesce(marks >= width * len(sep), F.lit(False))
 
 
 def _drop_head(columns: Sequence[str], lines: int):
@@ -57,13 +65,11 @@ def read_layout(
     """Files of one layout as text columns; the empty field is the only NULL.
 
     Files without quoted line ends are split over tasks; others take one streaming task each.
-    A record wider than its header stops the read.
+    A record with more fields than its header stops the read, whatever the surplus fields hold; one
+    with fewer is filled up. Spark marks both, and only marked records are counted again.
     """
     charset = CHARSETS.get(encoding, encoding)
-    if charset.startswith("windows-"):
-        # Spark accepts Java's own charset names only under this session setting.
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, OVERFLOW]])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     raw = spark.read.csv(
         list(paths),
         schema=schema,
@@ -74,9 +80,10 @@ def read_layout(
         header=skip == 0,
         multiLine=not split_safe or charset == "UTF-16",
         enforceSchema=True,
+        columnNameOfCorruptRecord=CORRUPT,
     )
     rows = raw.select(
-        *[f"`{n}`" for n in [*names, OVERFLOW]],
+        *[f"`{n}`" for n in [*names, CORRUPT]],
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
@@ -85,7 +92,7 @@ def read_layout(
         fields = [*schema.fields, T.StructField("_source_file", T.StringType())]
         rows = rows.mapInPandas(_drop_head(schema.names, skip + 1), T.StructType(fields))
     message = F.concat(F.lit("record wider than its header in "), F.col("_source_file"))
-    checked = F.when(F.col(OVERFLOW).isNotNull(), F.raise_error(message)).otherwise(
+    checked = F.when(_too_wide(F.col(CORRUPT), len(names), sep, quote), F.raise_error(message)).otherwise(
         F.col("_source_file")
     )
     clean = [F.nullif(without_nul(F.col(f"`{n}`")), F.lit("")).alias(n) for n in names]

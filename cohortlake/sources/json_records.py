@@ -75,14 +75,30 @@ def read_records(
     records_path: str | None = None,
     max_level: int = 1,
     document_per_line: bool = False,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """All records of the JSON documents at ``path`` as text columns, with their file.
 
+    A document that is no JSON stops the read; Spark's error names its file. ``schema`` saves the pass
+    that infers it.
+
     A document that is itself a list gives one record per element. Files with one document per
     line are split over tasks.
     """
-    payload = spark.read.json(path, multiLine=not document_per_line)
+    payload = spark.read.json(path, schema=schema, multiLine=not document_per_line, mode="FAILFAST")
     fields = payload.columns
     located = payload.select(*fields, F.col("_metadata.file_path").alias("_source_file"))
     keep = ("_source_file",)
     return flatten_records(explode_path(located, records_path, keep), "record", max_level, keep=keep)
+
+
+def file_columns(rows: DataFrame) -> DataFrame:
+    """``file_uri, header``: the columns that some record of a file fills.
+
+    A field that is null in every record of a file counts as absent from it.
+    """
+    names = [c for c in rows.columns if c != "_source_file"]
+    filled = [F.count(f"`{c}`").alias(f"_n{i}") for i, c in enumerate(names)]
+    counted = rows.groupBy(F.col("_source_file").alias("file_uri")).agg(*filled)
+    held = F.array(*[F.when(F.col(f"_n{i}") > 0, F.lit(c)) for i, c in enumerate(names)])
+    return counted.select("file_uri", F.array_compact(held).cast("array<string>").alias("header"))

@@ -1,4 +1,4 @@
-"""Incremental landing as a file stream whose unit of progress is the content, not the path."""
+"""Incremental landing: a file stream says when to look, the manifest says what is new."""
 
 from __future__ import annotations
 
@@ -11,24 +11,24 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content b
 
 
 def start_landing(lake: Lake, source: Source, checkpoint: str) -> StreamingQuery:
-    """Land everything new below ``source.path`` and stop.
+    """Land what is new below ``source.path`` whenever files arrive, and stop.
 
-    The stream hands over the paths it has not seen; the load itself drops content that the
-    manifest already holds, so a file delivered again under another name changes nothing, and a
-    batch replayed after a lost driver finds its files recorded.
+    A stream knows paths, and takes each once. What a load takes is the listing without the contents
+    of the manifest. So a file that was too young comes with a later batch, new bytes under an old
+    name are landed, a known content under a new name is not, and a batch replayed after a lost
+    driver changes nothing. The stream reads names only.
     """
 
     def land(batch: DataFrame, _: int) -> None:
-        # Names only: the bytes of the files are read by the load, on the executors.
-        paths = [row["path"] for row in batch.select("path").collect()]
-        if paths:
-            lake.load(source, paths=paths, distinct_content=True)
+        if not batch.isEmpty():
+            lake.load(source, distinct_content=True)
 
     stream = (
         lake.spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", str(source.recursive).lower())
         .load(source.path)
+        .select("path")
     )
     return (
         stream.writeStream.foreachBatch(land)
@@ -39,4 +39,12 @@ def start_landing(lake: Lake, source: Source, checkpoint: str) -> StreamingQuery
 
 
 def land_available(lake: Lake, source: Source, checkpoint: str) -> None:
-    start_landing(lake, source, checkpoint).awaitTermination()
+    """One round: the stream's batches, or one load where no path is new.
+
+    The load without a batch is for files the stream has seen before: deferred ones that have
+    settled, and ones rewritten in place.
+    """
+    query = start_landing(lake, source, checkpoint)
+    query.awaitTermination()
+    if not any(p["numInputRows"] for p in query.recentProgress):
+        lake.load(source, distinct_content=True)
