@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 import fnmatch
 import io
-import posixpath
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -28,7 +28,6 @@ from cohortlake.sources.files import DEFAULT_EXCLUDE, codec_of, open_bytes
 from cohortlake.sources.workbook import sheet_rows
 
 BATCH_ROWS = 5000
-HEADER_SEARCH_ROWS = 60
 ROW_SCHEMA = "file_uri string, member string, row_no bigint, record map<string,string>"
 _ARROW = pa.schema(
     [
@@ -53,6 +52,7 @@ class DecodeOptions:
     skip_rows: int | str = 0
     sheet: str | int = 0
     drop_note_rows: bool = False
+    header_rows: int = 60  # rows of a sheet in which the header is looked for
 
 
 class NoMembersError(FileNotFoundError):
@@ -69,21 +69,24 @@ def _cell_text(value: object) -> str | None:
     return str(value).replace("\0", "")
 
 
-def archive_names(names: Sequence[str], options: DecodeOptions) -> list[str]:
-    """Wanted members in order: pattern and explicit list on the whole name, exclusions on its base."""
-    wanted = {m.lower() for m in options.members}
+def _any_glob(globs: Sequence[str]) -> re.Pattern[str]:
+    """One pattern for all globs, whatever the case; it matches nothing if there is none."""
+    return re.compile("|".join(fnmatch.translate(g) for g in globs) or r"(?!)", re.IGNORECASE | re.DOTALL)
 
-    def matches(name: str) -> bool:
-        low = name.lower()
-        base = posixpath.basename(low)
-        return (
-            not name.endswith("/")
-            and fnmatch.fnmatchcase(low, options.member_pattern.lower())
-            and not any(fnmatch.fnmatchcase(base, e.lower()) for e in options.exclude)
-            and (not wanted or low in wanted)
-        )
 
-    return sorted(filter(matches, names))
+def archive_names(names: Sequence[str], options: DecodeOptions) -> list[str]:
+    """Members to read, in order: files whose whole name fits the pattern and the list, if there is
+    one, and whose base name fits no exclusion."""
+    wanted, banned = _any_glob([options.member_pattern]), _any_glob(options.exclude)
+    listed = {m.casefold() for m in options.members}
+    kept = []
+    for name in names:
+        folder, _, base = name.rpartition("/")
+        if not base or banned.match(base) or not wanted.match(name):
+            continue
+        if not listed or name.casefold() in listed:
+            kept.append(name)
+    return sorted(kept)
 
 
 def _streams(
@@ -134,24 +137,41 @@ class _Joined(io.RawIOBase):
         return len(data)
 
 
+class SheetLayout:
+    """Where a sheet's table starts, and its columns: up to the last named one, blank names by position."""
+
+    def __init__(self, header: Sequence[object], drop_notes: bool) -> None:
+        named = [i for i, cell in enumerate(header) if is_filled(cell)]
+        self.width = named[-1] + 1 if named else len(header)
+        titles = [f"col_{i + 1}" for i in range(self.width)]
+        for i in named:
+            titles[i] = header[i]
+        self.names = normalize_columns(titles)
+        # A note is a line with one cell below a table of four columns or more.
+        self.least = 2 if drop_notes and self.width >= 4 else 1
+
+    def record(self, row: Sequence[object]) -> dict[str, str | None] | None:
+        cells = dict(zip(self.names, row, strict=False))
+        if sum(is_filled(c) for c in cells.values()) < self.least:
+            return None
+        return {name: _cell_text(cells.get(name)) for name in self.names}
+
+
 def _sheet_records(stream: IO[bytes], options: DecodeOptions) -> Iterator[dict[str, str | None]]:
-    source = stream if stream.seekable() else io.BytesIO(stream.read())
-    rows = sheet_rows(source, options.sheet)
-    if options.skip_rows == "auto":
-        head = list(islice(rows, HEADER_SEARCH_ROWS))
-        at = header_row(head)
-        header, rows = (head[at] if head else []), chain(head[at + 1 :], rows)
+    lines = sheet_rows(stream if stream.seekable() else io.BytesIO(stream.read()), options.sheet)
+    if options.skip_rows != "auto":
+        for _ in range(int(options.skip_rows)):
+            next(lines, None)
+        layout = SheetLayout(next(lines, []), options.drop_note_rows)
+        found = filter(None, map(layout.record, lines))
     else:
-        header = next(islice(rows, int(options.skip_rows), None), [])
-    width = max((i + 1 for i, h in enumerate(header) if is_filled(h)), default=len(header))
-    names = normalize_columns(
-        [h if is_filled(h) else f"col_{i + 1}" for i, h in enumerate(header[:width])]
-    )
-    least = 2 if options.drop_note_rows and width >= 4 else 1
-    for row in rows:
-        cells = (list(row) + [None] * width)[:width]
-        if sum(map(is_filled, cells)) >= least:
-            yield {n: _cell_text(v) for n, v in zip(names, cells, strict=True)}
+        top = list(islice(lines, options.header_rows))
+        if len(top) == options.header_rows and all(sum(map(is_filled, line)) < 2 for line in top):
+            raise ValueError(f"no header in the first {options.header_rows} rows; raise header_rows")
+        at = header_row(top)
+        layout = SheetLayout(top[at] if top else [], options.drop_note_rows)
+        found = filter(None, map(layout.record, chain(top[at + 1 :], lines)))
+    yield from found
 
 
 def decode_files(files: DataFrame, options: DecodeOptions = DecodeOptions()) -> DataFrame:

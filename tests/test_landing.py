@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import gzip
 import io
+import lzma
+import os
 import zipfile
 from dataclasses import replace
 
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.plans.landing import Lake, LandingError, Source, VolumeCheck, profile
 from cohortlake.plans.ops import optional_parquet
+from cohortlake.sources import delimited
 from cohortlake.sources.decoded import DecodeOptions
 from cohortlake.streaming.incremental import land_available
 
@@ -31,16 +34,16 @@ def rows(df, *columns):
 
 
 def test_append_loads_each_content_once(lake, landing):
-    source = Source("years", str(landing), essential=("ano",))
-    (landing / "a.csv").write_text("ano,v\n2021,1\n2021,2\n")
+    source = Source("felled", str(landing), essential=("season",))
+    (landing / "a.csv").write_text("season,trees\nspring,14\nspring,9\n")
     assert lake.load(source)["rows_loaded"] == 2
-    (landing / "b.csv").write_text("ano,v\n2023,3\n")
+    (landing / "b.csv").write_text("season,trees\nautumn,31\n")
     again = lake.load(source)
     assert (again["rows_loaded"], again["units_skipped"]) == (1, 1)
-    (landing / "renamed copy.csv").write_text("ano,v\n2023,3\n")
+    (landing / "renamed copy.csv").write_text("season,trees\nautumn,31\n")
     idle = lake.load(source)
     assert (idle["rows_loaded"], idle["units_skipped"]) == (0, 3)
-    assert rows(lake.bronze(source), "ano", "v") == [("2021", "1"), ("2021", "2"), ("2023", "3")]
+    assert rows(lake.bronze(source), "season", "trees") == [("autumn", "31"), ("spring", "14"), ("spring", "9")]
     hashes = lake.bronze(source).select(F.length("_row_hash")).distinct().collect()
     assert [h[0] for h in hashes] == [16]
 
@@ -49,11 +52,11 @@ def test_full_load_replaces_and_logs_new_columns(lake, landing):
     source = Source("drift", str(landing), strategy="full")
     (landing / "a.csv").write_text("id\n1\n")
     assert lake.load(source)["new_columns"] == ["id"]
-    (landing / "a.csv").write_text("id,Nova Coluna\n2,x\n")
-    assert lake.load(source)["new_columns"] == ["nova_coluna"]
-    assert rows(lake.bronze(source), "id", "nova_coluna") == [("2", "x")]
+    (landing / "a.csv").write_text("id,Bark Colour\n2,grey\n")
+    assert lake.load(source)["new_columns"] == ["bark_colour"]
+    assert rows(lake.bronze(source), "id", "bark_colour") == [("2", "grey")]
     log = lake.ops.read("schema_changes")
-    assert rows(log, "column_name") == [("id",), ("nova_coluna",)]
+    assert rows(log, "column_name") == [("bark_colour",), ("id",)]
 
 
 def test_full_load_never_empties_the_table(lake, landing):
@@ -106,39 +109,90 @@ def test_steps_filter_rename_and_count(lake, landing):
 
 
 def test_dialects_encodings_and_title_lines(lake, landing):
-    (landing / "a.csv").write_bytes("Código;Descrição;Valor\n001;Pão de queijo;1.234,50\n002;Açaí €;7,00\n".encode("cp1252"))
-    (landing / "b.txt").write_bytes("codigo\tdescricao\n003\tJoão\n".encode("utf-16"))
+    (landing / "a.csv").write_bytes("Höhe;Baum;Umfang\n0012;Weißdorn;0,75\n0013;Öl €;1\n".encode("cp1252"))
+    (landing / "b.txt").write_bytes("hohe\tbaum\n0014\tΔέντρο\n".encode("utf-16"))
     (landing / "c d.csv").write_bytes(
-        "Relatório gerado em 01/10/2026\n\nCODIGO;DESCRICAO;VALOR\n004;Direito;10\n005;\"a;b \"\"q\"\"\";20\n".encode("cp1252")
+        "Forest survey, spring\n\nHOHE;BAUM;UMFANG\n15;Eiche;2\n16;\"Ulme; \"\"alt\"\"\";3\n".encode("cp1252")
     )
-    (landing / "e.csv.gz").write_bytes(gzip.compress(b"codigo,descricao\n006,NA\n007,\"two\nlines\"\n"))
-    (landing / "~$lock.csv").write_text("id\n9\n")
+    (landing / "e.csv.gz").write_bytes(gzip.compress(b"hohe,baum\n17,NULL\n18,\"tall\nand old\"\n"))
+    (landing / "~$open.csv").write_text("hohe\n99\n")
     source = Source("dialects", str(landing), decode=DecodeOptions(skip_rows="auto"))
     lake.load(source)
-    assert rows(lake.bronze(source), "codigo", "descricao") == [
-        ("001", "Pão de queijo"),
-        ("002", "Açaí €"),
-        ("003", "João"),
-        ("004", "Direito"),
-        ("005", 'a;b "q"'),
-        ("006", "NA"),
-        ("007", "two\nlines"),
+    assert rows(lake.bronze(source), "hohe", "baum") == [
+        ("0012", "Weißdorn"),
+        ("0013", "Öl €"),
+        ("0014", "Δέντρο"),
+        ("15", "Eiche"),
+        ("16", 'Ulme; "alt"'),
+        ("17", "NULL"),
+        ("18", "tall\nand old"),
     ]
 
 
-def test_zip_members_and_wide_record(lake, landing):
+def zipped(**members):
     blob = io.BytesIO()
     with zipfile.ZipFile(blob, "w") as z:
-        z.writestr("dados/CURSOS.CSV", "a;b\n1;x\n2;\n")
-        z.writestr("dados/leia.txt", "nope")
-    (landing / "in.zip").write_bytes(blob.getvalue())
-    source = Source("zips", str(landing), decode=DecodeOptions(member_pattern="*.csv"))
+        for name, text in members.items():
+            z.writestr(f"deep/{name}.CSV", text)
+        z.writestr("deep/readme.txt", "nothing")
+    return blob.getvalue()
+
+
+@pytest.mark.parametrize("line", ["3,4,", "5,6,,9", "5,6,7", '"5,5",6,"a,b"', ",,"])
+@pytest.mark.parametrize("packed", [False, True])
+def test_surplus_fields_stop_both_readers(lake, landing, line, packed):
+    text = f"a,b\n1,2\n{line}\n"
+    if packed:
+        (landing / "wide.zip").write_bytes(zipped(wide=text))
+    else:
+        (landing / "wide.csv").write_text(text)
+    with pytest.raises(Exception, match="wider than its header|fields under 2 headers"):
+        lake.load(Source("wide", str(landing), decode=DecodeOptions(sep=",", member_pattern="*.csv")))
+    assert lake.ops.read("file_manifest").count() == 0
+
+
+def test_short_and_quoted_records_are_no_surplus(lake, landing):
+    (landing / "a.csv").write_text('a,b\n1\n"x,y","say ""a,b"" twice"\n,\n')
+    source = Source("short", str(landing), decode=DecodeOptions(sep=","))
     lake.load(source)
-    assert rows(lake.bronze(source), "a") == [("1",), ("2",)]
-    assert lake.bronze(source).where("b is null").count() == 1
-    (landing / "bad.csv").write_text("a,b\n1,2\n1,2,3\n")
-    with pytest.raises(Exception, match="wider than its header"):
-        lake.load(replace(source, name="bad", include=("*.csv",), decode=DecodeOptions()))
+    got = {(r.a, r.b) for r in lake.bronze(source).collect()}
+    assert got == {("1", None), ("x,y", 'say "a,b" twice'), (None, None)}
+
+
+def test_packed_files_leave_plain_ones_to_the_native_reader(lake, landing, monkeypatch):
+    (landing / "a.csv").write_text("tree,height\noak,30\n")
+    (landing / "b.csv.xz").write_bytes(lzma.compress(b"tree,age\nelm,14\n"))
+    (landing / "c.csv.gz").write_bytes(gzip.compress(b"tree,height\nfir,12\n"))
+    (landing / "d.zip").write_bytes(zipped(d="tree,height\nyew,5\n"))
+    seen = []
+    native = delimited.read_layout
+    monkeypatch.setattr(delimited, "read_layout", lambda spark, paths, *a, **k: seen.extend(paths) or native(spark, paths, *a, **k))
+    source = Source("mixed", str(landing), decode=DecodeOptions(member_pattern="*.csv"))
+    assert lake.load(source)["rows_loaded"] == 4
+    assert {p.rsplit("/", 1)[1] for p in seen} == {"a.csv", "c.csv.gz"}
+    got = {(r.tree, r.height, r.age) for r in lake.bronze(source).collect()}
+    assert got == {("oak", "30", None), ("elm", None, "14"), ("fir", "12", None), ("yew", "5", None)}
+
+
+def test_broken_json_is_named_and_not_recorded(lake, landing):
+    (landing / "good.json").write_text('[{"v": 1}]')
+    (landing / "cut.json").write_text('[{"v": 2}, {"v"')
+    source = Source("j", str(landing), kind="json", strategy="append")
+    with pytest.raises(Exception, match="cut.json|MALFORMED|Malformed"):
+        lake.load(source)
+    assert lake.ops.read("file_manifest").count() == 0
+    (landing / "cut.json").write_text('[{"v": 2}, {"v": 3}]')
+    lake.load(source)
+    assert rows(lake.bronze(source), "v") == [("1",), ("2",), ("3",)]
+
+
+def test_essential_columns_of_each_json_file(lake, landing):
+    (landing / "a.json").write_text('[{"v": 1, "w": "x"}]')
+    (landing / "b.json").write_text('[{"w": "y"}]')
+    source = Source("j", str(landing), kind="json", essential=("v",))
+    with pytest.raises(LandingError, match="b.json lacks essential columns"):
+        lake.load(source)
+    assert rows(lake.bronze(source), "v", "w") == [("1", "x")]
 
 
 def test_settle_window_and_json(lake, landing):
@@ -156,14 +210,32 @@ def test_settle_window_and_json(lake, landing):
 def test_stream_skips_content_seen_under_another_name(lake, landing, tmp_path):
     source = Source("stream", str(landing))
     checkpoint = str(tmp_path / "checkpoint")
-    (landing / "a.csv").write_text("id\n1\n2\n")
+    (landing / "a.csv").write_text("tree\noak\nelm\n")
+    land_available(lake, source, checkpoint)
+    (landing / "again.csv").write_text("tree\noak\nelm\n")
+    (landing / "b.csv").write_text("tree\nfir\n")
+    (landing / "b2.csv").write_text("tree\nfir\n")
+    land_available(lake, source, checkpoint)
+    land_available(lake, source, checkpoint)
+    assert rows(lake.bronze(source), "tree") == [("elm",), ("fir",), ("oak",)]
+
+
+def test_stream_takes_settled_files_later_and_rewritten_ones_again(lake, landing, tmp_path):
+    source = Source("stream", str(landing), min_age_seconds=3600)
+    checkpoint = str(tmp_path / "checkpoint")
+    file = landing / "a.csv"
+    file.write_text("tree\noak\n")
     land_available(lake, source, checkpoint)
-    (landing / "copy.csv").write_text("id\n1\n2\n")
-    (landing / "b.csv").write_text("id\n3\n")
-    (landing / "b2.csv").write_text("id\n3\n")
+    assert lake.ops.read("file_manifest").count() == 0
+    past = file.stat().st_mtime - 7200
+    os.utime(file, (past, past))
     land_available(lake, source, checkpoint)
+    assert rows(lake.bronze(source), "tree") == [("oak",)]
+    file.write_text("tree\noak\nyew\n")
+    os.utime(file, (past, past))
     land_available(lake, source, checkpoint)
-    assert rows(lake.bronze(source), "id") == [("1",), ("2",), ("3",)]
+    assert lake.ops.read("file_manifest").count() == 2
+    assert ("yew",) in rows(lake.bronze(source), "tree")
 
 
 def test_purge_and_profile(spark, lake, landing):
