@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from cohortlake.session import cut_lineage
 
 
+#: Rows that one task of a distributed sort numbers.
+RANGE_ROWS = 2_000_000
+
+
 def exact_ntile(
     df: DataFrame,
     buckets: int,
@@ -23,11 +27,15 @@ def exact_ntile(
     Rows are range-partitioned on (partition, order) and stored with their range number. The
     count of rows per range (at most ``ranges`` plus the number of groups) gives each range its
     offset, and the position inside a range completes the rank. ``order`` must end in a unique
-    key; then no range can be filled by ties.
+    key; then no range can be filled by ties. Ranges grow in number, not in size: one holds about
+    ``RANGE_ROWS`` rows at most. ``df`` is computed once, before it is counted and sampled.
     """
     spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
+    if ranges is None:
+        df = cut_lineage(df, "ntile")
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(usual, -(-df.count() // RANGE_ROWS))
     keys = [F.col(c) for c in partition]
     ranged = df.repartitionByRange(ranges, *keys, *order).withColumn(
         "_range", F.spark_partition_id()

@@ -17,6 +17,7 @@ from cohortlake.functions import text as t
 from cohortlake.operators import checks, cohorts, consume, dsl, profiles
 from cohortlake.operators.latest import latest_partition, latest_per_key
 from cohortlake.plans.export import ExportTable
+from cohortlake.plans.ops import Ops
 from cohortlake.plans.release import ZONE, freshness
 from cohortlake.session import all_together, cut_lineage
 
@@ -82,6 +83,17 @@ INSTITUTION_COLUMNS = {
     "text": "co_ies no_ies sg_ies sg_uf_ies co_municipio_ies",
     "int": "nu_ano_censo tp_categoria_administrativa tp_organizacao_academica",
 }
+INSTITUTION_SCHEMA = (
+    "co_ies string, no_ies string, sg_ies string, sg_uf_ies string, co_municipio_ies string, "
+    "nu_ano_censo int, tp_categoria_administrativa int, tp_organizacao_academica int"
+)
+INSTITUTION_SCORE_SCHEMA = (
+    "nu_edicao int, co_ies string, no_ies string, sg_uf string, igc_continuo decimal(38,10), igc_faixa string"
+)
+# Codes of the federal states.
+STATES = (
+    "AC AL AM AP BA CE DF ES GO MA MG MS MT PA PB PE PI PR RJ RN RO RR RS SC SE SP TO"
+).split()
 SCORE_RENAMED = {
     "co_curso": ("codigo_do_curso", "text"),
     "co_ies": ("codigo_da_ies", "text"),
@@ -660,10 +672,15 @@ class Silver:
     profile: DataFrame
     exam: DataFrame
     population: DataFrame
+    scores: DataFrame
+    latest_scores: DataFrame
+    institutions: DataFrame
+    institution_scores: DataFrame
 
 
 def build_silver(bronze: Mapping[str, DataFrame]) -> Silver:
-    """``bronze``: trajectory, census, scores, and optionally exam and population."""
+    """``bronze``: trajectory, census, scores, and optionally exam, population, institutions and
+    institution_scores."""
     spark = bronze["trajectory"].sparkSession
 
     def cohorts_of() -> tuple[DataFrame, ...]:
@@ -685,12 +702,22 @@ def build_silver(bronze: Mapping[str, DataFrame]) -> Silver:
             return spark.createDataFrame([], POPULATION_SCHEMA)
         return population(bronze["population"])
 
+    def optional(name: str, typed, year: str, schema: str) -> DataFrame:
+        # A source that has never delivered a file has no business columns yet.
+        if name not in bronze or year not in bronze[name].columns:
+            return spark.createDataFrame([], schema)
+        return cut_lineage(typed(bronze[name]), name)
+
     parts = all_together(
         {
             "cohorts": cohorts_of,
             "courses": courses_of,
             "scores": lambda: cut_lineage(course_scores(bronze["scores"]), "scores"),
             "exam": exam_of,
+            "institutions": lambda: optional("institutions", census_institutions, "nu_ano_censo", INSTITUTION_SCHEMA),
+            "institution_scores": lambda: optional(
+                "institution_scores", institution_scores, "ano", INSTITUTION_SCORE_SCHEMA
+            ),
         }
     )
     (typed, acc, snapshot), (census, course_year) = parts["cohorts"], parts["courses"]
@@ -710,11 +737,19 @@ def build_silver(bronze: Mapping[str, DataFrame]) -> Silver:
         later["profile"],
         parts["exam"],
         people_of(),
+        parts["scores"],
+        latest_score(parts["scores"]),
+        parts["institutions"],
+        parts["institution_scores"],
     )
 
 
-def build_gold(s: Silver) -> dict[str, DataFrame]:
+def build_gold(s: Silver, ops: Ops) -> dict[str, DataFrame]:
+    """All published tables; the control table comes from the run log and manifest of ``ops``."""
     plans = {
+        "controle_atualizacao": lambda: refresh_control(
+            ops.read("ingestion_runs"), ops.read("file_manifest"), F.current_timestamp()
+        ),
         "p1_trajetoria_coorte": lambda: cohort_curve(s.accumulated),
         "p2_desistencia_curso": lambda: course_milestone(s.milestone),
         "p2_desistencia_area": lambda: area_curve(s.accumulated),
@@ -735,6 +770,7 @@ def build_gold(s: Silver) -> dict[str, DataFrame]:
 
 # Published table -> key columns, and base column of its export (none: not suppressed).
 KEYS = {
+    "controle_atualizacao": ["fonte"],
     "p1_trajetoria_coorte": ["modalidade", "nu_ano_ingresso", "nu_ano_referencia"],
     "p2_desistencia_curso": ["co_curso", "nu_ano_ingresso"],
     "p2_desistencia_area": ["no_cine_area_geral", "modalidade", "nu_ano_ingresso", "nu_ano_curso"],
@@ -754,6 +790,7 @@ BASES = {
     "p4_fatores": "nu_cursos",
     "b2_financiamento_ano": "qt_matricula",
     "b1_desertos_municipio": None,
+    "controle_atualizacao": None,
 }
 
 
@@ -807,6 +844,15 @@ def silver_tests(s: Silver) -> DataFrame:
         "profile": (s.profile, ["co_curso", "factor"]),
         "exam": (s.exam, ["nu_edicao", "co_curso"]),
         "population": (s.population, ["co_municipio", "co_idade"]),
+        "scores": (s.scores, ["nu_edicao", "co_curso"]),
+        "latest_scores": (s.latest_scores, ["co_curso"]),
+        "institutions": (s.institutions, ["nu_ano_censo", "co_ies"]),
+        "institution_scores": (s.institution_scores, ["nu_edicao", "co_ies"]),
+    }
+    bands = [str(n) for n in range(1, 6)] + ["SC"]
+    rated = {
+        "scores": (s.scores, "co_curso", "cpc"),
+        "institution_scores": (s.institution_scores, "co_ies", "igc"),
     }
     undergraduate = s.census.where("tp_nivel_academico = 1")
     return checks.suite(
@@ -820,6 +866,22 @@ def silver_tests(s: Silver) -> DataFrame:
             checks.run_row_checks(
                 s.exam, {"exam.pct.between": checks.between("pct_proficiente", 0, 100)}
             ),
+            checks.run_row_checks(
+                s.institutions,
+                {f"institutions.{c}.not_null": checks.not_null(c) for c in ("nu_ano_censo", "co_ies", "no_ies")}
+                | {"institutions.sg_uf_ies.accepted": checks.accepted_values("sg_uf_ies", STATES)},
+            ),
+            *[
+                checks.run_row_checks(
+                    df,
+                    {f"{name}.{c}.not_null": checks.not_null(c) for c in ("nu_edicao", key)}
+                    | {
+                        f"{name}.{mark}_faixa.accepted": checks.accepted_values(f"{mark}_faixa", bands),
+                        f"{name}.{mark}_continuo.between": checks.between(f"{mark}_continuo", 0, 5),
+                    },
+                )
+                for name, (df, key, mark) in rated.items()
+            ],
             checks.count_violations(
                 "accumulated.rows", checks.row_count_equal(s.accumulated, s.trajectory)
             ),

@@ -39,11 +39,15 @@ def build_session(app: str = "cohortlake", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Only a session within one process (a local test) gets a temporary folder; on a cluster such a
+    folder would be another one on every machine, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"{master}: name a folder that all executors share in spark.checkpoint.dir")
     fallback = getattr(spark, "_cohortlake_dir", None)
     if fallback is None:
         fallback = tempfile.mkdtemp(prefix="cohortlake-")
@@ -53,7 +57,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/cohortlake/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/cohortlake/{label}-{uuid.uuid4().hex}"
+    if not hasattr(spark, "_cohortlake_scratch"):
+        spark._cohortlake_scratch = []
+    spark._cohortlake_scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this session has written below the shared folder; no relation made from it can be
+    read any more. To be called when a run's results are stored. Returns the number of paths."""
+    paths = getattr(spark, "_cohortlake_scratch", [])
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._cohortlake_scratch = []
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:

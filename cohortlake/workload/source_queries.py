@@ -233,9 +233,14 @@ def workbook_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _files(rows: DataFrame) -> int:
+    """Number of files for some rows: as many as the data need, eight at least."""
+    return max(8, -(-rows.count() // 1_000_000))
+
+
 def _deliver(rows: DataFrame, folder: str, name: str) -> None:
     """CSV files whose bytes depend on the rows only, so that a second delivery repeats them."""
-    fixed = rows.repartition(8, "event_id").sortWithinPartitions("event_id")
+    fixed = rows.repartition(_files(rows), "event_id").sortWithinPartitions("event_id")
     fixed.write.csv(f"{folder}/{name}", header=True, escape='"')
 
 
@@ -277,7 +282,8 @@ def bulk_landing(spark: SparkSession, sf: str) -> DataFrame:
     """All order lines landed from CSV files and summed from Bronze."""
     folder = scratch_path(spark, "landing")
     lake = Lake(spark, scratch_path(spark, "lake"))
-    lines = base.table(spark, sf, "lineitem").repartition(8)
+    lines = base.table(spark, sf, "lineitem")
+    lines = lines.repartition(_files(lines))
     lines.write.csv(folder, header=True, sep=";", escape='"')
     source = Source("lines", folder, include=("*.csv",), essential=("l_orderkey", "l_shipdate"))
     lake.load(source)

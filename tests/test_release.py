@@ -191,7 +191,8 @@ PEOPLE = "co_municipio,no_municipio,nu_ano,co_idade,idade,qt_populacao\n" + "".j
 
 def test_pipeline_from_files_to_exports(spark, tmp_path):
     landing = tmp_path / "landing"
-    for name in ("trajectory", "census", "scores", "exam", "population"):
+    names = ("trajectory", "census", "scores", "exam", "population", "institutions", "institution_scores")
+    for name in names:
         (landing / name).mkdir(parents=True)
     facts = []
     for cohort in (2019, 2020):
@@ -204,17 +205,22 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
         (landing / "scores" / f"s{edition}.csv").write_text(_scores(edition))
     (landing / "exam" / "e.csv").write_text(EXAM)
     (landing / "population" / "p.csv").write_text(PEOPLE)
+    (landing / "institutions" / "i.csv").write_text("NU_ANO_CENSO;CO_IES;NO_IES;SG_IES;SG_UF_IES;CO_MUNICIPIO_IES;TP_CATEGORIA_ADMINISTRATIVA;TP_ORGANIZACAO_ACADEMICA\n"
+        "2021;1;Uni;U;MT;100;1;1\n2023;1;Uni;U;MT;100;1;1\n")
+    (landing / "institution_scores" / "g.csv").write_text(
+        "Ano,Código da IES,Nome da IES,Sigla da UF,IGC (Contínuo),IGC (Faixa)\n2022,1,Uni,MT,3.25,4\n2022,2,Other,SP,,sc\n"
+    )
     need = {"trajectory": ("co_curso", "qt_ingressante"), "census": ("co_curso",), "scores": ("codigo_do_curso",)}
     sources = [
         Source(n, str(landing / n), required=n in need, essential=need.get(n, ()), decode=DecodeOptions())
-        for n in ("trajectory", "census", "scores", "exam", "population")
+        for n in names
     ]
     lake = Lake(spark, str(tmp_path / "lake"))
     silver = {}
 
-    def build(_):
+    def build(lake):
         silver["s"] = he.build_silver({s.name: lake.bronze(s) for s in sources})
-        return he.build_gold(silver["s"])
+        return he.build_gold(silver["s"], lake.ops)
 
     def tests(tables):
         return he.silver_tests(silver["s"]).unionByName(he.gold_tests(tables))
@@ -245,7 +251,7 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
             100 * sum(f["QT_DESISTENCIA"] for f in upto) / base, abs=0.005001
         )
     record, files = publisher.release()
-    assert record.first()["version"] == summary["version"] and files.count() == 8
+    assert record.first()["version"] == summary["version"] and files.count() == 10
     funnel = {r["rede"]: r for r in publisher.read("p5_funil_licenciaturas").collect()}
     assert set(funnel) == {"Pública", "Privada", "Total"}
     assert funnel["Total"]["nu_cursos_enade"] == 20
@@ -258,6 +264,14 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
     assert publisher.read("b2_financiamento_desistencia").count() == 4
     assert publisher.read("p2_desistencia_area").where("no_cine_area_geral = 'Não informada'").count() > 0
 
+    control = {r["fonte"]: r for r in publisher.read("controle_atualizacao").collect()}
+    assert set(control) == set(names) and control["census"]["linhas_disponiveis"] > 0
+    assert {(r["co_ies"], str(r["igc_faixa"])) for r in silver["s"].institution_scores.collect()} == {("1", "4"), ("2", "SC")}
+    found = {c["check"] for c in summary["checks"]}
+    assert {"scores.grain", "institutions.grain", "institution_scores.igc_faixa.accepted", "latest_scores.grain"} <= found
+    joined = he.top_institutions(silver["s"].census, silver["s"].institutions, {"fies": "qt_mat_fies"}, "fies")
+    assert {r["ies"] for r in joined.collect()} == {"Uni"}
+
     census = silver["s"].census
     institutions = spark.createDataFrame([("1", 2021, "Uni")], "co_ies string, nu_ano_censo int, no_ies string")
     years = {r["nu_ano_censo"]: r for r in he.funding_diagnostics(census).collect()}
