@@ -168,7 +168,7 @@ def to_text_frame(df: DataFrame) -> DataFrame:
 
 
 # Fixed mark standing for NULL inside a row hash.
-NULL_MARK = "\x1f<null>"
+NULL_MARK = "\x1e~"
 
 
 def row_hash(columns: list[str]) -> Column:

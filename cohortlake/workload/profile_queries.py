@@ -197,7 +197,8 @@ def exam(spark: SparkSession, sf: str) -> DataFrame:
 
     The percentage arrives as a fraction and its scale is repaired from the data.
     """
-    lines = base.table(spark, sf, "lineitem").where(F.year("l_shipdate") == 2001)
+    lines = base.table(spark, sf, "lineitem")
+    lines = lines.where(F.year("l_shipdate") == lines.agg(F.max(F.year("l_shipdate"))).scalar())
     counts = lines.groupBy(F.col("l_suppkey").alias("entity")).agg(
         F.count(F.lit(1)).alias("qt_participants"),
         F.count_if(F.col("l_quantity") > 25).alias("qt_proficient"),
@@ -375,7 +376,7 @@ exam AS (
            AS pct_proficient
   FROM (SELECT l_suppkey AS entity, count(*) AS qt_participants,
                count(*) FILTER (WHERE l_quantity > 25) AS qt_proficient
-        FROM lineitem WHERE year(l_shipdate) = 2001 GROUP BY 1))"""
+        FROM lineitem WHERE year(l_shipdate) = (SELECT max(year(l_shipdate)) FROM lineitem) GROUP BY 1))"""
 QUARTILE_COLUMNS_SQL = f"""
        min((20000 * part + whole) // (2 * whole)) / 100.0 AS pct_min,
        max((20000 * part + whole) // (2 * whole)) / 100.0 AS pct_max,

@@ -90,8 +90,7 @@ def schema_drift_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dry_run_profile(spark: SparkSession, sf: str) -> DataFrame:
-    rows = base.text_events(spark, sf).select("event_id", "kind", "amount")
-    return landing.profile(rows).select("column", "nu_rows", "nu_missing")
+    return landing.profile(base.text_events(spark, sf)).select("column", "nu_rows", "nu_missing")
 
 
 def _expected(spark: SparkSession, sf: str) -> DataFrame:
@@ -283,7 +282,9 @@ UNION ALL SELECT 'c_acctbal', 'column_missing', count(c_acctbal) FROM customer""
 WITH {base.TEXT_EVENTS_SQL}
 SELECT 'event_id' AS "column", count(*) AS nu_rows, count(*) - count(event_id) AS nu_missing FROM texts
 UNION ALL SELECT 'kind', count(*), count(*) - count(kind) FROM texts
-UNION ALL SELECT 'amount', count(*), count(*) - count(amount) FROM texts""",
+UNION ALL SELECT 'amount', count(*), count(*) - count(amount) FROM texts
+UNION ALL SELECT 'user_id', count(*), count(*) - count(user_id) FROM texts
+UNION ALL SELECT 'props', count(*), count(*) - count(props) FROM texts""",
     "orchestrated_results": f"WITH {_ORCHESTRATED_SQL} SELECT * FROM orch",
     "source_gate": f"""
 WITH {_ORCHESTRATED_SQL},

@@ -114,9 +114,10 @@ def to_text_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def row_hashes(spark: SparkSession, sf: str) -> DataFrame:
     rows = base.table(spark, sf, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("seg")
-    )
-    fields = ["c_name", "c_nationkey", "seg"]
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
+        F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("seg"),
+    )
+    fields = ["c_custkey", "c_name", "c_nationkey", "balance", "seg"]
     return rows.select(
         "c_custkey",
         t.row_digest(fields).alias("digest"),
@@ -315,8 +316,9 @@ SELECT event_id::VARCHAR AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
        '{"user": ' || user_id || ', "tags": ["' || event_type || '", "a:b, c"]}' AS nested,
        value::DECIMAL(18,4)::VARCHAR AS exact FROM events""",
     "row_hashes": r"""
-SELECT c_custkey, sha256(c_name || chr(31) || c_nationkey || chr(31) ||
-         CASE WHEN c_mktsegment = 'MACHINERY' THEN chr(31) || '<null>' ELSE c_mktsegment END) AS digest,
+SELECT c_custkey, sha256(c_custkey || chr(31) || c_name || chr(31) || c_nationkey || chr(31) ||
+         c_acctbal::DECIMAL(18,2)::VARCHAR || chr(31) ||
+         CASE WHEN c_mktsegment = 'MACHINERY' THEN chr(30) || '~' ELSE c_mktsegment END) AS digest,
        16::BIGINT AS short_length FROM customer""",
     "json_flatten": """
 SELECT event_id::VARCHAR AS id, event_type AS cat_kind,
