@@ -8,10 +8,11 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlake.plans.landing import Lake, Source
+from cohortlake.plans.landing import Lake, LandingError, Source
+from cohortlake.plans.ops import optional_parquet
 from cohortlake.session import scratch_path, ship_package, spread
 from cohortlake.sources import decoded, dialect, files, json_records
 from cohortlake.streaming.incremental import land_available
@@ -298,7 +299,41 @@ def bulk_landing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of four runs: a load, the same again, a full load without files, a lacking column."""
+    folder, empty = scratch_path(spark, "landing"), scratch_path(spark, "landing")
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    events = base.table(spark, sf, "events").select("event_id", "event_type")
+    _deliver(events, folder, "day1")
+    spark.createDataFrame([], "event_id long").write.parquet(empty)
+    source = Source("events", folder, include=("*.csv",), decode=decoded.DecodeOptions(sep=","))
+    for attempt in (
+        source,
+        source,
+        Source("none", empty, strategy="full", include=("*.csv",)),
+        Source("lacking", folder, include=("*.csv",), essential=("absent",)),
+    ):
+        try:
+            lake.load(attempt)
+        except LandingError:
+            pass  # the log has it
+    number = F.row_number().over(Window.orderBy("started_at", "run_id")).cast("bigint")
+    return lake.ops.read("ingestion_runs").select(
+        number.alias("run_no"), "source", "load_strategy", "status", "units_processed", "units_skipped",
+        "rows_extracted", "rows_loaded", F.col("error").isNotNull().alias("has_error"),
+    )
+
+
+def optional_relation(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers beside a relation that has never arrived."""
+    absent = optional_parquet(spark, scratch_path(spark, "absent"), "c_custkey long, rating double")
+    customers = base.table(spark, sf, "customer").select("c_custkey", "c_name")
+    return customers.join(absent, "c_custkey", "left")
+
+
 QUERIES = {
+    "run_log": run_log,
+    "optional_relation": optional_relation,
     "detect_dialect": detect_dialect,
     "header_rows": header_rows,
     "numeric_cells": numeric_cells,
@@ -313,6 +348,14 @@ QUERIES = {
 }
 
 ORACLE = {
+    "run_log": """
+WITH n AS (SELECT count(*) AS r, greatest(8, ceil(count(*) / 1000000.0))::BIGINT AS f FROM events)
+SELECT 1::BIGINT AS run_no, 'events' AS source, 'append' AS load_strategy, 'success' AS status,
+       f AS units_processed, 0::BIGINT AS units_skipped, r AS rows_extracted, r AS rows_loaded, false AS has_error FROM n
+UNION ALL SELECT 2, 'events', 'append', 'success', 0, f, 0, 0, false FROM n
+UNION ALL SELECT 3, 'none', 'full', 'failed', 0, 0, 0, 0, true FROM n
+UNION ALL SELECT 4, 'lacking', 'append', 'failed', f, 0, r, 0, true FROM n""",
+    "optional_relation": "SELECT c_custkey, c_name, NULL::DOUBLE AS rating FROM customer",
     "detect_dialect": r"""
 SELECT doc_id,
        CASE lang WHEN 'fr' THEN 'utf-8-sig' WHEN 'es' THEN 'utf-16'
