@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortlake.operators.latest import latest_per_key
+from cohortlake.session import replace_folder, restore_folder
 
 SCHEMAS = {
     "ingestion_runs": """
@@ -70,9 +71,13 @@ class Ops:
     def path(self, name: str) -> str:
         return f"{self.root}/ops/{name}"
 
+    def _aside(self, name: str) -> str:
+        return f"{self.root}/ops/{name}_old"
+
     def read(self, name: str) -> DataFrame:
         schema = T.StructType.fromDDL(SCHEMAS[name])
         if name not in self._made:
+            restore_folder(self.spark, self.path(name), self._aside(name))
             # Does nothing where the relation exists already.
             with _writing:
                 self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(name))
@@ -110,7 +115,10 @@ class Ops:
         }
 
     def purge(self, days: int, names: Iterable[str] = RETAINED) -> dict[str, int]:
-        """Drop audit rows older than ``days``; the new table is complete before the old one goes."""
+        """Drop audit rows older than ``days``; the new table is complete before the old one goes.
+
+        Loads of other processes must not append to a relation while it is purged.
+        """
         removed = {}
         for name in names:
             rows = self.read(name)
@@ -119,8 +127,8 @@ class Ops:
             if removed[name]:
                 spare = f"{self.path(name)}_kept"
                 kept.write.mode("overwrite").parquet(spare)
-                safe = self.spark.read.schema(SCHEMAS[name]).parquet(spare)
-                safe.write.mode("overwrite").parquet(self.path(name))
+                with _writing:
+                    replace_folder(self.spark, spare, self.path(name), self._aside(name))
         return removed
 
 

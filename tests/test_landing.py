@@ -250,3 +250,15 @@ def test_purge_and_profile(spark, lake, landing):
     assert lake.ops.read("ingestion_runs").count() == 0
     found = rows(profile(lake.bronze(source).select("id", "x")), "column", "nu_rows", "nu_missing")
     assert found == [("id", 2, 0), ("x", 2, 1)]
+
+
+def test_purge_survives_a_crash_between_renames(spark, lake, landing):
+    (landing / "a.csv").write_text("tree\noak\n")
+    lake.load(Source("p", str(landing)))
+    live = lake.ops.path("ingestion_runs")
+    os.rename(live, f"{live}_old")
+    fresh = Lake(spark, lake.root)
+    assert fresh.ops.read("ingestion_runs").count() == 1
+    assert fresh.ops.purge(1)["ingestion_runs"] == 0
+    assert fresh.ops.purge(0)["ingestion_runs"] == 1
+    assert Lake(spark, lake.root).ops.read("ingestion_runs").count() == 0
