@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -91,3 +93,24 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 def third(column: str, modulus: int) -> Column:
     """crc32 of an id as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string")) % modulus
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system; idle Python workers otherwise keep their largest size."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A task function that gives its memory back when its input is done."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied

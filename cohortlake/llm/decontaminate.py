@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import gathered, ship_package, text_tokens, words_of
+from cohortlake.llm.common import gathered, ship_package, text_tokens, tidy, words_of
 
 #: Shingle length and overlap of verification.
 SHINGLE = 5
@@ -218,7 +218,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, overlap: float = OVERL
                     names=["doc_id", "item_id", "score", "question", "answer", "contaminated"],
                 )
 
-        found = docs.select("doc_id", "text").mapInArrow(run, schema)
+        found = docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
         out = found if out is None else out.union(found)
     return spark.createDataFrame([], schema) if out is None else out
 

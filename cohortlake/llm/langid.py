@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import ship_package
+from cohortlake.llm.common import ship_package, tidy
 
 #: n-grams are kept as hashed slots; presence of a slot stands for presence of its n-grams.
 SLOT_BITS = 18
@@ -162,4 +162,4 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
                     [*columns, pa.array(pred, pa.string()), pa.array(share)], names=[*keep, "lang_pred", "score"]
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut_lineage, shuffle_partitions, words_of
+from cohortlake.llm.common import cut_lineage, shuffle_partitions, tidy, words_of
 from cohortlake.llm.components import components
 
 #: Differing bits up to which two fingerprints link.
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(codes.view(np.int64))], names=["doc_id", "code"]
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, code long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, code long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Groups are dealt by path and key; codes of one path that meet in a task share one index.
     parts = shuffle_partitions(spark)
     dealt = groups.repartition(parts, "path", "key").select(F.crc32("path").alias("part"), "code")
-    found = cut_lineage(dealt.mapInArrow(run, "a long, b long"), "simhash-forest")
+    found = cut_lineage(dealt.mapInArrow(tidy(run), "a long, b long"), "simhash-forest")
     node_a = classes.select(F.col("code").alias("a"), F.col("node").alias("na"))
     node_b = classes.select(F.col("code").alias("b"), F.col("node").alias("nb"))
     links = found.distinct().join(node_a, "a").join(node_b, "b").where("na is not null and nb is not null")

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut_lineage, flat, gathered, lists, ragged, shuffle_partitions
+from cohortlake.llm.common import cut_lineage, flat, gathered, lists, ragged, release_memory, shuffle_partitions, tidy
 from cohortlake.llm.postings import packed_columns, unpacked
 
 #: Bytes of a string that counts as repeated.
@@ -259,6 +259,7 @@ def _send_strings(ranges: int):
                     }
                 )
             )
+        release_memory()
         return pa.table(
             {"range": pa.array(named, pa.int32()), "block": pa.array([key[0].as_py()] * len(named), pa.int64()), "packed": pa.array(packed, pa.binary())}
         )
@@ -383,6 +384,7 @@ def _cut(columns: list[str], with_text: bool):
             part = buf[a:e]
             kept.append(part.tobytes() if not r else part[~gone[a:e]].tobytes())
         out = {c: rows.column(c) for c in columns}
+        release_memory()
         if with_text:
             out["text"] = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
         return pa.table(
@@ -424,15 +426,15 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "packed": pa.array([data], pa.binary())})
             block += 1
 
-    blocks = cut_lineage(source.mapInArrow(pack, "block long, packed binary"), "suffix-blocks")
-    leads = blocks.mapInArrow(_send_leads(ranges), "range int, block long, packed binary")
-    repeated = leads.repartition(ranges, "range").mapInArrow(_repeated_leads, "block long, leads binary")
+    blocks = cut_lineage(source.mapInArrow(tidy(pack), "block long, packed binary"), "suffix-blocks")
+    leads = blocks.mapInArrow(tidy(_send_leads(ranges)), "range int, block long, packed binary")
+    repeated = leads.repartition(ranges, "range").mapInArrow(tidy(_repeated_leads), "block long, leads binary")
     strings = (
         blocks.groupBy("block")
         .cogroup(repeated.groupBy("block"))
         .applyInArrow(_send_strings(ranges), "range int, block long, packed binary")
     )
-    marks = strings.repartition(ranges, "range").mapInArrow(_marks, "block long, marks binary")
+    marks = strings.repartition(ranges, "range").mapInArrow(tidy(_marks), "block long, marks binary")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "text")
     kept = ", text string" if with_text else ""
     return (

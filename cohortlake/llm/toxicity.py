@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut_lineage, gathered, ship_package
+from cohortlake.llm.common import cut_lineage, gathered, ship_package, tidy
 
 #: Terms shorter than this must match exactly; others within one edit.
 EXACT_BELOW = 4
@@ -281,4 +281,4 @@ def score(docs: DataFrame, lexicon: Lexicon, coefficients: np.ndarray, threshold
                 names=[*keep, "score", "predicted"],
             )
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return docs.select(*keep, "text").mapInArrow(tidy(run), schema)
