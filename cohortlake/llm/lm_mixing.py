@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut_lineage, flat, gathered, lists, shuffle_partitions, text_tokens
+from cohortlake.llm.common import cut_lineage, flat, gathered, lists, shuffle_partitions, text_tokens, tidy
 from cohortlake.llm.postings import (
     HeldSums, block_postings, bucket_count, bucket_of, finished, packed_columns, passed_on, unpacked,
 )
@@ -50,7 +50,12 @@ CONTEXT_BITS = (8, 12, 14, 14)
 INPUTS = 6
 SETS = 48
 CELLS, REACH = 49, 12.0
-_PRIOR = (0.05, 0.05, 0.05, 0.05, 0.02, 0.02)
+HASHED_PRIOR, EXACT_PRIOR = 0.05, 0.02
+#: Learning rate of the mixer.
+RATE = 0.3
+#: A unit is common if it makes up one in so many training tokens, so there are no more of them.
+COMMON = 2000
+BLOCK_BYTES = 12 << 20
 _LEAST = 2.0**-22
 END = b"\n"
 
@@ -108,7 +113,7 @@ def learn_gates(docs: DataFrame) -> np.ndarray:
         return pa.table({"part": rows.column("part").slice(0, 1), "n": lists(n.reshape(-1, per).sum(0), np.array([0, per]))})
 
     schema = "part int, n array<long>"
-    sums = docs.where("training").select("text").mapInArrow(run, schema).groupBy("part").applyInArrow(add, schema)
+    sums = docs.where("training").select("text").mapInArrow(tidy(run), schema).groupBy("part").applyInArrow(add, schema)
     table = np.zeros((slices, per))
     for row in sums.collect():  # at most 64 rows of a fixed size
         table[row["part"]] = row["n"]
@@ -141,10 +146,10 @@ def gated_units(texts: pa.Array, classes: np.ndarray) -> tuple[pa.Array, np.ndar
     words, owner = text_tokens(texts)
     n = len(texts)
     first, last = np.searchsorted(owner, np.arange(n)), np.searchsorted(owner, np.arange(n), side="right")
-    at = np.r_[np.arange(len(words)), last]  # words, then the end of each text
-    whose = np.r_[owner, np.arange(n)].astype(np.int64)
-    since = np.maximum(at - VOTERS, first[whose])
-    kind = classes[endings(words)] if len(words) else np.empty(0, np.int64)
+    at = np.r_[np.arange(len(words)), last].astype(np.int32)  # words, then the end of each text
+    whose = np.r_[owner, np.arange(n)].astype(np.int32)
+    since = np.maximum(at - VOTERS, first[whose].astype(np.int32))
+    kind = classes[endings(words)].astype(np.int8) if len(words) else np.empty(0, np.int8)
     best, gate = np.zeros(len(at), np.int32), np.full(len(at), GATES, np.int8)
     for k in range(GATES):
         seen = np.r_[0, np.cumsum(kind == k, dtype=np.int32)]
@@ -324,28 +329,27 @@ class Hashed:
         used = np.unique(ctx)
         self.row = np.zeros(sum(1 << b for b in CONTEXT_BITS), np.int32)
         self.row[used] = np.arange(1, len(used) + 1)
-        self.tree = np.zeros((len(used) + 1, 512), np.float32)
-        self.tree[self.row[ctx], 256 + (cells & 255)] = counts
+        tree = np.zeros((len(used) + 1, 512), np.float32)
+        tree[self.row[ctx], 256 + (cells & 255)] = counts
         for node in range(255, 0, -1):
-            self.tree[:, node] = self.tree[:, 2 * node] + self.tree[:, 2 * node + 1]
+            tree[:, node] = tree[:, 2 * node] + tree[:, 2 * node + 1]
+        # Log-odds of each child against its sibling; nodes 0 and 1 are no children.
+        tree += HASHED_PRIOR
+        self.odds = np.log(tree / tree[:, np.arange(512) ^ 1])
 
-    def counts(self, ctx: list[np.ndarray], v: np.ndarray, bit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        node = (1 << bit) | (v.astype(np.int64) >> (8 - bit))
+    def stretched(self, ctx: list[np.ndarray], v: np.ndarray, bit: int) -> Iterator[np.ndarray]:
+        """Log-odds of the taken bit by each hashed predictor."""
         child = (1 << (bit + 1)) | (v.astype(np.int64) >> (7 - bit))
+        flat_odds = self.odds.ravel()
         base = 0
         for c, bits in zip(ctx, CONTEXT_BITS, strict=True):
-            r = self.row[base + c.astype(np.int64)]
-            yield self.tree[r, node], self.tree[r, child]
+            yield flat_odds[self.row[base + c.astype(np.int64)].astype(np.int64) * 512 + child]
             base += 1 << bits
 
 
-def stretched(pairs, less: float = 0.0) -> np.ndarray:
-    """Log-odds of the taken bit by each predictor; ``less`` tokens are taken off the counts."""
-    out = []
-    for (before, after), prior in zip(pairs, _PRIOR, strict=True):
-        taken = np.maximum(after - less, 0) + prior
-        out.append(np.log(taken / (np.maximum(before - after, 0) + prior)))
-    return np.stack(out, 1)
+def exact_odds(before: np.ndarray, after: np.ndarray, less: float) -> np.ndarray:
+    """Log-odds of the taken bit by an exact predictor; ``less`` tokens are taken off the counts."""
+    return np.log((np.maximum(after - less, 0) + EXACT_PRIOR) / (np.maximum(before - after, 0) + EXACT_PRIOR))
 
 
 def weight_set(gate_before: np.ndarray, all_before: np.ndarray, less: float = 0.0) -> np.ndarray:
@@ -377,7 +381,7 @@ class Mixer:
         return Mixer(np.full((SETS, INPUTS), 0.3), np.tile(4 * centre, (SETS, 1)), np.full((SETS, CELLS), 4.0))
 
     def mixed(self, x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        return (self.weights[chosen] * x).sum(1)
+        return np.einsum("ij,ij->i", self.weights[chosen], x)
 
     def learn(self, x: np.ndarray, chosen: np.ndarray, n: np.ndarray, rate: float) -> None:
         """One step for a batch of decisions taken by ``n`` tokens each, then the adaptive map."""
@@ -425,34 +429,54 @@ def decisions(rows: Range, shared: Shared, part: int, less: float) -> Iterator[t
         i, bit = divmod(depth, 8)
         r = own[at]
         v, p1, p2, p3 = (head[r, 3 + i - k] for k in range(4))
-        ctx = contexts(rows.gate[r], p1, p2, p3)
-        pairs = [*shared.hashed.counts(ctx, v, bit), (all_before, all_after), (before, after)]
-        yield (steps, depth, at), stretched(pairs, less), weight_set(before, all_before, less), after
+        x = np.empty((len(at), INPUTS))
+        for k, odds in enumerate(shared.hashed.stretched(contexts(rows.gate[r], p1, p2, p3), v, bit)):
+            x[:, k] = odds
+        x[:, -2] = exact_odds(all_before, all_after, less)
+        x[:, -1] = exact_odds(before, after, less)
+        yield (steps, depth, at), x, weight_set(before, all_before, less), after
     row, place, v, p1, p2, p3 = byte_rows(rows)
     far = place >= DEPTH
     if far.any():
         row, v, p1, p2, p3 = row[far], v[far], p1[far], p2[far], p3[far]
-        none = np.zeros(len(row))
         ctx = contexts(rows.gate[row], p1, p2, p3)
+        alone = np.zeros(len(row), np.int64)  # the weight set of no exact knowledge
         for bit in range(8):
-            pairs = [*shared.hashed.counts(ctx, v, bit), (none, none), (none, none)]
-            yield (None, None, row), stretched(pairs, less), weight_set(none, none), rows.n[row]
+            x = np.zeros((len(row), INPUTS))
+            for k, odds in enumerate(shared.hashed.stretched(ctx, v, bit)):
+                x[:, k] = odds
+            yield (None, None, row), x, alone, rows.n[row]
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> tuple[int, Range] | None:
-    whole = [b for b in batches if b.num_rows]
-    if not whole:
-        return None
-    rows = pa.Table.from_batches(whole).combine_chunks()
-    part = rows.column("part")[0].as_py()
-    gate, n = (rows.column(c).to_numpy() for c in ("gate", "n"))
-    return part, Range.of(rows.column("word").to_pylist(), gate.astype(np.int64), n)
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Range, pa.RecordBatch]]:
+    for batch in batches:
+        for part, data in zip(batch.column("part").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+            table = unpacked(data)
+            n = table.column("n").to_numpy()
+            yield part, Range.of(table.column("word").to_pylist(), table.column("gate").to_numpy().astype(np.int64), n), table
+
+
+def _pack_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of a task as one row, sorted by word, with each word's tokens under all gates."""
+    from pyspark import TaskContext
+
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held).combine_chunks()
+    table = table.take(pc.sort_indices(table, [("word", "ascending"), ("gate", "ascending")]))
+    words = table.column("word").combine_chunks().dictionary_encode()
+    place = words.indices.to_numpy(zero_copy_only=False)
+    n = table.column("n").to_numpy()
+    total = np.bincount(place, weights=n)
+    columns = {"word": table.column("word").combine_chunks(), "gate": table.column("gate").combine_chunks().cast(pa.int8()), "n": pa.array(n), "c": pa.array(total[place].astype(np.int64))}
+    yield pa.RecordBatch.from_pydict(
+        {"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "packed": pa.array([packed_columns(columns)], pa.binary()), "tokens": pa.array([int(n.sum())], pa.int64()), "known": pa.array([int((total > 0).sum())], pa.int64())}
+    )
 
 
 def _send_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    got = _ranges(batches)
-    if got:
-        part, rows = got
+    for part, rows, _ in _ranges(batches):
         ends = rows.key[[0, -1]].copy()
         paths = np.stack([rows.path(k) for k in ends])
         cells, counts = cell_counts(rows)
@@ -463,13 +487,11 @@ def _send_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_range(rows: Range, shared: Shared, part: int) -> Mixer:
     mixer = Mixer.fresh()
-    for rate in (0.5, 0.1):
-        mixer.hits, mixer.seen = Mixer.fresh().hits, Mixer.fresh().seen
-        for _, x, chosen, n in decisions(rows, shared, part, 1.0):
-            some = np.flatnonzero(n > 0)
-            for start in range(0, len(some), 8192):
-                own = some[start : start + 8192]
-                mixer.learn(x[own], chosen[own], n[own], rate)
+    for _, x, chosen, n in decisions(rows, shared, part, 1.0):
+        some = np.flatnonzero(n > 0)
+        for start in range(0, len(some), 8192):
+            own = some[start : start + 8192]
+            mixer.learn(x[own], chosen[own], n[own], RATE)
     return mixer
 
 
@@ -488,31 +510,40 @@ def score_range(rows: Range, shared: Shared, part: int) -> np.ndarray:
 # --- jobs ----------------------------------------------------------------------------------------
 
 
-def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training tokens of the units of the task's buckets; hot units come in several parts."""
-    total: dict[bytes, int] = {}
-    hot: set[bytes] = set()
+def _block_counts(classes: np.ndarray, buckets: int):
+    """Training tokens of the distinct units of a block, packed by bucket."""
 
-    def out() -> Iterator[pa.RecordBatch]:
-        units = list(total)
-        for start in range(0, len(units), 50_000):
-            own = units[start : start + 50_000]
-            yield pa.RecordBatch.from_pydict(
-                {"gate": pa.array([u[0] - 65 for u in own], pa.int32()), "word": pa.array([u[1:] for u in own], pa.binary()), "n": pa.array([total[u] for u in own], pa.int64()), "hot": pa.array([u in hot for u in own], pa.bool_())}
-            )
-        total.clear(), hot.clear()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "text", BLOCK_BYTES):
+            words, owner = gated_units(batch.column("text"), classes)
+            coded = words.dictionary_encode()
+            names = coded.dictionary.cast(pa.large_binary()).cast(pa.binary())
+            trained = batch.column("training").to_numpy(zero_copy_only=False)[owner]
+            n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), weights=trained, minlength=len(names)).astype(np.int64)
+            home = bucket_of(names, buckets)
+            order = np.argsort(home, kind="stable")
+            cuts = np.searchsorted(home[order], np.arange(buckets + 1))
+            out = [(int(b), order[cuts[b] : cuts[b + 1]]) for b in np.flatnonzero(np.diff(cuts))]
+            packed = [packed_columns({"unit": names.take(pa.array(i)), "n": pa.array(n[i])}) for _, i in out]
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in out], pa.int32()), "packed": pa.array(packed, pa.binary())})
+
+    return run
 
+
+def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All tokens of the units of the task's buckets; ``coded`` sorts as the bits of a word do."""
+    total: dict[bytes, int] = {}
     for batch in batches:
-        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+        for data in batch.column("packed").to_pylist():
             rows = unpacked(data)
-            units = rows.column("unit").to_pylist()
-            for u, n in zip(units, rows.column("training").to_pylist(), strict=True):
+            for u, n in zip(rows.column("unit").to_pylist(), rows.column("n").to_pylist(), strict=True):
                 total[u] = total.get(u, 0) + n
-            if bucket < 0:
-                hot.update(units)
-            if len(total) > 1_000_000:
-                yield from out()
-    yield from out()
+    units = list(total)
+    for start in range(0, len(units), 50_000):
+        own = units[start : start + 50_000]
+        yield pa.RecordBatch.from_pydict(
+            {"gate": pa.array([u[0] - 65 for u in own], pa.int32()), "word": pa.array([u[1:] for u in own], pa.binary()), "coded": pa.array([u[1:] + b" " for u in own], pa.binary()), "n": pa.array([total[u] for u in own], pa.int64())}
+        )
 
 
 def _collected(edges: DataFrame) -> Shared:
@@ -547,64 +578,57 @@ def log_probabilities(docs: DataFrame) -> DataFrame:
         F.coalesce("training", F.lit(False)).alias("training"),
     )
     classes = learn_gates(source)
-    postings = cut_lineage(block_postings(source, lambda texts: gated_units(texts, classes)), "lm-postings")
-    dealt = postings.where("packed is not null").select("bucket", "packed").repartition(parts, "bucket")
-    counted = dealt.mapInArrow(_unit_counts, "gate int, word binary, n long, hot boolean")
-    pairs = counted.groupBy("word", "gate").agg(F.sum("n").alias("n"), F.max("hot").alias("hot"))
-    pairs = cut_lineage(pairs, "lm-pairs")
-    words = pairs.groupBy("word").agg(F.sum("n").alias("c"))
-    tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    # The order is by the coded word: a stop after it sorts before any longer word.
-    ranged = pairs.join(words, "word").withColumn("coded", F.concat("word", F.lit(b" ")))
-    ranged = ranged.repartitionByRange(parts, "coded", "gate").drop("coded").withColumn("part", F.spark_partition_id())
-    ranged = cut_lineage(ranged, "lm-ranges")
-    # One range stays one task: the files of a range are read together.
-    tasks = ranged.repartition(parts, "part").sortWithinPartitions("part")
-    shared = _collected(cut_lineage(_by_part(tasks, _send_edges, "part int, edges binary, paths binary, cells array<long>, counts array<double>"), "lm-edges"))
+    counted = source.select("text", "training").mapInArrow(tidy(_block_counts(classes, buckets)), "bucket int, packed binary")
+    counted = counted.repartition(parts, "bucket").mapInArrow(tidy(_unit_counts), "gate int, word binary, coded binary, n long")
+    # Written, since range partitioning samples its input first. A word's gates stay together.
+    ranged = cut_lineage(counted, "lm-units").repartitionByRange(parts, "coded").select("gate", "word", "n")
+    packed_range = "part int, packed binary, tokens long, known long"
+    ranges = cut_lineage(ranged.mapInArrow(tidy(_pack_range), packed_range), "lm-ranges")
+    tokens, distinct = ranges.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    tasks = ranges.select("part", "packed")
+    edges = tasks.mapInArrow(tidy(_send_edges), "part int, edges binary, paths binary, cells array<long>, counts array<double>")
+    shared = _collected(cut_lineage(edges, "lm-edges"))
     told = spark.sparkContext.broadcast(shared)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _ranges(batches)
-        if got:
-            mixer = train_range(got[1], told.value, got[0])
+        for part, rows, _ in _ranges(batches):
+            mixer = train_range(rows, told.value, part)
             yield pa.RecordBatch.from_pydict(
-                {"n": pa.array([float(got[1].n.sum())]), "weights": pa.array([mixer.weights.tobytes()]), "hits": pa.array([mixer.hits.tobytes()]), "seen": pa.array([mixer.seen.tobytes()])}
+                {"n": pa.array([float(rows.n.sum())]), "weights": pa.array([mixer.weights.tobytes()]), "hits": pa.array([mixer.hits.tobytes()]), "seen": pa.array([mixer.seen.tobytes()])}
             )
 
-    learned = _by_part(tasks, train, "n double, weights binary, hits binary, seen binary").collect()
+    learned = tasks.mapInArrow(tidy(train), "n double, weights binary, hits binary, seen binary").collect()
     shared.mixer = averaged([r.asDict() for r in learned])
     model = spark.sparkContext.broadcast(shared)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        got = _ranges(iter(held))
-        if not got:
-            return
-        part, rows = got
-        value = score_range(rows, model.value, part)
-        table = pa.Table.from_batches(held)
-        meta = {(w, g): (c, h) for w, g, c, h in zip(*(table.column(k).to_pylist() for k in ("word", "gate", "c", "hot")), strict=True)}
-        words = [c if c == END else c[:-1] for c in rows.coded]
-        extra = [meta[w, g] for w, g in zip(words, rows.gate.tolist(), strict=True)]
-        c = np.array([e[0] for e in extra], float)
-        hot = np.array([e[1] for e in extra], bool)
-        base = np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
-        units = pa.array([bytes([65 + g]) + w for g, w in zip(rows.gate.tolist(), words, strict=True)], pa.binary())
-        home = bucket_of(units, buckets)
-        order = np.argsort(home, kind="stable")
-        cuts = np.searchsorted(home[order], np.arange(buckets + 1))
-        chosen = [(b, order[cuts[b] : cuts[b + 1]]) for b in np.flatnonzero(np.diff(cuts))]
-        if hot.any():
-            chosen.append((-1, np.flatnonzero(hot)))
-        packed = [
-            packed_columns({"unit": units.take(pa.array(i)), "known": pa.array((c[i] > 0).astype(float)), "base": pa.array(base[i]), "score": pa.array(value[i])})
-            for _, i in chosen
-        ]
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(b) for b, _ in chosen], pa.int32()), "packed": pa.array(packed, pa.binary())})
-
-    values = cut_lineage(_by_part(tasks, score, "bucket int, packed binary"), "lm-values")
-    # Hot units stand in an eighth of some block's texts; there are some hundreds of them.
-    hot = spark.sparkContext.broadcast(_values(values.where("bucket < 0").toArrow().column("packed").to_pylist()))
+        for part, rows, table in _ranges(batches):
+            value = dict(zip(zip(rows.coded, rows.gate.tolist(), strict=True), score_range(rows, model.value, part).tolist(), strict=True))
+            words, gates = table.column("word").to_pylist(), table.column("gate").to_pylist()
+            found = np.array([value[w if w == END else w + b" ", g] for w, g in zip(words, gates, strict=True)], np.float32)
+            names = pa.array([bytes([65 + g]) + w for w, g in zip(words, gates, strict=True)], pa.binary())
+            c = table.column("c").to_numpy()
+            common = table.column("n").to_numpy() * COMMON > tokens
+            home = bucket_of(names, buckets)
+            home[common] = -1
+            order = np.argsort(home, kind="stable")
+            cuts = np.searchsorted(home[order], np.arange(-1, buckets + 1))
+            chosen = [(b - 1, order[cuts[b] : cuts[b + 1]]) for b in np.flatnonzero(np.diff(cuts))]
+            packed = [packed_columns({"unit": names.take(pa.array(i)), "c": pa.array(c[i]), "score": pa.array(found[i])}) for _, i in chosen]
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(b) for b, _ in chosen], pa.int32()), "packed": pa.array(packed, pa.binary())})
+
+    def values_in(packed: list[bytes]) -> dict[bytes, tuple[float, ...]]:
+        out = {}
+        for data in packed:
+            rows = unpacked(data)
+            c = rows.column("c").to_numpy()
+            base = np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
+            values = zip([1.0] * len(c), (c > 0).astype(float).tolist(), base.tolist(), rows.column("score").to_pylist(), strict=True)
+            out.update(zip(rows.column("unit").to_pylist(), values, strict=True))
+        return out
+
+    values = cut_lineage(tasks.mapInArrow(tidy(score), "bucket int, packed binary"), "lm-values")
+    common = spark.sparkContext.broadcast(values_in(values.where("bucket < 0").toArrow().column("packed").to_pylist()))
     names = ["n", "known", "base", "score"]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -617,61 +641,26 @@ def log_probabilities(docs: DataFrame) -> DataFrame:
                 if bucket != home:
                     home, known = bucket, {}
                 if block < 0:
-                    known.update(_values([data]))
+                    known.update(values_in([data]))
                     continue
                 rows = unpacked(data)
-                table = hot.value if bucket < 0 else known
-                v = np.array([table[u] for u in rows.column("unit").to_pylist()], float).T
+                v = np.array([known[u] for u in rows.column("unit").to_pylist()], float).T
                 at, lengths = flat(rows.column("at"))
                 times, _ = flat(rows.column("times"))
-                yield from held.add(block, n_docs, at, np.repeat(np.r_[np.ones((1, v.shape[1])), v], lengths, axis=1) * times)
+                yield from held.add(block, n_docs, at, np.repeat(v, lengths, axis=1) * times)
         yield from held.flush()
 
+    postings = block_postings(source, lambda texts: gated_units(texts, classes), BLOCK_BYTES, common)
     told_values = values.where("bucket >= 0").withColumn("block", F.lit(-1).cast("long"))
     both = postings.unionByName(told_values, allowMissingColumns=True)
     met = both.repartition(parts, "bucket").sortWithinPartitions("bucket", "block")
-    out = finished(met.mapInArrow(join, held_schema(names)), names)
+    out = finished(met.mapInArrow(tidy(join), HeldSums(names).schema()), names)
     return out.select(
         "doc_id", "training", F.round("n").cast("long").alias("n_tokens"), F.round("known").cast("long").alias("n_known"),
         F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
     )
 
 
-def held_schema(names: list[str]) -> str:
-    return HeldSums(names).schema()
-
-
-def _values(packed: list[bytes]) -> dict[bytes, tuple[float, float, float]]:
-    out = {}
-    for data in packed:
-        rows = unpacked(data)
-        columns = [rows.column(k).to_pylist() for k in ("known", "base", "score")]
-        out.update(zip(rows.column("unit").to_pylist(), zip(*columns, strict=True), strict=True))
-    return out
-
-
-def _by_part(tasks: DataFrame, run, schema: str) -> DataFrame:
-    """``run`` once for each range of a task: its rows come together, sorted by range."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            part = batch.column("part").to_numpy()
-            cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if a == b:
-                    continue
-                piece = batch.slice(a, b - a)
-                if held and held[0].column("part")[0].as_py() != part[a]:
-                    yield from run(iter(held))
-                    held = []
-                held.append(piece)
-        if held:
-            yield from run(iter(held))
-
-    return tasks.mapInArrow(split, schema)
-
-
 def averaged(learned: list[dict]) -> Mixer:
     """Weights averaged over ranges by their tokens; the adaptive maps add up."""
     out = Mixer.fresh()

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import flat, gathered, lists, shuffle_partitions
+from cohortlake.llm.common import flat, gathered, lists, shuffle_partitions, tidy
 
 #: Bytes of text in a block. Memory of a task is some multiple of it, whatever the table's size.
 BLOCK_BYTES = 24 << 20
@@ -32,7 +32,7 @@ HELD_SUMS = 2 << 20
 HOT = 8
 POSTINGS = (
     "block long, bucket int, n_docs int, packed binary, "
-    "doc_ids array<long>, n_bytes array<long>, trained array<boolean>"
+    "doc_ids array<long>, n_bytes array<long>, trained array<boolean>, sums array<double>"
 )
 #: Units of a column of texts: the units, and the index of the text of each.
 Units = Callable[[pa.Array], tuple[pa.Array, np.ndarray]]
@@ -60,7 +60,7 @@ def bucket_count(df: DataFrame) -> int:
     return 4 * shuffle_partitions(df.sparkSession)
 
 
-def block_postings(docs: DataFrame, units: Units) -> DataFrame:
+def block_postings(docs: DataFrame, units: Units, block_bytes: int = BLOCK_BYTES, known=None) -> DataFrame:
     """Postings of ``docs`` (doc_id long, text string, training boolean).
 
     Rows: ``packed`` null: the block itself (``doc_ids, n_bytes, trained`` by place); otherwise units of
@@ -68,6 +68,9 @@ def block_postings(docs: DataFrame, units: Units) -> DataFrame:
     ``training``, the unit's frequency in the block's training documents. Every input row is a document
     of its own, repeated ids too. Blocks follow the order of the input's rows, so ``docs`` must be a
     plain scan, which gives the same blocks again when a lost task is run anew.
+
+    ``known``: a broadcast of unit -> values for the most frequent units. Their sums are taken where
+    they are found (``sums`` of the block's row, value by value, by place), and they are not dealt out.
     """
     buckets = bucket_count(docs)
 
@@ -75,40 +78,45 @@ def block_postings(docs: DataFrame, units: Units) -> DataFrame:
         from pyspark import TaskContext
 
         block = TaskContext.get().partitionId() << 32
-        for batch in gathered(batches, "text", BLOCK_BYTES):
+        for batch in gathered(batches, "text", block_bytes):
             texts = pc.fill_null(batch.column("text"), "")
             training = pc.fill_null(batch.column("training"), False)
             n = len(texts)
             whole = pa.array([0, n], pa.int32())
             make = pa.ListArray.from_arrays
+            words, owner = units(texts)
+            rows, sums = None, None
+            if len(words):
+                seen = training.to_numpy(zero_copy_only=False)
+                rows, sums = _unit_rows(block, words, owner, seen, n, buckets, known.value if known else None)
             yield _row(
                 1, block, n,
                 bucket=pa.array([block % buckets], pa.int32()),
                 doc_ids=make(whole, batch.column("doc_id")),
                 n_bytes=make(whole, pc.binary_length(texts).cast(pa.int64())),
                 trained=make(whole, training),
+                **({} if sums is None else {"sums": lists(sums.ravel(), np.array([0, sums.size]))}),
             )
-            words, owner = units(texts)
-            if len(words):
-                yield _unit_rows(block, words, owner, training.to_numpy(zero_copy_only=False), n, buckets)
+            if rows is not None:
+                yield rows
             block += 1
 
-    return docs.select("doc_id", "text", "training").mapInArrow(run, POSTINGS)
+    return docs.select("doc_id", "text", "training").mapInArrow(tidy(run), POSTINGS)
 
 
 def _row(n: int, block: int, n_docs: int, **columns: pa.Array) -> pa.RecordBatch:
     kinds = {
         "bucket": pa.int32(), "packed": pa.binary(), "doc_ids": pa.list_(pa.int64()),
-        "n_bytes": pa.list_(pa.int64()), "trained": pa.list_(pa.bool_()),
+        "n_bytes": pa.list_(pa.int64()), "trained": pa.list_(pa.bool_()), "sums": pa.list_(pa.float64()),
     }
     columns |= {"block": pa.array([block] * n, pa.int64()), "n_docs": pa.array([n_docs] * n, pa.int32())}
-    names = ["block", "bucket", "n_docs", "packed", "doc_ids", "n_bytes", "trained"]
+    names = ["block", "bucket", "n_docs", "packed", "doc_ids", "n_bytes", "trained", "sums"]
     return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, kinds[c]) for c in names], names=names)
 
 
 def _unit_rows(
-    block: int, words: pa.Array, owner: np.ndarray, training: np.ndarray, n_docs: int, buckets: int
-) -> pa.RecordBatch:
+    block: int, words: pa.Array, owner: np.ndarray, training: np.ndarray, n_docs: int, buckets: int, known: dict | None
+) -> tuple[pa.RecordBatch, np.ndarray | None]:
     coded = words.dictionary_encode()
     names = coded.dictionary.cast(pa.large_binary()).cast(pa.binary())
     home = bucket_of(names, buckets)
@@ -127,6 +135,15 @@ def _unit_rows(
     seen = np.add.reduceat(times * training[at].astype(np.int64), starts)
     home, names = home[order], names.take(pa.array(order))
     hot = sizes * HOT > max(n_docs, 4 * HOT)
+    sums = None
+    if known is not None:
+        found = [known.get(u) for u in names.to_pylist()]
+        hot = np.array([f is not None for f in found])
+        values = np.array([f for f in found if f is not None], float)
+        if len(values):
+            use = np.repeat(hot, sizes)
+            value = np.repeat(values, sizes[hot], axis=0)
+            sums = np.stack([np.bincount(at[use], weights=v * times[use], minlength=n_docs) for v in value.T])
 
     def pack(chosen: np.ndarray) -> bytes:
         lengths = sizes[chosen]
@@ -146,12 +163,13 @@ def _unit_rows(
         own = own[~hot[own]]
         if len(own):
             out.append((b, pack(own)))
-    if hot.any():
+    if hot.any() and known is None:
         out.append((-1 - int(block % buckets), pack(np.flatnonzero(hot))))
-    return _row(
+    rows = _row(
         len(out), block, n_docs,
         bucket=pa.array([b for b, _ in out], pa.int32()), packed=pa.array([p for _, p in out], pa.binary()),
     )
+    return rows, sums
 
 
 class HeldSums:
@@ -214,18 +232,24 @@ def sums_by_document(postings: DataFrame, value_of: Callable[[], Callable], name
         yield from held.flush()
 
     dealt = postings.repartition(shuffle_partitions(postings.sparkSession), "bucket")
-    return finished(dealt.mapInArrow(run, HeldSums(names).schema()), names)
+    return finished(dealt.mapInArrow(tidy(run), HeldSums(names).schema()), names)
 
 
 def passed_on(batch: pa.RecordBatch, names: list[str]) -> Iterator[pa.RecordBatch]:
     """The rows of blocks themselves, in the form of sums."""
     own = batch.filter(pc.is_valid(batch.column("doc_ids")))
-    if own.num_rows:
-        sums = [pa.nulls(own.num_rows, pa.list_(pa.float64())) for _ in names]
-        block = [own.column(c) for c in ("doc_ids", "n_bytes", "trained")]
+    for at in range(own.num_rows):
+        n = own.column("n_docs")[at].as_py()
+        total = own.column("sums")[at]
+        whole = np.array([0, n])
+        if total.is_valid:
+            values = total.values.to_numpy().reshape(len(names), n)
+            sums = [lists(np.arange(n, dtype=np.int32), whole), *(lists(v, whole) for v in values)]
+        else:
+            sums = [pa.nulls(1, pa.list_(pa.int32())), *(pa.nulls(1, pa.list_(pa.float64())) for _ in names)]
+        block = [own.column(c).slice(at, 1) for c in ("doc_ids", "n_bytes", "trained")]
         yield pa.RecordBatch.from_arrays(
-            [own.column("block"), pa.nulls(own.num_rows, pa.list_(pa.int32())), *sums, *block],
-            names=["block", "at", *names, "doc_ids", "n_bytes", "trained"],
+            [own.column("block").slice(at, 1), *sums, *block], names=["block", "at", *names, "doc_ids", "n_bytes", "trained"]
         )
 
 
