@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from cohortlake import workload
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -21,10 +22,11 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(workload.queries()) == set(workload.oracles())
+    assert set(workload.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_query_equals_its_oracle(spark, oracle, name):
-    outcome, _ = compare(spark, oracle, SF, entry.queries()[name], entry.oracle_sql().get(name))
+    outcome, _ = compare(spark, oracle, SF, workload.queries()[name], workload.oracles()[name])
     assert outcome.startswith("ok"), outcome
