@@ -104,13 +104,15 @@ def release_memory() -> None:
         trim(0)
 
 
-def tidy(run: Callable) -> Callable:
+def tidy(run: Callable, forget: Callable[[], None] | None = None) -> Callable:
     """A task function that gives its memory back when its input is done."""
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
+            if forget is not None:
+                forget()
             release_memory()
 
     return tidied

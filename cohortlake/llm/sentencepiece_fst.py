@@ -27,15 +27,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from cohortlake.llm.common import gathered, ragged, ship_package
+from cohortlake.llm.common import gathered, ragged, ship_package, tidy
 from cohortlake.llm.tokencount import SPACE_MARK, check_model, pre_tokens
 
 BATCH_BYTES = 4 << 20
-#: Stretches and pairs a task remembers; beyond that it forgets and finds them anew.
-REMEMBERED = 150_000
+#: Stretches and pairs a task remembers in each of two generations: about those of its partition.
+REMEMBERED = 200_000
 _BPE = 2
 
 
+class Memory:
+    """Results of two generations: when the younger is full it becomes the older, and what is asked for
+    again moves up. Frequent keys stay, and the size is bounded."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= REMEMBERED:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class Transducer:
     """Normaliser, pieces and byte arcs of one model file."""
 
@@ -66,8 +91,8 @@ class Transducer:
         if any(c not in self.pieces for p in self.pieces for c in p):
             raise ValueError("a character stands in pieces but is none itself")
         self.penalty = min((self.score[i] for i in self.pieces.values()), default=0.0) - 10.0
-        self.follows: dict[int, bool] = {}  # pair of pieces, as one number
-        self.remembered: dict[str, list[int]] = {}
+        self.follows = Memory()  # pair of pieces, as one number -> whether they may meet
+        self.remembered = Memory()  # stretch -> ids
         surface = []
         for p in proto.pieces:
             if p.type == kinds.BYTE:
@@ -128,9 +153,8 @@ class Transducer:
                         pair = before << 20 | i
                         fits = follows.get(pair)
                         if fits is None:
-                            if len(follows) > REMEMBERED:
-                                follows.clear()
-                            fits = follows[pair] = self.may_follow(pair)
+                            fits = self.may_follow(pair)
+                            follows.put(pair, fits)
                         if not fits:
                             continue
                     best[end], begin[end] = i, at
@@ -167,9 +191,8 @@ class Transducer:
             part = text[start:at]
             found = remembered.get(part)
             if found is None:
-                if len(remembered) > REMEMBERED:
-                    remembered.clear()
-                found = remembered[part] = self.path(part)
+                found = self.path(part)
+                remembered.put(part, found)
             out += found
             start = at
         return out
@@ -240,7 +263,12 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 names=[*keep, "ids", "n_tokens", "round_trip"],
             )
 
-    return docs.select(*keep).mapInArrow(run, schema)
+    def forget() -> None:
+        machine = compiled(model_path)
+        machine.follows.clear()
+        machine.remembered.clear()
+
+    return docs.select(*keep).mapInArrow(tidy(run, forget), schema)
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -259,7 +287,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
             text = [t.decode("utf-8", "replace") if v else None for t, v in zip(texts, column.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(text, pa.string())], names=[*keep, "text"])
 
-    return encoded.select(*keep).mapInArrow(run, schema)
+    return encoded.select(*keep).mapInArrow(tidy(run), schema)
 
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
