@@ -9,13 +9,16 @@ block's highest contributions does; only what is left is scored. Pruning is exac
 the threshold is retrieved.
 
 Retrieved pairs are verified on five-word shingles: enough of the item's question (all but its last
-sentence) and of its answer (the last sentence) must stand in the document.
+sentence) and of its answer (the last sentence) must stand in the document; or enough of the whole
+item, with at least half of the answer's words where they belong, so an altered last sentence is no
+way out. Words are compared without punctuation at their edges.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +34,9 @@ from cohortlake.llm.common import gathered, ship_package, text_tokens, tidy, wor
 #: Shingle length and overlap of verification.
 SHINGLE = 5
 OVERLAP = 0.8
+#: Share of the answer's words that must stand in place when the whole item is held, and words by which
+#: they may be shifted.
+TRACE, SHIFT = 0.5, 2
 #: Share of an item's score with itself from which a passage is retrieved.
 RETRIEVE = 0.5
 #: Items in a block of a posting list, and bytes of index that are broadcast at once.
@@ -39,6 +45,7 @@ INDEX_BYTES = 32 << 20
 #: Fixed values of BM25.
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
+_EDGES = string.punctuation + "“”„«»‹›‘’‚…–—¿¡、。，！？"
 
 
 def parts_of(text: str) -> tuple[list[bytes], list[bytes]]:
@@ -55,6 +62,25 @@ def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
 
 
+def bare(words: list[bytes]) -> list[bytes]:
+    """Words without punctuation at their edges; if nothing would be left, the words as they are."""
+    kept = [w for w in (x.decode("utf-8").strip(_EDGES).encode() for x in words) if w]
+    return kept or words
+
+
+def bare_tokens(words: pa.Array, owner: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of ``text_tokens`` as ``bare`` has them, encoded; ids of words that are left."""
+    coded = words.dictionary_encode()
+    names = pc.utf8_trim(coded.dictionary, _EDGES)
+    filled = pc.greater(pc.binary_length(names), 0).to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+    # Texts of nothing but punctuation keep it.
+    has = np.zeros(int(owner.max(initial=-1)) + 1, bool)
+    has[owner[filled]] = True
+    kept = filled | ~has[owner]
+    names = pc.if_else(pc.equal(pc.binary_length(names), 0), coded.dictionary, names)
+    return pa.DictionaryArray.from_arrays(coded.indices.filter(pa.array(kept)), names), owner[kept]
+
+
 @dataclass
 class ItemIndex:
     ids: np.ndarray
@@ -74,7 +100,7 @@ class ItemIndex:
 def build_index(rows: list[tuple[int, str]]) -> ItemIndex:
     """Index of items; those without a word can't be found and are left out."""
     rows = [(i, t) for i, t in rows if t and words_of(t)]
-    bags = [Counter(words_of(t)) for _, t in rows]
+    bags = [Counter(bare(words_of(t))) for _, t in rows]
     n, df = len(rows), Counter(w for b in bags for w in b)
     terms = {w: k for k, w in enumerate(sorted(df))}
     # A passage covers two items of the usual length, so an item always lies whole in some passage.
@@ -103,12 +129,11 @@ def _saturated(f):
     return f * (K1 + 1) / (f + K1)
 
 
-def search(index: ItemIndex, words: pa.Array, owner: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search(index: ItemIndex, coded: pa.DictionaryArray, owner: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, item, best score) of every pair of which some passage reaches the threshold."""
     none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    if not len(index.ids) or not len(words):
+    if not len(index.ids) or not len(coded):
         return none
-    coded = words.dictionary_encode()
     term = np.array([index.terms.get(w, -1) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()] or [-1])
     term = term[coded.indices.to_numpy(zero_copy_only=False)]
     first = np.searchsorted(owner, np.arange(n_docs))
@@ -162,17 +187,64 @@ def search(index: ItemIndex, words: pa.Array, owner: np.ndarray, n_docs: int) ->
     return d[top], i[top], s[top]
 
 
-def verified(index: ItemIndex, item: int, have: set[tuple[bytes, ...]], words: list[bytes]) -> tuple[float, float]:
-    """Shares of the question's and the answer's shingles that stand in the document."""
+@dataclass
+class Document:
+    """What verification looks at: words as they are, bare words and where their shingles stand."""
+
+    words: list[bytes]
+    plain: list[bytes]
+    at: dict[tuple[bytes, ...], list[int]]
+
+    @staticmethod
+    def of(text: str) -> Document:
+        words = words_of(text)
+        plain = bare(words)
+        at: dict[tuple[bytes, ...], list[int]] = {}
+        for i in range(len(plain) - SHINGLE + 1):
+            at.setdefault(tuple(plain[i : i + SHINGLE]), []).append(i)
+        return Document(words, plain, at)
+
+    def places(self, run: list[bytes]) -> list[int]:
+        """Where a run of at most SHINGLE bare words stands."""
+        if len(run) == SHINGLE:
+            return self.at.get(tuple(run), [])
+        return [i for i in range(len(self.plain) - len(run) + 1) if self.plain[i : i + len(run)] == run]
+
+
+def in_place(own: list[bytes], first: int, last: int, doc: Document) -> float:
+    """Share of words ``first`` to ``last`` of an item that stand where its shingles say they would."""
+    size = min(SHINGLE, len(own))
+    starts = {p - j for j in range(len(own) - size + 1) for p in doc.places(own[j : j + size])}
+    best = 0
+    for start in starts:
+        seen = [max(start + first, start + k - SHIFT, 0) for k in range(first, last)]
+        best = max(best, sum(own[k] in doc.plain[at : max(start + k + SHIFT + 1, 0)] for k, at in zip(range(first, last), seen, strict=True)))
+    return best / max(last - first, 1)
+
+
+def verified(index: ItemIndex, item: int, doc: Document, overlap: float) -> tuple[float, float, bool]:
+    """Shares of the question and of the answer that stand in the document, and the judgement.
+
+    A part of fewer than five words stands in the document as a run, or its words stand in place.
+    """
+    question, answer = (bare(part) for part in index.texts[item])
+    single = index.texts[item][0] == index.texts[item][1]
+    own = question if single else question + answer
     shares = []
-    for part in index.texts[item]:
-        if 0 < len(part) < SHINGLE:
+    for part, plain, first in zip(index.texts[item], (question, answer), (0, len(own) - len(answer)), strict=True):
+        if 0 < len(plain) < SHINGLE:
             n = len(part)
-            shares.append(float(any(words[i : i + n] == part for i in range(len(words) - n + 1))))
+            run = any(doc.words[i : i + n] == part for i in range(len(doc.words) - n + 1))
+            shares.append(1.0 if run else in_place(own, first, first + len(plain), doc))
         else:
-            own = shingles(part)
-            shares.append(len(own & have) / len(own) if own else 1.0)
-    return shares[0], shares[1]
+            mine = shingles(plain)
+            shares.append(len(mine & doc.at.keys()) / len(mine) if mine else 1.0)
+    if min(shares) >= overlap:
+        return shares[0], shares[1], True
+    mine = shingles(own)
+    whole = sum(s in doc.at for s in mine) / len(mine) if len(own) >= SHINGLE else float(bool(doc.places(own)))
+    held = whole >= overlap and in_place(own, len(own) - len(answer), len(own), doc) >= TRACE
+    return shares[0], shares[1], held
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP) -> DataFrame:
@@ -180,8 +252,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, overlap: float = OVERL
 
     ``docs``: doc_id, text; ``items``: item_id, text; other columns are ignored. score: the best
     passage's BM25 score over the item's with itself. contaminated: at least ``overlap`` of the
-    question's and of the answer's shingles stand in the document; parts of fewer than five words must
-    stand in it whole. Null and wordless texts are never found. Rows that repeat a doc_id or item_id
+    question's and of the answer's shingles stand in the document, or as much of the whole item's and
+    half of the answer's words in place; parts of fewer than five words must stand in it as a run or in
+    place. Null and wordless texts are never found. Rows that repeat a doc_id or item_id
     give a row each, in every combination that is found; null ids stay null.
 
     The index is broadcast in parts of at most ``INDEX_BYTES``; a larger set of items takes more
@@ -200,20 +273,19 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, overlap: float = OVERL
             index, names = shared.value
             for batch in gathered(batches, "text", 8 << 20):
                 texts = pc.fill_null(batch.column("text"), "")
-                words, owner = text_tokens(texts)
+                words, owner = bare_tokens(*text_tokens(texts))
                 d, i, s = search(index, words, owner, len(texts))
                 shares = []
-                last, have, own = -1, set(), []
+                last, own = -1, None
                 for doc, item in zip(d.tolist(), i.tolist(), strict=True):
                     if doc != last:
-                        last, own = doc, words_of(texts[doc].as_py())
-                        have = shingles(own)
-                    shares.append(verified(index, item, have, own))
-                both = np.array(shares, float).reshape(-1, 2)
+                        last, own = doc, Document.of(texts[doc].as_py())
+                    shares.append(verified(index, item, own, overlap))
+                both = np.array(shares, float).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(d)), names.take(pa.array(index.ids[i])).cast(target),
-                        pa.array(s), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(both.min(1, initial=9) >= overlap),
+                        pa.array(s), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(both[:, 2] > 0),
                     ],
                     names=["doc_id", "item_id", "score", "question", "answer", "contaminated"],
                 )

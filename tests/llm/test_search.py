@@ -158,6 +158,32 @@ def test_decontamination_equals_brute_force(spark, monkeypatch, index_bytes):
     assert decontaminate.contaminated_pairs(d.limit(0), b).count() == 0
 
 
+def test_altered_endings_are_found(spark):
+    """Whole items whose last sentence differs in punctuation or in a word; a question alone is clean."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7)))
+    say = lambda n: [word() for _ in range(n)]
+    items, docs, want = [], [], set()
+    for k in range(1, 9):
+        question, answer = say(30), say(k)
+        items.append((k, f"{' '.join(question)}. {' '.join(answer)}."))
+        lead, tail = " ".join(say(50)), " ".join(say(20))
+        altered = [*answer[:-1], "zzz"] if k > 1 else answer
+        docs += [
+            (10 * k, f"{lead} {' '.join(question)} {' '.join(answer)} {tail}"),
+            (10 * k + 1, f"{lead} «{' '.join(question)}»: {' '.join(altered)}, {tail}"),
+            (10 * k + 2, f"{lead} {' '.join(question)} {tail}"),
+        ]
+        want |= {(10 * k, k), (10 * k + 1, k)}
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated_pairs(d, b).where("contaminated").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    text = decontaminate.pa.array(["«a» ... b!", "?! --", "", "c"])
+    words, owner = decontaminate.bare_tokens(*decontaminate.text_tokens(text))
+    assert (words.to_pylist(), owner.tolist()) == (["a", "b", "?!", "--", "c"], [0, 0, 1, 1, 3])
+
+
 def test_pipeline_equals_its_stages_one_by_one(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
