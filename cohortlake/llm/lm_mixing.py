@@ -23,6 +23,7 @@ removes each token's own count from what predicts it, as coding in sequence woul
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,8 +52,8 @@ INPUTS = 6
 SETS = 48
 CELLS, REACH = 49, 12.0
 HASHED_PRIOR, EXACT_PRIOR = 0.05, 0.02
-#: Learning rate of the mixer.
-RATE = 0.3
+#: Learning rates of the mixer, one for each pass over the training counts.
+RATES = (0.3, 0.1)
 #: A unit is common if it makes up one in so many training tokens, so there are no more of them.
 COMMON = 2000
 BLOCK_BYTES = 12 << 20
@@ -322,7 +323,10 @@ def cell_counts(rows: Range) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hashed:
-    """Bit trees of the contexts that occur; the number of contexts is bounded by the hash bits."""
+    """Bit trees of the contexts that occur; the number of contexts is bounded by the hash bits.
+
+    Training needs the counts, to take a token's own off; scoring needs the log-odds alone.
+    """
 
     def __init__(self, cells: np.ndarray, counts: np.ndarray) -> None:
         ctx = cells >> 8
@@ -333,17 +337,27 @@ class Hashed:
         tree[self.row[ctx], 256 + (cells & 255)] = counts
         for node in range(255, 0, -1):
             tree[:, node] = tree[:, 2 * node] + tree[:, 2 * node + 1]
-        # Log-odds of each child against its sibling; nodes 0 and 1 are no children.
-        tree += HASHED_PRIOR
-        self.odds = np.log(tree / tree[:, np.arange(512) ^ 1])
+        self.tree, self.odds = tree, None
+
+    def for_scoring(self) -> Hashed:
+        """The same with log-odds of each child against its sibling in place of counts."""
+        out = copy.copy(self)
+        tree = self.tree + np.float32(HASHED_PRIOR)
+        out.tree, out.odds = None, np.log(tree / tree[:, np.arange(512) ^ 1])  # nodes 0 and 1 are no children
+        return out
 
-    def stretched(self, ctx: list[np.ndarray], v: np.ndarray, bit: int) -> Iterator[np.ndarray]:
-        """Log-odds of the taken bit by each hashed predictor."""
+    def stretched(self, ctx: list[np.ndarray], v: np.ndarray, bit: int, less: float) -> Iterator[np.ndarray]:
+        """Log-odds of the taken bit by each hashed predictor; ``less`` tokens are taken off the counts."""
         child = (1 << (bit + 1)) | (v.astype(np.int64) >> (7 - bit))
-        flat_odds = self.odds.ravel()
         base = 0
         for c, bits in zip(ctx, CONTEXT_BITS, strict=True):
-            yield flat_odds[self.row[base + c.astype(np.int64)].astype(np.int64) * 512 + child]
+            at = self.row[base + c.astype(np.int64)].astype(np.int64) * 512 + child
+            if self.odds is not None:
+                yield self.odds.ravel()[at]
+            else:
+                counts = self.tree.ravel()
+                taken = np.maximum(counts[at] - np.float32(less), 0) + np.float32(HASHED_PRIOR)
+                yield np.log(taken / (counts[at ^ 1] + np.float32(HASHED_PRIOR)))
             base += 1 << bits
 
 
@@ -421,29 +435,33 @@ class Shared:
 
 def decisions(rows: Range, shared: Shared, part: int, less: float) -> Iterator[tuple]:
     """(where, inputs, weight set, tokens) of all bit decisions; where: (steps, depth, rows) for shared
-    ones, or the rows of bytes beyond DEPTH."""
+    ones, or the rows of bytes beyond DEPTH. With ``less`` tokens taken off, decisions of no token are
+    left out."""
     steps = Steps(rows, shared.totals[part])
     head = np.c_[np.full((len(rows.gate), 3), 32, np.uint8), rows.head]
     own = steps.order
     for depth, at, before, after, all_before, all_after in steps:
+        if less:
+            some = after > 0
+            at, before, after, all_before, all_after = at[some], before[some], after[some], all_before[some], all_after[some]
         i, bit = divmod(depth, 8)
         r = own[at]
         v, p1, p2, p3 = (head[r, 3 + i - k] for k in range(4))
         x = np.empty((len(at), INPUTS))
-        for k, odds in enumerate(shared.hashed.stretched(contexts(rows.gate[r], p1, p2, p3), v, bit)):
+        for k, odds in enumerate(shared.hashed.stretched(contexts(rows.gate[r], p1, p2, p3), v, bit, less)):
             x[:, k] = odds
         x[:, -2] = exact_odds(all_before, all_after, less)
         x[:, -1] = exact_odds(before, after, less)
         yield (steps, depth, at), x, weight_set(before, all_before, less), after
     row, place, v, p1, p2, p3 = byte_rows(rows)
-    far = place >= DEPTH
+    far = (place >= DEPTH) & ((rows.n[row] > 0) | (less == 0))
     if far.any():
         row, v, p1, p2, p3 = row[far], v[far], p1[far], p2[far], p3[far]
         ctx = contexts(rows.gate[row], p1, p2, p3)
         alone = np.zeros(len(row), np.int64)  # the weight set of no exact knowledge
         for bit in range(8):
             x = np.zeros((len(row), INPUTS))
-            for k, odds in enumerate(shared.hashed.stretched(ctx, v, bit)):
+            for k, odds in enumerate(shared.hashed.stretched(ctx, v, bit, less)):
                 x[:, k] = odds
             yield (None, None, row), x, alone, rows.n[row]
 
@@ -487,11 +505,13 @@ def _send_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_range(rows: Range, shared: Shared, part: int) -> Mixer:
     mixer = Mixer.fresh()
-    for _, x, chosen, n in decisions(rows, shared, part, 1.0):
-        some = np.flatnonzero(n > 0)
-        for start in range(0, len(some), 8192):
-            own = some[start : start + 8192]
-            mixer.learn(x[own], chosen[own], n[own], RATE)
+    for rate in RATES:
+        # The adaptive map is filled anew, by the weights it will refine.
+        mixer.hits, mixer.seen = Mixer.fresh().hits, Mixer.fresh().seen
+        for _, x, chosen, n in decisions(rows, shared, part, 1.0):
+            for start in range(0, len(n), 8192):
+                own = slice(start, start + 8192)
+                mixer.learn(x[own], chosen[own], n[own], rate)
     return mixer
 
 
@@ -599,7 +619,7 @@ def log_probabilities(docs: DataFrame) -> DataFrame:
 
     learned = tasks.mapInArrow(tidy(train), "n double, weights binary, hits binary, seen binary").collect()
     shared.mixer = averaged([r.asDict() for r in learned])
-    model = spark.sparkContext.broadcast(shared)
+    model = spark.sparkContext.broadcast(Shared(shared.hashed.for_scoring(), shared.totals, shared.mixer))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows, table in _ranges(batches):

@@ -131,6 +131,19 @@ def test_language_model_is_a_distribution():
     assert len(by_byte) == 256 and math.isclose(sum(map(math.exp, by_byte.values())), 1, rel_tol=1e-6)
 
 
+def test_training_takes_own_counts_off_every_predictor():
+    """A word seen once predicts itself no better than an unseen one while it is learned from."""
+    rows = lm_mixing.Range.of([b"q", b"zz"], np.zeros(2, np.int64), np.array([1.0, 0.0]))
+    hashed = lm_mixing.Hashed(*lm_mixing.cell_counts(rows))
+    totals = lm_mixing.edge_totals(rows.key[[0]], rows.key[[-1]], np.stack([rows.path(k) for k in rows.key[[0, -1]]])[None])
+    shared = lm_mixing.Shared(hashed, {0: totals[0]})
+    seen = [x for _, x, _, n in lm_mixing.decisions(rows, shared, 0, 1.0) if len(n)]
+    assert seen and all(np.allclose(x, 0, atol=1e-6) for x in seen)
+    scored = [x for _, x, _, _ in lm_mixing.decisions(rows, lm_mixing.Shared(hashed.for_scoring(), {0: totals[0]}), 0, 0.0)]
+    plain = [x for _, x, _, _ in lm_mixing.decisions(rows, shared, 0, 0.0)]
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(scored, plain, strict=True))
+
+
 def test_language_model_edge_cases(spark):
     schema = "doc_id long, text string, training boolean, n string"
     rows = [(1, None, True, ""), (2, "", False, ""), (3, "Ab ab", True, ""), (3, "Ab ab", True, ""), (None, "q" * 40_000, None, "")]
