@@ -317,6 +317,13 @@ def _item_parts(items: DataFrame) -> Iterator[list]:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is contaminated by some item."""
-    bad = contaminated_pairs(docs, items).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    """``docs`` without the rows that are contaminated by some item.
+
+    Rows are told apart by doc_id and text, so a null doc_id is no shelter, and a clean row stays that
+    shares its doc_id with a contaminated one.
+    """
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.sha2(F.col("text"), 256))
+    marked = docs.withColumn("_row", key)
+    found = contaminated_pairs(marked.select(F.col("_row").alias("doc_id"), "text"), items)
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct()
+    return marked.join(bad, "_row", "left_anti").select(*docs.columns)

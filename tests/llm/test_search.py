@@ -184,6 +184,16 @@ def test_altered_endings_are_found(spark):
     assert (words.to_pylist(), owner.tolist()) == (["a", "b", "?!", "--", "c"], [0, 0, 1, 1, 3])
 
 
+def test_contaminated_rows_go_and_no_others(spark):
+    """A null doc_id is found and dropped; a clean row that shares a doc_id stays."""
+    item = "one two three four five six seven eight. nine ten eleven twelve thirteen fourteen."
+    rows = [(None, item, "a"), (None, "clean text", "b"), (1, f"x {item} y", "c"), (1, "clean too", "d"), (2, None, "e"), (None, None, "f")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    left = decontaminate.drop_contaminated(d, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert left.columns == d.columns
+    assert sorted(r.tag for r in left.collect()) == ["b", "d", "e", "f"]
+
+
 def test_pipeline_equals_its_stages_one_by_one(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
