@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import decontaminate, langid, lm_mixing, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
+from cohortlake.llm import decontaminate, filter_audit, langid, lm_mixing, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -168,6 +168,55 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf, "doc_id", "text"))
 
 
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.text_audit(documents(spark, sf, "doc_id", "text", "source"), table(spark, sf, "labels"))
+
+
+OP13_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), judged AS (
+  SELECT t.doc_id, part,
+    (CASE WHEN len(words) < 50 THEN 'A' ELSE '' END)
+    || (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false) THEN 'E' ELSE '' END) AS fails,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM texts t LEFT JOIN (
+    SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+    FROM labels GROUP BY doc_id) l ON l.doc_id = t.doc_id
+), cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), gone AS (
+  SELECT part, fails, n, good, toxic, o,
+    list_min(list_transform(string_split(fails, ''), lambda x: CASE WHEN x = '' THEN 9 ELSE instr(o, x) END)) AS hit
+  FROM cells, orders
+), stepped AS (
+  SELECT part, o, s, substr(o, s, 1) AS l,
+    sum(CASE WHEN coalesce(hit, 9) > s THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN hit = s THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit < s AND instr(fails, substr(o, s, 1)) > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = substr(o, s, 1) THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit = s THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN hit = s THEN toxic ELSE 0 END) AS toxic_lost
+  FROM gone, (SELECT CAST(unnest(generate_series(1, 5)) AS INTEGER) AS s) GROUP BY part, o, s
+)
+SELECT part, o AS filter_order, s AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+FROM stepped
+"""
+
+
 QUERIES = {
     "op1_revisits": op1_revisits,
     "op2_simhash": op2_simhash,
@@ -179,5 +228,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL}
+ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL, "op13_filter_audit": OP13_SQL}
