@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import decontaminate, filter_audit, langid, lm_mixing, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
+from cohortlake.llm import bpe_chunks, decontaminate, filter_audit, langid, lm_mixing, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -168,6 +168,16 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf, "doc_id", "text"))
 
 
+def op11_bpe_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    done = bpe_chunks.encode(documents(spark, sf, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return done.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.text_audit(documents(spark, sf, "doc_id", "text", "source"), table(spark, sf, "labels"))
 
@@ -228,6 +238,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_bpe_chunks": op11_bpe_chunks,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL, "op13_filter_audit": OP13_SQL}
