@@ -359,6 +359,6 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     pieces = rows.mapInArrow(tidy(_cut_blocks(buckets)), PIECES)
     dealt = pieces.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     replied = dealt.mapInArrow(tidy(_encode_buckets(model_path)), PIECES)
-    return replied.groupBy("block").applyInArrow(
+    return replied.repartition(buckets, "block").groupBy("block").applyInArrow(
         _assemble(model_path), "doc_id long, n_tokens long, ids binary, decoded string"
     )

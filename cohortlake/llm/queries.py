@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import bpe_chunks, decontaminate, filter_audit, langid, lm_mixing, revisits, sentencepiece_fst, simhash, suffix_dedup, tokencount, topk, toxicity
+from cohortlake.llm import bpe_chunks, decontaminate, filter_audit, langid, lm_mixing, revisits, sentencepiece_fst, shared_ranking, simhash, suffix_dedup, tokencount, topk, toxicity
 from cohortlake.llm.common import documents, ship_package, table, third
 
 
@@ -178,6 +178,43 @@ def op11_bpe_chunks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_shared_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return shared_ranking.rank_documents(documents(spark, sf, "doc_id", "text"), table(spark, sf, "benchmark"))
+
+
+OP12_SQL = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(terms)) AS BIGINT) AS l FROM texts WHERE len(terms) > 0
+), held AS (
+  SELECT r, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(size) AS size
+  FROM (SELECT r, doc_id, unnest(terms) AS term, len(terms) AS size FROM texts) GROUP BY r, term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held, totals WHERE term IN (SELECT term FROM asked) GROUP BY term
+), valued AS (
+  SELECT h.r, h.doc_id, h.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n) // l))) AS v
+  FROM held h JOIN weights USING (term), totals
+), scored AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(v) AS BIGINT) AS score
+  FROM asked JOIN valued USING (term) GROUP BY item_id, r
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.text_audit(documents(spark, sf, "doc_id", "text", "source"), table(spark, sf, "labels"))
 
@@ -239,6 +276,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_bpe_chunks": op11_bpe_chunks,
+    "op12_shared_ranking": op12_shared_ranking,
     "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL, "op13_filter_audit": OP13_SQL}
+ORACLES = {"op1_revisits": OP1_SQL, "op5_topk": OP5_SQL, "op12_shared_ranking": OP12_SQL, "op13_filter_audit": OP13_SQL}
