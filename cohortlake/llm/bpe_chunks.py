@@ -1,9 +1,11 @@
 """Byte-level BPE by chunks that documents share.
 
 1. A rolling hash over 32 bytes cuts every text where its value says so, so equal passages are cut alike
-   wherever they stand. The distinct chunks of a block of documents are dealt out by their bytes.
-2. All copies of a chunk meet in one bucket, are encoded there once, and the ids go back to the blocks.
-3. A block lines up the ids of each document's chunks. A chunk knows nothing of its neighbours, so the
+   wherever they stand. Chunks that more than one document holds are found by their hashes alone.
+2. A document without such a chunk has nothing to share and is encoded whole, where it is. The distinct
+   chunks of all others are dealt out by their hashes, block of documents by block.
+3. All copies of a chunk meet in one bucket, are encoded there once, and the ids go back to the blocks.
+4. A block lines up the ids of each document's chunks. A chunk knows nothing of its neighbours, so the
    tokens around a join may be wrong. From the last sure edge before a join to the first one behind it the
    text is encoded anew; if the window's edges are no token edges on both sides, the window grows by one
    sure edge each way and is encoded again, until both sides agree.
@@ -24,13 +26,14 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import flat, gathered, lists, ragged, shuffle_partitions, tidy
-from cohortlake.llm.postings import bucket_of, packed_columns, unpacked
+from cohortlake.llm.postings import packed_columns, unpacked
 
 #: Bytes of text in a block. Memory of a task is some multiple of it, whatever the table's size.
 BLOCK_BYTES = 8 << 20
@@ -42,6 +45,9 @@ CUT_BITS = 8
 #: A cut this close behind another is none; a chunk longer than the limit is cut there.
 LEAST, MOST = 64, 4096
 PIECES = "block long, bucket int, packed binary, doc_ids array<long>, n_chunks array<int>, refs array<int>"
+RESULT = "doc_id long, n_tokens long, ids binary, decoded string"
+#: 64-bit words of marks of shared chunks.
+MARK_WORDS = 1 << 20
 #: Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -159,43 +165,125 @@ _KINDS = {
 }
 
 
-def _cut_blocks(buckets: int):
-    """Task function: documents to blocks and their distinct chunks by bucket."""
+class Block(NamedTuple):
+    """Documents as chunks: the distinct chunks, their hashes, and of each chunk of a document the distinct
+    one (``at``) and the document (``owner``)."""
+
+    batch: pa.RecordBatch
+    texts: pa.Array
+    names: pa.Array
+    hashes: np.ndarray
+    at: np.ndarray
+    owner: np.ndarray
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in gathered(batches, "text", BLOCK_BYTES):
+        # copied, so that the bytes of the texts lie one after another from the start
+        texts = pa.concat_arrays([pc.fill_null(batch.column("text"), ""), pa.array([""])])[:-1]
+        edges = np.frombuffer(texts.buffers()[1], np.int32)[: len(texts) + 1].astype(np.int64)
+        data = texts.buffers()[2] or pa.py_buffer(b"")
+        cuts = cut_points(np.frombuffer(data, np.uint8)[: edges[-1]], edges[:-1], edges[1:])
+        chunks = _slices(data, np.r_[cuts, edges[-1]]).dictionary_encode()
+        named = np.array(chunks.dictionary.to_pylist() + [b""], dtype=object)[:-1]
+        hashes = pd.util.hash_array(named, categorize=False).astype(np.uint64)
+        at = chunks.indices.to_numpy(zero_copy_only=False) if len(cuts) else np.empty(0, np.int64)
+        yield Block(batch, texts, chunks.dictionary, hashes, at, np.searchsorted(edges[1:], cuts, "right"))
+
+
+def _chunk_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of a block's chunks, and how many of its documents hold each."""
+    for block in _blocks(batches):
+        held = np.unique(block.at.astype(np.int64) * len(block.texts) + block.owner) // max(1, len(block.texts))
+        counts = np.bincount(held, minlength=len(block.hashes))
+        yield pa.RecordBatch.from_arrays([pa.array(block.hashes.view(np.int64)), pa.array(counts)], names=["hash", "n"])
+
+
+def shared_marks(rows: DataFrame) -> np.ndarray:
+    """One bit for the hash of every chunk that more than one document holds: 8 MB, whatever the table.
+
+    Other hashes may fall on the same bits; that sends documents the longer way and changes no result.
+    """
+    counted = rows.select("text").mapInArrow(tidy(_chunk_counts), "hash long, n long")
+    shared = counted.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1")
+    word = f"hash & {MARK_WORDS - 1}L"
+    bit = f"shiftleft(1L, cast(shiftrightunsigned(hash, {MARK_WORDS.bit_length() - 1}) & 63 as int))"
+    words = shared.groupBy(F.expr(word).alias("word")).agg(F.expr(f"bit_or({bit})").alias("bits")).toArrow()
+    marks = np.zeros(MARK_WORDS, np.int64)
+    marks[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return marks.view(np.uint64)
+
+
+def _sharing(block: Block, marks: np.ndarray) -> np.ndarray:
+    """Documents with a chunk that other documents hold, too."""
+    word = block.hashes & np.uint64(MARK_WORDS - 1)
+    bit = (block.hashes >> np.uint64(MARK_WORDS.bit_length() - 1)) & np.uint64(63)
+    marked = (marks[word.astype(np.int64)] >> bit) & np.uint64(1) == 1
+    return np.bincount(block.owner[marked[block.at]], minlength=len(block.texts)) > 0
+
+
+def _encode_alone(path: str, marks):
+    """Task function: documents that share no chunk are encoded whole, where they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = read_model(path)
+        for block in _blocks(batches):
+            alone = pa.array(~_sharing(block, marks.value))
+            found = [encode_text(model, t).astype("<u4") for t in block.texts.filter(alone).to_pylist()]
+            if found:
+                ids = np.concatenate(found)
+                sizes = np.array([len(f) for f in found])
+                edges = np.r_[0, np.cumsum(sizes)]
+                yield pa.RecordBatch.from_pydict(_results(model, block.batch.column("doc_id").filter(alone), ids, edges))
+
+    return run
+
+
+def _results(model: Model, doc_ids: pa.Array, ids: np.ndarray, edges: np.ndarray) -> dict[str, pa.Array]:
+    """Rows of documents whose ids lie between ``edges``; the text is decoded from the ids."""
+    data, starts = token_edges(model, ids)
+    return {
+        "doc_id": doc_ids,
+        "n_tokens": pa.array(np.diff(edges).astype(np.int64)),
+        "ids": _slices(pa.py_buffer(ids.astype("<u4")), 4 * edges),
+        "decoded": _slices(pa.py_buffer(data.tobytes()), starts[edges]).cast(pa.string()),
+    }
+
+
+def _cut_blocks(buckets: int, marks):
+    """Task function: documents that share chunks to blocks and their distinct chunks by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 32
-        for batch in gathered(batches, "text", BLOCK_BYTES):
-            # copied, so that the bytes of the texts lie one after another from the start
-            texts = pa.concat_arrays([pc.fill_null(batch.column("text"), ""), pa.array([""])])[:-1]
-            edges = np.frombuffer(texts.buffers()[1], np.int32)[: len(texts) + 1].astype(np.int64)
-            data = texts.buffers()[2] or pa.py_buffer(b"")
-            cuts = cut_points(np.frombuffer(data, np.uint8)[: edges[-1]], edges[:-1], edges[1:])
-            chunks = _slices(data, np.r_[cuts, edges[-1]]).dictionary_encode()
-            names = chunks.dictionary
-            home = bucket_of(names, buckets)
+        number = TaskContext.get().partitionId() << 32
+        for block in _blocks(batches):
+            sharing = _sharing(block, marks.value)
+            if not sharing.any():
+                continue
+            own = sharing[block.owner]
+            used, refs = np.unique(block.at[own], return_inverse=True)
+            home = (block.hashes[used] % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(home, kind="stable")
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order), dtype=np.int32)
-            refs = place[chunks.indices.to_numpy(zero_copy_only=False)] if len(cuts) else np.empty(0, np.int32)
-            n_chunks = np.searchsorted(cuts, edges[1:]) - np.searchsorted(cuts, edges[:-1])
+            n_chunks = np.bincount(block.owner[own], minlength=len(sharing))[sharing].astype(np.int32)
+            doc_ids = block.batch.column("doc_id").filter(pa.array(sharing))
             yield _row(
-                _KINDS, 1, block=pa.array([block], pa.int64()), bucket=pa.array([block % buckets], pa.int32()),
-                doc_ids=pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column("doc_id")),
-                n_chunks=lists(n_chunks.astype(np.int32), np.array([0, len(n_chunks)])),
-                refs=lists(refs, np.array([0, len(refs)])),
+                _KINDS, 1, block=pa.array([number], pa.int64()), bucket=pa.array([number % buckets], pa.int32()),
+                doc_ids=pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids),
+                n_chunks=lists(n_chunks, np.array([0, len(n_chunks)])), refs=lists(place[refs], np.array([0, len(refs)])),
             )
             bounds = np.r_[np.flatnonzero(np.diff(home[order], prepend=-1)), len(order)]
             sent = [
-                packed_columns({"chunk": names.take(pa.array(order[a:b]))}) for a, b in zip(bounds[:-1], bounds[1:], strict=True)
+                packed_columns({"chunk": block.names.take(pa.array(used[order[a:b]]))})
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True)
             ]
-            if sent:
-                yield _row(
-                    _KINDS, len(sent), block=pa.array([block] * len(sent), pa.int64()),
-                    bucket=pa.array(home[order[bounds[:-1]]], pa.int32()), packed=pa.array(sent, pa.binary()),
-                )
-            block += 1
+            yield _row(
+                _KINDS, len(sent), block=pa.array([number] * len(sent), pa.int64()),
+                bucket=pa.array(home[order[bounds[:-1]]], pa.int32()), packed=pa.array(sent, pa.binary()),
+            )
+            number += 1
 
     return run
 
@@ -323,18 +411,8 @@ def _assemble(path: str):
         ends = np.r_[0, chunk_ends][np.cumsum(n_chunks)] if len(n_chunks) else np.empty(0, np.int64)
         texts = np.unique(np.r_[0, ends])
         ids = repaired(model, ids, np.setdiff1d(chunk_ends, texts), texts)
-        data, edges = token_edges(model, ids)
-        stops = np.searchsorted(edges, ends)
-        counts = np.diff(np.r_[0, stops])
-        wide = ids.astype("<u4")
-        return pa.table(
-            {
-                "doc_id": doc_ids,
-                "n_tokens": pa.array(counts.astype(np.int64)),
-                "ids": _slices(pa.py_buffer(wide), 4 * np.r_[0, stops]),
-                "decoded": _slices(pa.py_buffer(data.tobytes()), np.r_[0, ends]).cast(pa.string()),
-            }
-        )
+        _, edges = token_edges(model, ids)
+        return pa.table(_results(model, doc_ids, ids, np.r_[0, np.searchsorted(edges, ends)]))
 
     return finish
 
@@ -356,9 +434,10 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = rows.mapInArrow(tidy(_cut_blocks(buckets)), PIECES)
+    marks = spark.sparkContext.broadcast(shared_marks(rows))
+    alone = rows.mapInArrow(tidy(_encode_alone(model_path, marks)), RESULT)
+    pieces = rows.mapInArrow(tidy(_cut_blocks(buckets, marks)), PIECES)
     dealt = pieces.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     replied = dealt.mapInArrow(tidy(_encode_buckets(model_path)), PIECES)
-    return replied.repartition(buckets, "block").groupBy("block").applyInArrow(
-        _assemble(model_path), "doc_id long, n_tokens long, ids binary, decoded string"
-    )
+    together = replied.repartition(buckets, "block").groupBy("block").applyInArrow(_assemble(model_path), RESULT)
+    return alone.unionByName(together)
