@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import threading
+import time
+import uuid
 from collections.abc import Iterable, Mapping
 from typing import Any
 
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortlake.operators.latest import latest_per_key
-from cohortlake.session import replace_folder, restore_folder
+from cohortlake.session import folder_of
 
 SCHEMAS = {
     "ingestion_runs": """
@@ -25,6 +26,12 @@ SCHEMAS = {
     "file_manifest": """
         source string, sha256 string, file_uri string, file_size bigint, rows_loaded bigint,
         loaded_at timestamp, run_id string""",
+    "file_index": """
+        options string, file_uri string, length bigint, modified timestamp, sha256 string, is_split_safe boolean,
+        encoding string, sep string, skip bigint, header array<string>, read_at timestamp""",
+    "partition_values": """
+        source string, column_name string, value string, file_uri string, run_id string, rows bigint,
+        loaded_at timestamp""",
     "schema_changes": """
         source string, table_name string, column_name string, position bigint, change string,
         detected_at timestamp, run_id string""",
@@ -47,14 +54,10 @@ RETAINED = {
 }
 
 
-# Two commits into one folder must not overlap; loads of several sources may run at once.
-_writing = threading.Lock()
-
-
 def optional_parquet(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The relation at ``path``, or a typed empty one where none has arrived yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -62,27 +65,22 @@ def optional_parquet(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 class Ops:
-    """Append-only Parquet relations below ``root``; one append is one commit."""
+    """Append-only Parquet relations below ``root``; one append is one commit.
+
+    Every append is a folder of its own. It is written out of sight and then renamed to a name nobody else
+    uses, so any number of processes may append at once, and none sees half of another's rows. The name
+    starts with the newest time in its rows; retention deletes whole folders by it and rewrites nothing.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        self._made: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/ops/{name}"
 
-    def _aside(self, name: str) -> str:
-        return f"{self.root}/ops/{name}_old"
-
     def read(self, name: str) -> DataFrame:
-        schema = T.StructType.fromDDL(SCHEMAS[name])
-        if name not in self._made:
-            restore_folder(self.spark, self.path(name), self._aside(name))
-            # Does nothing where the relation exists already.
-            with _writing:
-                self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(name))
-            self._made.add(name)
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        """All rows of the appends made so far."""
+        return optional_parquet(self.spark, self.path(name), SCHEMAS[name])
 
     def append(self, name: str, rows: Iterable[Mapping[str, Any]]) -> None:
         rows = list(rows)
@@ -92,18 +90,23 @@ class Ops:
                 f.name: pa.array([r.get(f.name) for r in rows], to_arrow_type(f.dataType))
                 for f in schema.fields
             }
+            times = [r[RETAINED[name]] for r in rows if name in RETAINED and r.get(RETAINED[name])]
             frame = self.spark.createDataFrame(pa.table(columns), schema).coalesce(1)
-            with _writing:
-                frame.write.mode("append").parquet(self.path(name))
-            self._made.add(name)
+            self._commit(name, frame, max(times).timestamp() if times else time.time())
 
     def append_frame(self, name: str, rows: DataFrame) -> None:
         """Append rows Spark already holds; they do not pass through the driver."""
         schema = T.StructType.fromDDL(SCHEMAS[name])
         typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        with _writing:
-            typed.write.mode("append").parquet(self.path(name))
-        self._made.add(name)
+        self._commit(name, typed, time.time())
+
+    def _commit(self, name: str, rows: DataFrame, newest: float) -> None:
+        entry = f"{int(newest * 1e6):017d}-{uuid.uuid4().hex}"
+        hidden, shown = f"{self.path(name)}/_new/{entry}", f"{self.path(name)}/{entry}"
+        rows.write.parquet(hidden)
+        files, target = folder_of(self.spark, shown)
+        if not files.rename(folder_of(self.spark, hidden)[1], target):
+            raise OSError(f"{shown} could not be committed")
 
     def views(self) -> dict[str, DataFrame]:
         """What an operator looks at: publications, runs, files per source, new columns."""
@@ -115,20 +118,23 @@ class Ops:
         }
 
     def purge(self, days: int, names: Iterable[str] = RETAINED) -> dict[str, int]:
-        """Drop audit rows older than ``days``; the new table is complete before the old one goes.
+        """Drop the appends whose rows are all older than ``days``; returns the rows dropped.
 
-        Loads of other processes must not append to a relation while it is purged.
+        An append that another process makes meanwhile is a folder of its own and stays.
         """
+        edge = time.time() - days * 86400
         removed = {}
         for name in names:
-            rows = self.read(name)
-            kept, counts = purge_history(rows, RETAINED[name], days)
-            removed[name] = counts.first()["removed"]
-            if removed[name]:
-                spare = f"{self.path(name)}_kept"
-                kept.write.mode("overwrite").parquet(spare)
-                with _writing:
-                    replace_folder(self.spark, spare, self.path(name), self._aside(name))
+            files, folder = folder_of(self.spark, self.path(name))
+            found = files.listStatus(folder) if files.exists(folder) else []
+            entries = [status.getPath() for status in found if status.getPath().getName()[0].isdigit()]
+            old = [p for p in entries if int(p.getName().split("-")[0]) < int(edge * 1e6)]
+            removed[name] = 0
+            if old:
+                schema = T.StructType.fromDDL(SCHEMAS[name])
+                removed[name] = self.spark.read.schema(schema).parquet(*[p.toString() for p in old]).count()
+            for path in old:
+                files.delete(path, True)
         return removed
 
 

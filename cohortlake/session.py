@@ -27,8 +27,6 @@ def build_session(app: str = "cohortlake", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Western single-byte pages are read under Java's own charset names.
-        "spark.sql.legacy.javaCharsets": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -69,38 +67,18 @@ def clear_scratch(spark: SparkSession) -> int:
     read any more. To be called when a run's results are stored. Returns the number of paths."""
     paths = getattr(spark, "_cohortlake_scratch", [])
     for name in paths:
-        folder, path = _folder(spark, name)
+        folder, path = folder_of(spark, name)
         folder.delete(path, True)
     spark._cohortlake_scratch = []
     return len(paths)
 
 
-def _folder(spark: SparkSession, name: str):
+def folder_of(spark: SparkSession, name: str):
+    """The file system of a path, and the path, as the JVM knows them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def replace_folder(spark: SparkSession, new: str, live: str, old: str) -> None:
-    """Put folder ``new`` in the place of ``live`` by two renames; both are complete at any time.
-
-    A crash between the renames leaves ``old``, from which ``restore_folder`` brings ``live`` back.
-    """
-    files, target = _folder(spark, live)
-    _, aside = _folder(spark, old)
-    files.delete(aside, True)
-    if not files.rename(target, aside) or not files.rename(_folder(spark, new)[1], target):
-        restore_folder(spark, live, old)
-        raise OSError(f"{live} could not be replaced")
-    files.delete(aside, True)
-
-
-def restore_folder(spark: SparkSession, live: str, old: str) -> None:
-    files, target = _folder(spark, live)
-    _, aside = _folder(spark, old)
-    if not files.exists(target) and files.exists(aside):
-        files.rename(aside, target)
-
-
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the written rows.
 

@@ -1,12 +1,9 @@
-"""Files as rows: listing rules, content hashes, per-file dialect."""
+"""Files as rows: listing rules, what is new, dialect of contents."""
 
 from __future__ import annotations
 
-import bz2
 import fnmatch
-import gzip
 import io
-import lzma
 from collections.abc import Iterable, Iterator, Sequence
 from datetime import datetime, timezone
 from functools import reduce
@@ -18,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.session import ship_package
 from cohortlake.sources.dialect import SAMPLE_BYTES, detect
+from cohortlake.sources.streamed import DIALECT_FIELDS, unpacked_stream
 
 # Names never taken from a landing folder.
 DEFAULT_EXCLUDE = (
@@ -53,7 +51,7 @@ def settled(modified: Column, min_age_seconds: int, now: datetime | Column | Non
     return modified <= limit
 
 
-def list_files(
+def list_metadata(
     spark: SparkSession,
     path: str | Sequence[str],
     include: Sequence[str] = ("*",),
@@ -61,11 +59,9 @@ def list_files(
     recursive: bool = True,
     min_age_seconds: int = 0,
     now: datetime | None = None,
+    content: bool = False,
 ) -> DataFrame:
-    """One row per accepted file with its bytes and content hash.
-
-    Name and age tests read file metadata only, so rejected files are never opened.
-    """
+    """One row per accepted file; no file is opened, unless ``content`` asks for the bytes of each."""
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -79,11 +75,16 @@ def list_files(
         F.col("_metadata.file_name").alias("file_name"),
         "length",
         F.col("modificationTime").alias("modified"),
-        "content",
-        F.sha2("content", 256).alias("sha256"),
+        *(["content"] if content else []),
     )
 
 
+def list_files(spark: SparkSession, path: str | Sequence[str], *args, **options) -> DataFrame:
+    """The files of ``list_metadata`` with their bytes and content hash, for files that fit a cell."""
+    found = list_metadata(spark, path, *args, **options, content=True)
+    return found.withColumn("sha256", F.sha2("content", 256))
+
+
 def unseen(files: DataFrame, manifest: DataFrame, source: str) -> DataFrame:
     """Files whose content the manifest does not hold, whatever their name.
 
@@ -100,23 +101,7 @@ def codec_of(name: str, codec: str = "infer") -> str | None:
 
 
 def open_bytes(content: bytes, name: str, codec: str = "infer") -> IO[bytes]:
-    raw = io.BytesIO(content)
-    kind = codec_of(name, codec)
-    if kind == "gzip":
-        return gzip.GzipFile(fileobj=raw)
-    if kind == "bz2":
-        return bz2.BZ2File(raw)
-    if kind == "xz":
-        return lzma.LZMAFile(raw)
-    if kind == "zstd":
-        import zstandard
-
-        return zstandard.ZstdDecompressor().stream_reader(raw)
-    return raw
-
-
-SPLIT_CHECK_BYTES = 512 * 1024 * 1024
-DIALECT_SCHEMA = "encoding string, sep string, skip bigint, header array<string>"
+    return unpacked_stream(io.BytesIO(content), codec_of(name, codec))
 
 
 def with_dialect(
@@ -128,26 +113,15 @@ def with_dialect(
     codec: str = "infer",
     keep: Sequence[str] = ("file_uri", "path", "file_name"),
 ) -> DataFrame:
-    """Dialect of every file. ``files`` has ``file_name`` and ``content``.
-
-    Plain files send only the start of their bytes to Python. ``is_split_safe`` looks at the whole
-    content: no line has an odd number of quotes, so no quoted field runs over a line end. Files
-    too large to be looked at as one text count as unsafe, which only costs parallelism.
-    """
+    """Dialect of contents that a column holds (``file_name``, ``content``); plain ones send only their
+    start to Python. Files on disk are profiled by ``streamed.digests``."""
     ship_package(files.sparkSession)
     packed = F.lower("file_name").rlike(rf"\.({'|'.join(CODECS)})$") & F.lit(codec == "infer")
     packed = packed | F.lit(codec not in ("infer", "none"))
     head = F.when(packed, F.col("content")).otherwise(
         F.substring(F.col("content"), 1, SAMPLE_BYTES)
     )
-    open_quote = rf"(?m)^[^{quote}\n]*+{quote}(?:[^{quote}\n]*+{quote}[^{quote}\n]*+{quote})*+[^{quote}\n]*+$"
-    content = F.col("content")
-    unquoted = ~F.contains(content, F.encode(F.lit(quote), "UTF-8"))
-    balanced = (F.length(content) < SPLIT_CHECK_BYTES) & ~F.decode(content, "ISO-8859-1").rlike(
-        open_quote
-    )
-    safe = ~packed & (unquoted | balanced)
-    rows = files.select(*keep, head.alias("_head"), safe.alias("is_split_safe"))
+    rows = files.select(*keep, head.alias("_head"))
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -159,7 +133,5 @@ def with_dialect(
             extra = pd.DataFrame(found, columns=["encoding", "sep", "skip", "header"], dtype=object)
             yield pd.concat([batch.drop(columns="_head").reset_index(drop=True), extra], axis=1)
 
-    kept = ", ".join(
-        f"`{c}` {files.schema[c].dataType.simpleString()}" for c in keep
-    )
-    return rows.mapInPandas(profile, f"{kept}, is_split_safe boolean, {DIALECT_SCHEMA}")
+    kept = ", ".join(f"`{c}` {files.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInPandas(profile, f"{kept}, {DIALECT_FIELDS}")

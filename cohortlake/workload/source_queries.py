@@ -50,10 +50,15 @@ def _as_file(text: Column) -> Column:
 
 
 def detect_dialect(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document as a two-column file: its lines, numbered by the separator of its language."""
+    """Every document as a two-column file: its lines, quoted with all separators and quotes they hold,
+    behind the separator of its language."""
     sep = _by_language({k: v[0] for k, v in LAYOUTS.items()})
-    bare = F.translate(F.col("text"), ',;\t|"\r', "      ")
-    body = F.transform(F.split(bare, "\n"), lambda line: F.concat(F.lit("line"), sep, line))
+    mark = F.lit('"')
+
+    def row(line: Column) -> Column:
+        return F.concat(F.lit("line"), sep, mark, F.replace(line, mark, F.lit('""')), mark)
+
+    body = F.transform(F.split("text", "\n"), row)
     text = F.concat(F.lit("kind"), sep, F.lit("content\n"), F.array_join(body, "\n"), F.lit("\n"))
     docs = spread(base.table(spark, sf, "documents").select("doc_id", "text", "lang")).select(
         "doc_id",

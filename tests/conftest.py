@@ -7,19 +7,21 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from cohortlake.session import build_session  # noqa: E402
-
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "tests",
-        "local[4]",
-        **{
-            "spark.sql.shuffle.partitions": "4",
-            "spark.ui.enabled": "false",
-            "spark.driver.memory": "4g",
-        },
+    """A session without any setting of the library, as a user may bring one."""
+    from pyspark.sql import SparkSession
+
+    session = (
+        SparkSession.builder.appName("tests")
+        .master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

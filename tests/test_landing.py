@@ -4,12 +4,17 @@ import gzip
 import io
 import lzma
 import os
+import subprocess
+import sys
 import zipfile
 from dataclasses import replace
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlake.operators.latest import latest_partition
 from cohortlake.plans.landing import Lake, LandingError, Source, VolumeCheck, profile
 from cohortlake.plans.ops import optional_parquet
 from cohortlake.sources import delimited
@@ -74,38 +79,45 @@ def test_full_load_never_empties_the_table(lake, landing):
 
 
 def test_file_without_essential_column_stays_out(lake, landing):
-    source = Source("need", str(landing), essential=("ano", "v"))
-    (landing / "a.csv").write_text("ano,v\n2021,1\n")
-    (landing / "b.csv").write_text("ano,w\n2022,1\n")
-    (landing / "c.csv").write_text("ano,v\n2023,1\n")
-    with pytest.raises(LandingError, match="essential"):
+    source = Source("plots", str(landing), essential=("plot", "girth"))
+    for name, header in (("north", "plot,girth"), ("south", "plot,height"), ("west", "plot,girth")):
+        (landing / f"{name}.csv").write_text(f"{header}\n{name}-1,4\n")
+    with pytest.raises(LandingError, match="south.csv lacks essential columns .'girth'"):
         lake.load(source)
-    assert rows(lake.bronze(source), "ano") == [("2021",)]
-
-
-def test_volume_gate_keeps_the_old_version(lake, landing):
-    source = Source("vol", str(landing), strategy="full", volume=VolumeCheck(action="fail"))
-    for _ in range(3):
-        (landing / "a.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(100)))
-        lake.load(source)
-    (landing / "a.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(5)))
-    with pytest.raises(LandingError, match="median"):
-        lake.load(source)
-    assert lake.bronze(source).count() == 100
-    assert rows(lake.ops.read("data_quality_events"), "severity") == [("error",)]
+    assert rows(lake.bronze(source), "plot") == [("north-1",)]
+
+
+@pytest.mark.parametrize(("action", "visible"), [("fail", 40), ("warn", 130)])
+def test_an_unusual_volume_is_reported_or_refused(lake, landing, action, visible):
+    check = VolumeCheck(lookback_runs=4, min_history=2, max_ratio=3.0, action=action)
+    source = Source("census", str(landing), strategy="full", volume=check)
+    for n in (38, 42, 40):
+        (landing / "trees.csv").write_text("tree\n" + "fir\n" * n)
+        assert lake.load(source)["warnings"] == []
+    (landing / "trees.csv").write_text("tree\n" + "elm\n" * 130)
+    if action == "fail":
+        with pytest.raises(LandingError, match="130 rows against a median of 40"):
+            lake.load(source)
+    else:
+        assert len(lake.load(source)["warnings"]) == 1
+    assert lake.bronze(source).count() == visible
+    event = lake.ops.read("data_quality_events").first()
+    assert event["severity"] == {"fail": "error", "warn": "warning"}[action]
+    assert '"ratio": 3.25' in event["detail"]
 
 
-def test_steps_filter_rename_and_count(lake, landing):
-    (landing / "a.csv").write_text("UF;Valor\nMT;1\nSP;2\nMT;3\n")
+def test_steps_of_a_source(lake, landing):
+    (landing / "heights.csv").write_text("Tree;Height;Soil\noak;30;clay\nelm;7;sand\nfir;12;\nyew;25;clay\n")
     steps = (
-        {"op": "filter", "column": "uf", "operator": "eq", "value": "MT"},
-        {"op": "rename", "mapping": {"valor": "amount"}},
-        {"op": "select_columns", "columns": ["amount"]},
+        {"op": "filter", "column": "height", "operator": "gte", "value": 10},
+        {"op": "drop_columns", "columns": ["soil"]},
+        {"op": "rename", "mapping": {"height": "metres"}},
     )
     source = Source("steps", str(landing), steps=steps)
     result = lake.load(source)
-    assert (result["rows_extracted"], result["rows_filtered"], result["rows_loaded"]) == (3, 1, 2)
-    assert rows(lake.bronze(source), "amount") == [("1",), ("3",)]
+    assert (result["rows_extracted"], result["rows_filtered"], result["rows_loaded"]) == (4, 1, 3)
+    assert lake.columns("steps") == ["tree", "metres"]
+    assert rows(lake.bronze(source), "tree", "metres") == [("fir", "12"), ("oak", "30"), ("yew", "25")]
 
 
 def test_dialects_encodings_and_title_lines(lake, landing):
@@ -252,13 +264,71 @@ def test_purge_and_profile(spark, lake, landing):
     assert found == [("id", 2, 0), ("x", 2, 1)]
 
 
-def test_purge_survives_a_crash_between_renames(spark, lake, landing):
-    (landing / "a.csv").write_text("tree\noak\n")
-    lake.load(Source("p", str(landing)))
-    live = lake.ops.path("ingestion_runs")
-    os.rename(live, f"{live}_old")
-    fresh = Lake(spark, lake.root)
-    assert fresh.ops.read("ingestion_runs").count() == 1
-    assert fresh.ops.purge(1)["ingestion_runs"] == 0
-    assert fresh.ops.purge(0)["ingestion_runs"] == 1
-    assert Lake(spark, lake.root).ops.read("ingestion_runs").count() == 0
+def test_purge_drops_whole_appends_by_the_age_of_their_rows(lake):
+    now = datetime.now(timezone.utc)
+    for age in (0, 5, 40, 41):
+        lake.ops.append("ingestion_runs", [{"run_id": str(age), "started_at": now - timedelta(days=age)}])
+    mixed = [{"run_id": f"mixed{age}", "started_at": now - timedelta(days=age)} for age in (50, 2)]
+    lake.ops.append("ingestion_runs", mixed)
+    assert lake.ops.purge(30, ["ingestion_runs"]) == {"ingestion_runs": 2}
+    assert rows(lake.ops.read("ingestion_runs"), "run_id") == [("0",), ("5",), ("mixed2",), ("mixed50",)]
+    assert lake.ops.purge(30, ["ingestion_runs", "schema_changes"]) == {"ingestion_runs": 0, "schema_changes": 0}
+
+
+WRITER = """
+import sys
+from datetime import datetime, timezone
+from pyspark.sql import SparkSession
+from cohortlake.plans.ops import Ops
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+ops = Ops(spark, sys.argv[1])
+print("ready", flush=True)
+for i in range(12):
+    ops.append("ingestion_runs", [{"run_id": f"other{i}", "started_at": datetime.now(timezone.utc)}])
+spark.stop()
+"""
+
+
+def test_two_processes_append_and_purge_at_once(lake):
+    """No append is lost, whoever commits or purges meanwhile."""
+    old = datetime.now(timezone.utc) - timedelta(days=90)
+    for i in range(3):
+        lake.ops.append("ingestion_runs", [{"run_id": f"old{i}", "started_at": old}])
+    other = subprocess.Popen([sys.executable, "-c", WRITER, lake.root], stdout=subprocess.PIPE, cwd=Path(__file__).parents[1])
+    assert other.stdout.readline() == b"ready\n"
+    removed = 0
+    for i in range(12):
+        lake.ops.append("ingestion_runs", [{"run_id": f"own{i}", "started_at": datetime.now(timezone.utc)}])
+        removed += lake.ops.purge(30, ["ingestion_runs"])["ingestion_runs"]
+    assert other.wait(timeout=120) == 0
+    kept = {r["run_id"] for r in lake.ops.read("ingestion_runs").collect()}
+    assert removed == 3 and kept == {f"{who}{i}" for who in ("own", "other") for i in range(12)}
+
+
+def test_latest_versions_come_from_the_index(spark, lake, landing):
+    source = Source("editions", str(landing), partition="season", decode=DecodeOptions(sep=","))
+    (landing / "one.csv").write_text("season,tree\nspring,oak\n autumn ,elm\n,none\n")
+    lake.load(source)
+    (landing / "two.csv").write_text("season,tree\nspring,fir\nspring,yew\n")
+    lake.load(source)
+    (landing / "three.csv").write_text("season,tree\nwinter,ash\n")
+    (landing / "four.csv").write_text("season,tree\nwinter,lime\n")
+    lake.load(source)
+    got = lake.latest(source)
+    assert rows(got, "season", "tree") == [(" autumn ", "elm"), ("spring", "fir"), ("spring", "yew"), ("winter", "ash")]
+    want = latest_partition(lake.bronze(source), "season")
+    assert rows(got, "season", "tree") == rows(want, "season", "tree")
+    # only folders of winning batches are scanned
+    (landing / "five.csv").write_text("season,tree\n" + "".join(f"{s},new\n" for s in ("spring", "autumn", "winter")))
+    lake.load(source)
+    final = lake.latest(source)
+    plan = final._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line and "tree" in line)
+    assert "_batch_id" in scan.split("PartitionFilters")[1]
+    assert {r["_batch_id"] for r in final.collect()} == {max(r["run_id"] for r in lake.ops.read("file_manifest").where("file_uri like '%five.csv'").collect())}
+    assert rows(final, "tree") == [("new",)] * 3
+    full = replace(source, name="whole", strategy="full")
+    lake.load(full)
+    assert rows(lake.latest(full), "season") == rows(latest_partition(lake.bronze(full), "season"), "season")
+    with pytest.raises(ValueError, match="no partition column"):
+        lake.latest(replace(source, partition=None))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from cohortlake.operators import checks
 from cohortlake.plans import higher_education as he
-from cohortlake.plans.export import Exporter, ExportError, ExportTable, base_columns, read_exported
+from cohortlake.plans.export import Exporter, ExportError, ExportTable, choose_base, read_exported
 from cohortlake.plans.landing import Lake, Source
 from cohortlake.plans.release import Publisher, check_problems, run_pipeline, source_problems
 from cohortlake.sources.decoded import DecodeOptions
@@ -45,12 +45,21 @@ def test_export_refuses_leaks_before_writing(spark, tmp_path):
 
 
 def test_base_column_rules():
-    assert base_columns(ExportTable("t"), ["x", "qt_mat", "qt_ing"]) == ["qt_ing"]
-    assert base_columns(ExportTable("t", suppress=False), ["x"]) == []
-    with pytest.raises(ExportError):
-        base_columns(ExportTable("t"), ["x"])
-    with pytest.raises(ExportError):
-        base_columns(ExportTable("t", base=("absent",)), ["x"])
+    several = choose_base(ExportTable("t"), ["x", "qt_mat", "qt_ing"])
+    assert (several.chosen, several.candidates, several.problem) == (("qt_ing",), ("qt_ing", "qt_mat"), None)
+    named = choose_base(ExportTable("t", base=("x", "y")), ["x", "y", "qt_ing"])
+    assert (named.chosen, named.candidates, named.problem) == (("x", "y"), ("qt_ing",), None)
+    assert "no base column" in choose_base(ExportTable("t"), ["x"]).problem
+    assert "['absent']" in choose_base(ExportTable("t", base=("absent", "x")), ["x"]).problem
+
+
+@pytest.mark.parametrize("base", [(), ("absent",)])
+def test_a_table_without_its_base_is_not_exported(spark, tmp_path, base):
+    rows = spark.createDataFrame([("oak", 30)], "tree string, height bigint")
+    with pytest.raises(ExportError, match="base column"):
+        Exporter(str(tmp_path)).run([(ExportTable("t", base=base), rows)])
+    done = Exporter(str(tmp_path)).run([(ExportTable("t", suppress=False), rows)])
+    assert done["tables"][0]["base_columns"] == [] and done["tables"][0]["rows"] == 1
 
 
 def test_publish_reject_rollback(spark, table, tmp_path):
