@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlake.functions import measures as m
-from cohortlake.operators.ranking import exact_ntile
+from cohortlake.operators.ranking import selected_ntile
 from cohortlake.session import cut_lineage
 
 
@@ -134,7 +134,7 @@ def outcome_by_quartile(
     min_cell: int = m.MIN_CELL,
 ) -> DataFrame:
     """Quartile limits, counts and rate over all rows; ``df`` has a ``share`` column."""
-    placed = exact_ntile(df, 4, [F.col("share").asc(), F.col(entity).asc()])
+    placed = selected_ntile(df, 4, "share", entity)
     return _quartile_report(["quartile"], placed, entrants, dropped, base, min_cell)
 
 
@@ -147,8 +147,7 @@ def outcome_by_factor_quartile(
     min_cell: int = m.MIN_CELL,
 ) -> DataFrame:
     """The same per factor, with the correlation of share and outcome of the whole factor."""
-    order = [F.col("share").asc(), F.col(entity).asc()]
-    placed = cut_lineage(exact_ntile(df, 4, order, ["factor"]), "quartiles")
+    placed = selected_ntile(df, 4, "share", entity, ["factor"])
     outcome = F.col(dropped).cast("double") * 100 / F.nullif(F.col(base), F.lit(0))
     strength = placed.groupBy("factor").agg(m.pearson(F.col("share"), outcome).alias("pearson"))
     report = _quartile_report(["factor", "quartile"], placed, entrants, dropped, base, min_cell)

@@ -8,7 +8,6 @@ from collections.abc import Iterable, Mapping
 from typing import Any
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,12 +55,10 @@ RETAINED = {
 
 def optional_parquet(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The relation at ``path``, or a typed empty one where none has arrived yet."""
-    try:
-        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    files, folder = folder_of(spark, path)
+    if not files.exists(folder):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 class Ops:

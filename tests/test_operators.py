@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -91,6 +92,26 @@ def test_exact_ntile_equals_the_window_even_with_one_hot_value(spark):
     assert sorted(r["q"] for r in few.collect()) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("most", [4, 50, 100_000])
+@pytest.mark.parametrize("partition", [[], ["g"]])
+def test_quantiles_by_narrowed_histograms(spark, most, partition):
+    """Ties, skewed values, groups smaller than the buckets, values that differ beyond a double."""
+    rows = [(g, v, k) for k, (g, v) in enumerate(
+        [("a", round(Decimal(i % 7) / 7, 20)) for i in range(300)]
+        + [("b", Decimal(10) ** (i % 30 - 15)) for i in range(211)]
+        + [("c", Decimal(1)) for _ in range(90)]
+        + [("c", Decimal("1.00000000000000000001")) for _ in range(30)]
+        + [("d", Decimal(5)), ("d", Decimal(4)), ("e", Decimal(0))]
+    )]
+    df = spark.createDataFrame(rows, "g string, v decimal(38,20), k long").repartition(5)
+    window = Window.partitionBy(*partition).orderBy("v", "k")
+    want = {r["k"]: r["q"] for r in df.withColumn("q", F.ntile(4).over(window)).collect()}
+    got = ranking.selected_ntile(df, 4, "v", "k", partition, "q", most)
+    assert got.columns == ["g", "v", "k", "q"]
+    assert {r["k"]: r["q"] for r in got.collect()} == want
+    assert ranking.selected_ntile(df.limit(0), 4, "v", "k", partition, "q").count() == 0
+
+
 def test_top_and_bottom_ties(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 5, 1, 1, 3])], "k int, v int")
     got = rows(ranking.top_and_bottom(df, "v", "k", 2))
