@@ -259,14 +259,13 @@ class Steps:
 
     def __iter__(self) -> Iterator[tuple]:
         """(depth, rows in gate order, counts before and after in the gate and in all gates)."""
-        place = np.empty(len(self.order), np.int64)
         for depth in range(BITS):
             starts = np.flatnonzero(self.shared <= depth)
             if not (self.stop[starts] > depth).any():
                 break
             after = np.add.reduceat(self.n, starts)
             above = np.flatnonzero(self.shared < depth)
-            before = np.add.reduceat(self.n, above)[np.searchsorted(above, starts, side="right") - 1]
+            before = np.add.reduceat(self.n, above)[(np.cumsum(self.shared < depth) - 1)[starts]]
             alive = self.stop[starts] > depth
             at, after, before = starts[alive], after[alive], before[alive]
             gates = self.gate[at]
@@ -274,8 +273,8 @@ class Steps:
             counts = [before, after]
             # the same over all gates: runs of the range in word order
             for d in (depth, depth + 1):
-                heads = np.flatnonzero(self.whole < d)
-                place = np.searchsorted(heads, self.order[at], side="right") - 1
+                first = self.whole < d
+                heads, place = np.flatnonzero(first), (np.cumsum(first) - 1)[self.order[at]]
                 counts.append(self._corrected(at, d, np.add.reduceat(self.rows.n, heads)[place], None))
             yield (depth, at, *counts)
 
@@ -283,8 +282,8 @@ class Steps:
         """Value of each row's decision at this depth (rows in gate order; 0 past the word's stop)."""
         full = np.zeros(len(self.order))
         full[at] = value
-        heads = np.flatnonzero(self.shared <= depth)
-        return np.where(self.stop > depth, full[heads][np.searchsorted(heads, np.arange(len(self.order)), side="right") - 1], 0.0)
+        first = self.shared <= depth
+        return np.where(self.stop > depth, full[first][np.cumsum(first) - 1], 0.0)
 
 
 # --- predictors ----------------------------------------------------------------------------------
@@ -395,24 +394,31 @@ class Mixer:
         return Mixer(np.full((SETS, INPUTS), 0.3), np.tile(4 * centre, (SETS, 1)), np.full((SETS, CELLS), 4.0))
 
     def mixed(self, x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        return np.einsum("ij,ij->i", self.weights[chosen], x)
-
-    def learn(self, x: np.ndarray, chosen: np.ndarray, n: np.ndarray, rate: float) -> None:
-        """One step for a batch of decisions taken by ``n`` tokens each, then the adaptive map."""
+        """``x``: a row for each predictor."""
+        total = np.zeros(len(chosen))
+        for weights, odds in zip(np.ascontiguousarray(self.weights.T), x, strict=True):
+            total += weights[chosen] * odds
+        return total
+
+    def learn(self, x: np.ndarray, chosen: np.ndarray, n: np.ndarray, rate: float, refine: bool) -> None:
+        """One step for a batch of decisions taken by ``n`` tokens each; then, with ``refine``, the adaptive map."""
         t = self.mixed(x, chosen)
         miss = n * (1 - squashed(t))
         size = np.bincount(chosen, weights=n, minlength=SETS)
         some = size > 0
         for k in range(INPUTS):
-            step = np.bincount(chosen, weights=miss * x[:, k], minlength=SETS)
+            step = np.bincount(chosen, weights=miss * x[k], minlength=SETS)
             self.weights[some, k] += rate * np.clip(step[some] / size[some], -1, 1)
+        if not refine:
+            return
         low, part = map_place(t)
-        other, apart = map_place(-t)
-        for cell, share, won in ((low, 1 - part, 1), (low + 1, part, 1), (other, 1 - apart, 0), (other + 1, apart, 0)):
-            flat_cell = chosen * CELLS + cell
-            add = np.bincount(flat_cell, weights=n * share, minlength=SETS * CELLS).reshape(SETS, CELLS)
-            self.seen += add
-            self.hits += add * won
+        at = chosen * CELLS + low
+        add = np.bincount(at, weights=n * (1 - part), minlength=SETS * CELLS)
+        add += np.bincount(at + 1, weights=n * part, minlength=SETS * CELLS)
+        add = add.reshape(SETS, CELLS)
+        # the bit not taken lies at the mirrored place
+        self.seen += add + add[:, ::-1]
+        self.hits += add
 
     def probability(self, x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
         t = self.mixed(x, chosen)
@@ -447,11 +453,11 @@ def decisions(rows: Range, shared: Shared, part: int, less: float) -> Iterator[t
         i, bit = divmod(depth, 8)
         r = own[at]
         v, p1, p2, p3 = (head[r, 3 + i - k] for k in range(4))
-        x = np.empty((len(at), INPUTS))
+        x = np.empty((INPUTS, len(at)))
         for k, odds in enumerate(shared.hashed.stretched(contexts(rows.gate[r], p1, p2, p3), v, bit, less)):
-            x[:, k] = odds
-        x[:, -2] = exact_odds(all_before, all_after, less)
-        x[:, -1] = exact_odds(before, after, less)
+            x[k] = odds
+        x[-2] = exact_odds(all_before, all_after, less)
+        x[-1] = exact_odds(before, after, less)
         yield (steps, depth, at), x, weight_set(before, all_before, less), after
     row, place, v, p1, p2, p3 = byte_rows(rows)
     far = (place >= DEPTH) & ((rows.n[row] > 0) | (less == 0))
@@ -460,9 +466,9 @@ def decisions(rows: Range, shared: Shared, part: int, less: float) -> Iterator[t
         ctx = contexts(rows.gate[row], p1, p2, p3)
         alone = np.zeros(len(row), np.int64)  # the weight set of no exact knowledge
         for bit in range(8):
-            x = np.zeros((len(row), INPUTS))
+            x = np.zeros((INPUTS, len(row)))
             for k, odds in enumerate(shared.hashed.stretched(ctx, v, bit, less)):
-                x[:, k] = odds
+                x[k] = odds
             yield (None, None, row), x, alone, rows.n[row]
 
 
@@ -506,12 +512,11 @@ def _send_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train_range(rows: Range, shared: Shared, part: int) -> Mixer:
     mixer = Mixer.fresh()
     for rate in RATES:
-        # The adaptive map is filled anew, by the weights it will refine.
-        mixer.hits, mixer.seen = Mixer.fresh().hits, Mixer.fresh().seen
         for _, x, chosen, n in decisions(rows, shared, part, 1.0):
             for start in range(0, len(n), 8192):
                 own = slice(start, start + 8192)
-                mixer.learn(x[own], chosen[own], n[own], rate)
+                # The adaptive map is filled in the last pass, by the weights it will refine.
+                mixer.learn(x[:, own], chosen[own], n[own], rate, rate == RATES[-1])
     return mixer
 
 
