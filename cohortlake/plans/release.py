@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions.measures import local_time
 from cohortlake.plans.landing import Lake, Source
 from cohortlake.plans.ops import Ops
-from cohortlake.session import all_together, run_together
+from cohortlake.session import all_together, clear_scratch, run_together, scratch_mark
 
 # Check outcomes that stop a publication.
 BLOCKING = ("error", "fail", "runtime error", "skipped")
@@ -160,7 +160,8 @@ class Publisher:
     ) -> dict[str, Any]:
         """Problems or an empty candidate reject the version and keep the current one."""
         current, _ = self.pointer()
-        reason = "; ".join(problems)[:4000] or (None if tables else "empty candidate")
+        text = "; ".join(problems) or (None if tables else "empty candidate")
+        reason = f"{text[:3980]} ... (cut)" if text and len(text) > 4000 else text
         record = {
             "version": version,
             "status": "rejected" if reason else "published",
@@ -171,18 +172,19 @@ class Publisher:
             "checks": json.dumps(checks or [], ensure_ascii=False, default=str),
         }
         if not reason:
-            held = self.ops.read("file_manifest").withColumn("version", F.lit(version))
-            self.ops.append_frame("published_files", held)
             self._point(version, current)
         self.ops.append("publications", [record])
         outcome = {"status": record["status"], "version": version, "reason": reason}
         return outcome | ({"kept": current} if reason else {"previous": current})
 
     def release(self) -> tuple[DataFrame, DataFrame]:
-        """The newest published record with its checks, and the files behind that version."""
+        """The newest published record with its checks, and the files behind that version: those that the
+        manifest held when it was published. The manifest only grows, so nothing is copied."""
         record = latest_release(self.ops.read("publications"))
-        files = self.ops.read("published_files").join(record.select("version"), "version", "left_semi")
-        return record, files
+        known = self.ops.read("file_manifest")
+        files = known.where(F.col("loaded_at") <= record.select("published_at").scalar())
+        version = record.select("version").scalar()
+        return record, files.select(version.alias("version"), "source", "sha256", "file_uri", "rows_loaded")
 
     def rollback(self) -> dict[str, Any]:
         """Swap current and previous; without a previous version nothing happens."""
@@ -232,11 +234,25 @@ def run_pipeline(
     tests,
     export=None,
     skip_ingest_group: str | None = None,
+    keep_shared: bool = False,
 ) -> dict[str, Any]:
     """Load all, gate the sources, build and test a candidate, publish it and export it.
 
-    ``build(lake)`` returns the tables, ``tests(tables)`` one relation (check, status).
+    ``build(lake)`` returns the tables, ``tests(tables)`` one relation (check, status). What the run wrote
+    to the shared folder in between is deleted at its end: the tables, the log and the export are all that stays.
+    ``keep_shared`` leaves it, for a caller who goes on with relations made by ``build``.
     """
+    mark = scratch_mark(lake.spark)
+    try:
+        return _pipeline(lake, sources, build, tests, export, skip_ingest_group)
+    finally:
+        if not keep_shared:
+            clear_scratch(lake.spark, mark)
+
+
+def _pipeline(
+    lake: Lake, sources: Sequence[Source], build, tests, export, skip_ingest_group: str | None
+) -> dict[str, Any]:
     version, publisher = new_version(), Publisher(lake)
     results: dict[str, str] = {}
     errors: dict[str, str] = {}

@@ -62,14 +62,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete what this session has written below the shared folder; no relation made from it can be
-    read any more. To be called when a run's results are stored. Returns the number of paths."""
-    paths = getattr(spark, "_cohortlake_scratch", [])
+def scratch_mark(spark: SparkSession) -> int:
+    """A point in time for ``clear_scratch``: how much the session has written so far."""
+    return len(getattr(spark, "_cohortlake_scratch", []))
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete what this session has written below the shared folder since a mark; no relation made from it
+    can be read any more. To be called when a run's results are stored. Returns the number of paths."""
+    held = getattr(spark, "_cohortlake_scratch", [])
+    paths = held[since:]
     for name in paths:
         folder, path = folder_of(spark, name)
         folder.delete(path, True)
-    spark._cohortlake_scratch = []
+    del held[since:]
     return len(paths)
 
 

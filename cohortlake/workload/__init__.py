@@ -15,6 +15,7 @@ MODULES = (
     "consume_queries",
     "release_queries",
     "source_queries",
+    "typed_queries",
 )
 
 

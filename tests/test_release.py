@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cohortlake.operators import checks
 from cohortlake.plans import higher_education as he
+from cohortlake.session import scratch_mark
 from cohortlake.plans.export import Exporter, ExportError, ExportTable, choose_base, read_exported
 from cohortlake.plans.landing import Lake, Source
 from cohortlake.plans.release import Publisher, check_problems, run_pipeline, source_problems
@@ -219,16 +220,17 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
     (landing / "institution_scores" / "g.csv").write_text(
         "Ano,Código da IES,Nome da IES,Sigla da UF,IGC (Contínuo),IGC (Faixa)\n2022,1,Uni,MT,3.25,4\n2022,2,Other,SP,,sc\n"
     )
+    versions = {"trajectory": "nu_ano_ingresso", "census": "nu_ano_censo", "institutions": "nu_ano_censo", "scores": "ano", "institution_scores": "ano"}
     need = {"trajectory": ("co_curso", "qt_ingressante"), "census": ("co_curso",), "scores": ("codigo_do_curso",)}
     sources = [
-        Source(n, str(landing / n), required=n in need, essential=need.get(n, ()), decode=DecodeOptions())
+        Source(n, str(landing / n), required=n in need, essential=need.get(n, ()), partition=versions.get(n))
         for n in names
     ]
     lake = Lake(spark, str(tmp_path / "lake"))
-    silver = {}
+    silver: dict = {}
 
     def build(lake):
-        silver["s"] = he.build_silver({s.name: lake.bronze(s) for s in sources})
+        silver["s"] = he.build_silver({s.name: lake.latest(s) if s.partition else lake.bronze(s) for s in sources})
         return he.build_gold(silver["s"], lake.ops)
 
     def tests(tables):
@@ -238,7 +240,7 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
         pairs = [(spec, tables[spec.name]) for spec in he.exports()]
         return Exporter(str(tmp_path / "out"), {"version": version}).run(pairs)
 
-    summary = run_pipeline(lake, sources, build, tests, export)
+    summary = run_pipeline(lake, sources, build, tests, export, keep_shared=True)
     assert summary["publication"]["status"] == "published", summary["publication"]
     assert {c["status"] for c in summary["checks"]} == {"pass"} and len(summary["checks"]) > 60
     sizes = {t["table"]: t["rows"] for t in summary["export"]["tables"]}
@@ -298,7 +300,9 @@ def test_pipeline_from_files_to_exports(spark, tmp_path):
     broken[at] = "abc"
     (landing / "trajectory" / "again.csv").write_text("\n".join([lines[0], ";".join(broken), *lines[2:]]) + "\n")
     before = publisher.pointer()
+    mark = scratch_mark(spark)
     second = run_pipeline(lake, sources, build, tests, export)
+    assert scratch_mark(spark) == mark
     assert second["publication"]["status"] == "rejected"
     assert "trajectory.qt_ingressante.not_null: fail" in second["publication"]["reason"]
     assert publisher.pointer() == before
