@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from cohortlake.operators import checks
 from cohortlake.plans import higher_education as he
 from cohortlake.session import scratch_mark
-from cohortlake.plans.export import Exporter, ExportError, ExportTable, choose_base, read_exported
+from cohortlake.plans.export import Exporter, ExportError, ExportTable, choose_base, read_exported, total_order
 from cohortlake.plans.landing import Lake, Source
 from cohortlake.plans.release import Publisher, check_problems, run_pipeline, source_problems
 from cohortlake.sources.decoded import DecodeOptions
@@ -63,6 +63,19 @@ def test_a_table_without_its_base_is_not_exported(spark, tmp_path, base):
     assert done["tables"][0]["base_columns"] == [] and done["tables"][0]["rows"] == 1
 
 
+def test_total_order_of_rows_repeated_past_a_file(spark):
+    """One row stands 500 times where a file takes 60; the order holds across files, nulls last."""
+    data = [("oak", 7)] * 500 + [(f"t{i:03d}", i) for i in range(90)] + [(None, 1), ("elm", None)] * 3 + [("ash", 1)]
+    df = spark.createDataFrame(data, "tree string, height int").repartition(7)
+    got = total_order(df, ["tree"], len(data), rows_per_file=60)
+    parts = [list(map(tuple, p)) for p in got.rdd.glom().collect()]
+    flat = [r for p in parts for r in p]
+    assert flat == sorted(data, key=lambda r: (r[0] is None, r[0] or "", r[1] is None, r[1] or 0))
+    assert max(map(len, parts)) <= 130 and sum(map(bool, parts)) >= 6
+    one = total_order(df, ["height"], len(data)).collect()
+    assert [tuple(r) for r in one] == sorted(data, key=lambda r: (r[1] is None, r[1] or 0, r[0] is None, r[0] or ""))
+
+
 def test_publish_reject_rollback(spark, table, tmp_path):
     publisher = Publisher(Lake(spark, str(tmp_path)))
     assert publisher.rollback()["status"] == "noop"
