@@ -103,20 +103,24 @@ def fit(texts: list[bytes], languages: list[str], landmarks: int, ridge: float)
 def train(labelled: DataFrame, per_language: int = 400, landmarks: int = 24, ridge: float = 1e-3) -> KernelModel | None:
     """Fit on at most ``per_language`` texts of each language of ``labelled`` (doc_id, text, lang).
 
-    The sample is that with the smallest hashed ids; only ids and languages are sorted, and the few
-    chosen ids are then looked up. None where no row has a text and a language.
+    The sample is that of the smallest hashed (id, text); ids, languages and hashes are sorted, and the chosen
+    texts are looked up. Rows that repeat an id are rows of their own, equal rows count as one; a null id, text
+    or language takes no part. None where no row is left, as in an empty table. Texts of any length are whole.
     """
-    named = labelled.where("text is not null and lang is not null and doc_id is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    named = labelled.where("text is not null and lang is not null and doc_id is not null").select(
+        "doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("mark")
+    )
+    keys = ["lang", "doc_id", "mark"]
+    order = Window.partitionBy("lang").orderBy("mark", "doc_id")
     ids = (
-        named.select("doc_id", "lang")
+        named.select(*keys)
+        .distinct()
         .withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= per_language)
-        .select("doc_id", "lang", "n")
     )
-    # Bounded by per_language times the number of languages, hence the broadcast.
-    rows = named.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).collect()
-    rows = sorted(rows, key=lambda r: (r["lang"], r["n"], r["text"]))
+    # Bounded by per_language times the number of languages, hence the broadcast and the collect.
+    rows = named.join(F.broadcast(ids), keys).groupBy(*keys, "n").agg(F.min("text").alias("text")).collect()
+    rows = sorted(rows, key=lambda r: (r["lang"], r["n"]))
     if not rows:
         return None
     texts = [r["text"].encode("utf-8", "replace").lower() for r in rows]
@@ -136,8 +140,12 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
     if model is None:
         return docs.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast(model)  # size set by slots, landmarks and languages
-    source = docs.select(*keep, letter.alias("__letter"))
-    schema = source.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    rows = docs.select(*keep)
+    mark = "letter"
+    while mark in keep:  # whatever the user's columns are called
+        mark += "_"
+    source = rows.withColumn(mark, letter)
+    schema = rows.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     for field in schema.fields[-2:]:
         field.nullable = True
 
@@ -148,7 +156,7 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
                 texts = batch.column("text").to_pylist()
-                has = batch.column("__letter").to_numpy(zero_copy_only=False)
+                has = batch.column(mark).to_numpy(zero_copy_only=False)
                 known = np.flatnonzero(has)
                 pred = np.full(len(texts), UNDETERMINED, dtype=object)
                 share = np.zeros(len(texts))

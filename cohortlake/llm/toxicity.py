@@ -222,15 +222,21 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[DataFrame, dict[int, int]]:
-    """``text, label`` of at most ``per_label`` rows of each label, those with the smallest hashed ids,
-    and how many rows each label has. Ids with several labels count with each."""
+    """``text, label`` of at most ``per_label`` rows of each label, those with the smallest hashed (id, text),
+    and how many labelled ids each label has. Ids with several labels count with each; rows that repeat an id are
+    rows of their own, equal rows count as one; null ids, texts and labels take no part."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").alias("label")).distinct()
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_label).select("doc_id", "label")
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    # Two times per_label ids at most, hence the broadcast.
-    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label")
-    return rows, sizes
+    # Two times per_label ids at most, hence the broadcast; an id may stand in any number of rows.
+    rows = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    rows = rows.join(F.broadcast(ids), "doc_id")
+    keys = ["label", "doc_id", "mark"]
+    each = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
+    first = rows.select(*keys).distinct().withColumn("n", F.row_number().over(each)).where(F.col("n") <= per_label)
+    chosen = rows.join(F.broadcast(first.drop("n")), keys).groupBy(*keys).agg(F.min("text").alias("text"))
+    return chosen.select("text", "label"), sizes
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, most_terms: int = 128) -> tuple[Lexicon, np.ndarray]:

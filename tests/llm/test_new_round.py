@@ -272,3 +272,34 @@ def test_audit_refuses_too_many_filters(spark):
         filter_audit.audit(cells, "ABCDEFGH")
     with pytest.raises(ValueError):
         filter_audit.audit(cells, "AAB")
+
+
+def test_samples_of_repeated_ids_stay_bounded(spark):
+    """A hundred rows of one id: no more texts than the parameter allows, whatever repeats."""
+    from cohortlake.llm import langid, toxicity
+
+    rows = [(1, f"der die das nummer {i}", "de") for i in range(100)] + [(2, "the and of it", "en")] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+
+    def spy(texts, languages, *rest):
+        seen["texts"] = list(zip(languages, texts, strict=True))
+
+    original, langid.fit = langid.fit, spy
+    try:
+        langid.train(docs, per_language=7)
+    finally:
+        langid.fit = original
+    assert Counter(lang for lang, _ in seen["texts"]) == {"de": 7, "en": 1}
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0)], "doc_id long, toxic int")
+    sample, sizes = toxicity.labelled_sample(docs, labels, 5)
+    assert Counter(r["label"] for r in sample.collect()) == {1: 5, 0: 1} and sizes == {1: 1, 0: 1}
+
+
+def test_identify_keeps_columns_of_any_name(spark):
+    from cohortlake.llm import langid
+
+    rows = [(i, text, lang, "mine", True) for i, (text, lang) in enumerate([("der die das und", "de"), ("the and of it", "en")] * 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, letter string, letter_ boolean")
+    got = langid.identify(docs, langid.train(docs, landmarks=2)).collect()
+    assert all(r["lang_pred"] == r["lang"] and r["letter"] == "mine" and r["letter_"] for r in got) and len(got) == 12
