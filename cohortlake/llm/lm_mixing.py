@@ -54,6 +54,8 @@ CELLS, REACH = 49, 12.0
 HASHED_PRIOR, EXACT_PRIOR = 0.05, 0.02
 #: Learning rates of the mixer, one for each pass over the training counts.
 RATES = (0.3, 0.1)
+#: Bytes of decisions that a task keeps from its first pass for its second.
+KEPT_BYTES = 64 << 20
 #: A unit is common if it makes up one in so many training tokens, so there are no more of them.
 COMMON = 2000
 BLOCK_BYTES = 12 << 20
@@ -439,14 +441,16 @@ class Shared:
     mixer: Mixer | None = None
 
 
-def decisions(rows: Range, shared: Shared, part: int, less: float) -> Iterator[tuple]:
+def decisions(rows: Range, shared: Shared, part: int, less: float, passed: int = 0) -> Iterator[tuple]:
     """(where, inputs, weight set, tokens) of all bit decisions; where: (steps, depth, rows) for shared
     ones, or the rows of bytes beyond DEPTH. With ``less`` tokens taken off, decisions of no token are
-    left out."""
+    left out. The first ``passed`` of them are not made."""
     steps = Steps(rows, shared.totals[part])
     head = np.c_[np.full((len(rows.gate), 3), 32, np.uint8), rows.head]
     own = steps.order
     for depth, at, before, after, all_before, all_after in steps:
+        if depth < passed:
+            continue
         if less:
             some = after > 0
             at, before, after, all_before, all_after = at[some], before[some], after[some], all_before[some], all_after[some]
@@ -510,13 +514,29 @@ def _send_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_range(rows: Range, shared: Shared, part: int) -> Mixer:
+    """Two passes over all decisions. What the first depths looked like is kept for the second pass, as
+    far as the memory set for it reaches; the values are the same as if made again."""
     mixer = Mixer.fresh()
-    for rate in RATES:
-        for _, x, chosen, n in decisions(rows, shared, part, 1.0):
-            for start in range(0, len(n), 8192):
-                own = slice(start, start + 8192)
-                # The adaptive map is filled in the last pass, by the weights it will refine.
-                mixer.learn(x[:, own], chosen[own], n[own], rate, rate == RATES[-1])
+    kept: list[tuple] = []
+
+    def learn(x: np.ndarray, chosen: np.ndarray, n: np.ndarray, rate: float) -> None:
+        for start in range(0, len(n), 8192):
+            own = slice(start, start + 8192)
+            # The adaptive map is filled in the last pass, by the weights it will refine.
+            mixer.learn(x[:, own], chosen[own], n[own], rate, rate == RATES[-1])
+
+    held = 0
+    for where, x, chosen, n in decisions(rows, shared, part, 1.0):
+        learn(x, chosen, n, RATES[0])
+        if where[0] is not None and len(kept) == where[1] and held < KEPT_BYTES:
+            # hashed log-odds are of single precision already
+            kept.append((x[:-2].astype(np.float32), x[-2:], chosen.astype(np.int8), n))
+            held += sum(part.nbytes for part in kept[-1])
+    for rate in RATES[1:]:
+        for hashed, exact, chosen, n in kept:
+            learn(np.concatenate([hashed.astype(float), exact]), chosen.astype(np.int64), n, rate)
+        for _, x, chosen, n in decisions(rows, shared, part, 1.0, len(kept)):
+            learn(x, chosen, n, rate)
     return mixer
 
 
@@ -675,7 +695,7 @@ def log_probabilities(docs: DataFrame) -> DataFrame:
                 yield from held.add(block, n_docs, at, np.repeat(v, lengths, axis=1) * times)
         yield from held.flush()
 
-    postings = block_postings(source, lambda texts: gated_units(texts, classes), BLOCK_BYTES, common)
+    postings = block_postings(source, lambda texts: gated_units(texts, classes), BLOCK_BYTES, common, sort=False)
     told_values = values.where("bucket >= 0").withColumn("block", F.lit(-1).cast("long"))
     both = postings.unionByName(told_values, allowMissingColumns=True)
     met = both.repartition(parts, "bucket").sortWithinPartitions("bucket", "block")

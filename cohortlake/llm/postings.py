@@ -60,7 +60,7 @@ def bucket_count(df: DataFrame) -> int:
     return 4 * shuffle_partitions(df.sparkSession)
 
 
-def block_postings(docs: DataFrame, units: Units, block_bytes: int = BLOCK_BYTES, known=None) -> DataFrame:
+def block_postings(docs: DataFrame, units: Units, block_bytes: int = BLOCK_BYTES, known=None, sort: bool = True) -> DataFrame:
     """Postings of ``docs`` (doc_id long, text string, training boolean).
 
     Rows: ``packed`` null: the block itself (``doc_ids, n_bytes, trained`` by place); otherwise units of
@@ -71,6 +71,7 @@ def block_postings(docs: DataFrame, units: Units, block_bytes: int = BLOCK_BYTES
 
     ``known``: a broadcast of unit -> values for the most frequent units. Their sums are taken where
     they are found (``sums`` of the block's row, value by value, by place), and they are not dealt out.
+    ``sort``: units of a bucket in order of their bytes, which packs them closer and takes longer.
     """
     buckets = bucket_count(docs)
 
@@ -88,7 +89,7 @@ def block_postings(docs: DataFrame, units: Units, block_bytes: int = BLOCK_BYTES
             rows, sums = None, None
             if len(words):
                 seen = training.to_numpy(zero_copy_only=False)
-                rows, sums = _unit_rows(block, words, owner, seen, n, buckets, known.value if known else None)
+                rows, sums = _unit_rows(block, words, owner, seen, n, buckets, known.value if known else None, sort)
             yield _row(
                 1, block, n,
                 bucket=pa.array([block % buckets], pa.int32()),
@@ -115,13 +116,13 @@ def _row(n: int, block: int, n_docs: int, **columns: pa.Array) -> pa.RecordBatch
 
 
 def _unit_rows(
-    block: int, words: pa.Array, owner: np.ndarray, training: np.ndarray, n_docs: int, buckets: int, known: dict | None
+    block: int, words: pa.Array, owner: np.ndarray, training: np.ndarray, n_docs: int, buckets: int, known: dict | None, sort: bool
 ) -> tuple[pa.RecordBatch, np.ndarray | None]:
     coded = words.dictionary_encode()
     names = coded.dictionary.cast(pa.large_binary()).cast(pa.binary())
     home = bucket_of(names, buckets)
-    # Units in order of bucket and bytes, so that like ones are packed side by side.
-    order = np.lexsort((pc.rank(names, tiebreaker="first").to_numpy(), home))
+    # Units in order of bucket and, if wanted, bytes, so that like ones are packed side by side.
+    order = np.lexsort((pc.rank(names, tiebreaker="first").to_numpy(), home)) if sort else np.argsort(home, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     key = place[coded.indices.to_numpy(zero_copy_only=False)] * n_docs + owner
