@@ -41,7 +41,6 @@ SCHEMAS = {
     "publications": """
         version string, status string, published_at timestamp, previous string, reason string,
         sources string, checks string""",
-    "pointer": "changed_at timestamp, current string, previous string",
 }
 # Relations under retention and their time column.
 RETAINED = {

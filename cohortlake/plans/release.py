@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import partial
 from typing import Any
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions.measures import local_time
+from cohortlake.plans.commit_log import CommitLog
 from cohortlake.plans.landing import Lake, Source
 from cohortlake.plans.ops import Ops
 from cohortlake.session import all_together, clear_scratch, run_together, scratch_mark
@@ -121,23 +122,30 @@ def latest_release(publications: DataFrame) -> DataFrame:
 # ---- publication -----------------------------------------------------------------------------
 
 
+def _after(entry: Mapping[str, Any], now: datetime) -> datetime:
+    """A time for the entry behind ``entry``: now, but later than that entry on whatever clock."""
+    last = entry.get("at")
+    return max(now, datetime.fromisoformat(last) + timedelta(microseconds=1)) if last else now
+
+
 class Publisher:
-    """Versioned Gold folders; a pointer record says which one readers use."""
+    """Versioned Gold folders; the newest entry of a commit log says which one readers use.
+
+    Publications and rollbacks of several processes stand one behind the other in that log: each names as
+    its previous version the one that really was current before it.
+    """
 
     def __init__(self, lake: Lake) -> None:
         self.lake, self.spark, self.ops = lake, lake.spark, Ops(lake.spark, lake.root)
+        self.log = CommitLog(lake.spark, f"{lake.root}/ops/pointer")
 
     def path(self, version: str, table: str) -> str:
         return f"{self.lake.root}/gold/{version}/{table}"
 
     def pointer(self) -> tuple[str | None, str | None]:
-        rows = self.ops.read("pointer")
-        row = rows.agg(F.max_by(F.struct("current", "previous"), "changed_at").alias("p")).first()
-        return (row["p"]["current"], row["p"]["previous"]) if row["p"] else (None, None)
-
-    def _point(self, current: str | None, previous: str | None) -> None:
-        now = datetime.now(timezone.utc)
-        self.ops.append("pointer", [{"changed_at": now, "current": current, "previous": previous}])
+        """The current version and the one before it."""
+        entry = self.log.head()[1] or {}
+        return entry.get("current"), entry.get("previous")
 
     def build(self, version: str, tables: Mapping[str, DataFrame]) -> None:
         """Write the candidate; nobody reads it before :meth:`publish` moves the pointer."""
@@ -159,20 +167,27 @@ class Publisher:
         checks: Any = None,
     ) -> dict[str, Any]:
         """Problems or an empty candidate reject the version and keep the current one."""
-        current, _ = self.pointer()
         text = "; ".join(problems) or (None if tables else "empty candidate")
         reason = f"{text[:3980]} ... (cut)" if text and len(text) > 4000 else text
+        now = datetime.now(timezone.utc)
+
+        def successor(entry: dict[str, Any] | None) -> dict[str, Any] | None:
+            if reason:
+                return None
+            entry = entry or {}
+            return {"at": _after(entry, now).isoformat(), "current": version, "previous": entry.get("current")}
+
+        before, after = self.log.update(successor)
+        current = (before or {}).get("current")
         record = {
             "version": version,
             "status": "rejected" if reason else "published",
-            "published_at": datetime.now(timezone.utc),
+            "published_at": datetime.fromisoformat(after["at"]) if after else now,
             "previous": current,
             "reason": reason,
             "sources": json.dumps(sources or {}, ensure_ascii=False, default=str),
             "checks": json.dumps(checks or [], ensure_ascii=False, default=str),
         }
-        if not reason:
-            self._point(version, current)
         self.ops.append("publications", [record])
         outcome = {"status": record["status"], "version": version, "reason": reason}
         return outcome | ({"kept": current} if reason else {"previous": current})
@@ -188,11 +203,16 @@ class Publisher:
 
     def rollback(self) -> dict[str, Any]:
         """Swap current and previous; without a previous version nothing happens."""
-        current, previous = self.pointer()
-        if previous is None:
+        def swapped(entry: dict[str, Any] | None) -> dict[str, Any] | None:
+            if not entry or entry["previous"] is None:
+                return None
+            at = _after(entry, datetime.now(timezone.utc)).isoformat()
+            return {"at": at, "current": entry["previous"], "previous": entry["current"]}
+
+        before, after = self.log.update(swapped)
+        if after is None:
             return {"status": "noop", "reason": "no previous version"}
-        self._point(previous, current)
-        return {"status": "rolled_back", "from": current, "to": previous}
+        return {"status": "rolled_back", "from": before["current"], "to": after["current"]}
 
     def read(self, table: str, version: str | None = None) -> DataFrame:
         """A published table; pass the version to read several tables from one snapshot."""
