@@ -12,15 +12,20 @@ Retrieved pairs are verified on five-word shingles: enough of the item's questio
 sentence) and of its answer (the last sentence) must stand in the document; or enough of the whole
 item, with at least half of the answer's words where they belong, so an altered last sentence is no
 way out. Words are compared without punctuation at their edges.
+
+Item counts, document frequencies and the passage length are taken from all items by Spark. A large set of
+items is indexed in parts, each built in a task with those statistics, so pairs and scores do not depend
+on the number of parts.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import gathered, ship_package, text_tokens, tidy, words_of
+from cohortlake.llm.common import cut_lineage, gathered, ragged, ship_package, text_tokens, tidy, words_of
 
 #: Shingle length and overlap of verification.
 SHINGLE = 5
@@ -39,9 +44,12 @@ OVERLAP = 0.8
 TRACE, SHIFT = 0.5, 2
 #: Share of an item's score with itself from which a passage is retrieved.
 RETRIEVE = 0.5
-#: Items in a block of a posting list, and bytes of index that are broadcast at once.
+#: Items in a block of a posting list, bytes of index that are broadcast at once (WORD_BYTES for each word
+#: beside the text), and (passage, block) sums held at once.
 ITEM_BLOCK = 16
 INDEX_BYTES = 32 << 20
+WORD_BYTES = 80
+BOUNDS = 1 << 22
 #: Fixed values of BM25.
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -90,37 +98,42 @@ class ItemIndex:
     items: np.ndarray
     weight: np.ndarray  # idf over the item's score with itself
     best: np.ndarray  # highest weight, by term
-    block_best: np.ndarray  # terms x blocks: highest weight
+    block_starts: np.ndarray  # blocks that hold term t: block_starts[t] to block_starts[t + 1]
+    blocks: np.ndarray
+    block_best: np.ndarray  # highest weight of the term in the block
     passage: int  # words of a passage
 
-    def size(self) -> int:
-        return self.block_best.nbytes + self.items.nbytes + self.weight.nbytes + 64 * len(self.terms)
+    @property
+    def n_blocks(self) -> int:
+        return -(-len(self.ids) // ITEM_BLOCK)
 
 
-def build_index(rows: list[tuple[int, str]]) -> ItemIndex:
-    """Index of items; those without a word can't be found and are left out."""
-    rows = [(i, t) for i, t in rows if t and words_of(t)]
+def build_index(rows: list[tuple[int, str]], n: int, df: Mapping[bytes, int], longest: int) -> ItemIndex:
+    """Index of items with a word each; ``n`` items, ``df`` of them with a term and ``longest`` words of one
+    are counts over the whole set of which ``rows`` are a part."""
     bags = [Counter(bare(words_of(t))) for _, t in rows]
-    n, df = len(rows), Counter(w for b in bags for w in b)
-    terms = {w: k for k, w in enumerate(sorted(df))}
-    # A passage covers two items of the usual length, so an item always lies whole in some passage.
-    longest = max((sum(b.values()) for b in bags), default=1)
-    idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+    terms = {w: k for k, w in enumerate(sorted({w for b in bags for w in b}))}
+    idf = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) for w in terms}
     own = [sum(idf[w] * _saturated(f) for w, f in b.items()) for b in bags]
     postings: list[list[tuple[int, float]]] = [[] for _ in terms]
     for i, b in enumerate(bags):
         for w in b:
             postings[terms[w]].append((i, idf[w] / own[i]))
-    starts = np.r_[0, np.cumsum([len(p) for p in postings])].astype(np.int64)
+    sizes = np.array([len(p) for p in postings], np.int64)
     items = np.array([i for p in postings for i, _ in p], np.int64)
     weight = np.array([w for p in postings for _, w in p])
-    blocks = -(-n // ITEM_BLOCK)
-    best = np.zeros((len(terms), max(blocks, 1)), np.float32)
-    if len(items):
-        np.maximum.at(best, (np.repeat(np.arange(len(terms)), np.diff(starts)), items // ITEM_BLOCK), np.nextafter(weight.astype(np.float32), np.float32(9e9)))
+    # Items stand in ascending order in a posting list, so those of one block stand together.
+    term = np.repeat(np.arange(len(terms)), sizes)
+    block = items // ITEM_BLOCK
+    heads = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(items) else np.empty(0, np.int64)
+    block_best = np.maximum.reduceat(weight, heads) if len(items) else np.empty(0)
+    best = np.zeros(len(terms))
+    np.maximum.at(best, term[heads], block_best)
+    starts = lambda counts: np.r_[0, np.cumsum(counts)].astype(np.int64)
+    # A passage covers two items of the greatest length, so an item always lies whole in some passage.
     return ItemIndex(
-        np.array([i for i, _ in rows], np.int64), [parts_of(t) for _, t in rows], terms, starts, items, weight,
-        best.max(1), best, 2 * longest,
+        np.array([i for i, _ in rows], np.int64), [parts_of(t) for _, t in rows], terms, starts(sizes), items, weight,
+        best, starts(np.bincount(term[heads], minlength=len(terms))), block[heads], block_best, 2 * max(longest, 1),
     )
 
 
@@ -159,18 +172,23 @@ def search(index: ItemIndex, coded: pa.DictionaryArray, owner: np.ndarray, n_doc
     sizes = np.diff(np.r_[heads, len(passage)])
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     alive = np.flatnonzero(live)
-    for at in range(0, len(alive), 4096):
-        some = alive[at : at + 4096]
-        rows = np.repeat(heads[some] - (np.cumsum(sizes[some]) - sizes[some]), sizes[some]) + np.arange(sizes[some].sum())
+    step = max(1, min(4096, BOUNDS // index.n_blocks))
+    for at in range(0, len(alive), step):
+        some = alive[at : at + step]
+        rows = ragged(heads[some], sizes[some])
         t, p = term[rows], part[rows]
         cuts = np.cumsum(sizes[some]) - sizes[some]
-        blocks = np.add.reduceat(index.block_best[t] * p[:, None], cuts, axis=0) >= RETRIEVE - 1e-6
+        held = index.block_starts[t + 1] - index.block_starts[t]
+        posts = ragged(index.block_starts[t], held)
+        cell = np.repeat(np.repeat(np.arange(len(some)), sizes[some]), held) * index.n_blocks + index.blocks[posts]
+        bounds = np.bincount(cell, weights=index.block_best[posts] * np.repeat(p, held), minlength=len(some) * index.n_blocks)
+        blocks = bounds.reshape(len(some), -1) >= RETRIEVE - 1e-6
         keep = np.flatnonzero(blocks.any(1))
         for q in keep:
             mine = slice(cuts[q], cuts[q] + sizes[some[q]])
             tq, c = t[mine], count[rows[mine]]
             lens = index.starts[tq + 1] - index.starts[tq]
-            posts = np.repeat(index.starts[tq] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+            posts = ragged(index.starts[tq], lens)
             which = index.items[posts]
             open_block = blocks[q][which // ITEM_BLOCK]
             f = np.repeat(_saturated(c), lens)
@@ -257,17 +275,19 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, overlap: float = OVERL
     place. Null and wordless texts are never found. Rows that repeat a doc_id or item_id
     give a row each, in every combination that is found; null ids stay null.
 
-    The index is broadcast in parts of at most ``INDEX_BYTES``; a larger set of items takes more
-    passes over the documents.
+    The index is broadcast in parts of about ``INDEX_BYTES``; a larger set of items takes more passes over the
+    documents, each written before the next one starts, with the same result. Empty tables give no
+    rows. Texts of any length are read whole; of passages with equal scores the score counts once.
     """
     spark = docs.sparkSession
     ship_package(spark)
     kinds = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question double, answer double, contaminated boolean"
     out, target = None, _arrow_type(items)
-    for part in _item_parts(items):
-        names = pa.array([r[0] for r in part])
-        shared = spark.sparkContext.broadcast((build_index([(k, r[1]) for k, r in enumerate(part)]), names))
+    indexes, parts = item_indexes(items)
+    for number in range(parts):
+        built = pickle.loads(indexes.where(F.col("part") == number).first()["index"])
+        shared = spark.sparkContext.broadcast(built)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
@@ -291,6 +311,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, overlap: float = OVERL
                 )
 
         found = docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
+        if parts > 1:  # the driver holds one part at a time
+            found = cut_lineage(found, "decontamination-part")
+            shared.destroy()
         out = found if out is None else out.union(found)
     return spark.createDataFrame([], schema) if out is None else out
 
@@ -301,19 +324,54 @@ def _arrow_type(items: DataFrame) -> pa.DataType:
     return to_arrow_type(items.schema["item_id"].dataType)
 
 
-def _item_parts(items: DataFrame) -> Iterator[list]:
-    """Items in parts whose index stays below INDEX_BYTES: about 80 bytes for each word."""
-    part, size = [], 0
-    rows = items.where("text is not null").select("item_id", "text").orderBy("item_id", "text")
-    for row in rows.toLocalIterator():
-        words = len(row["text"]) // 4 + 1
-        if part and size + 80 * words > INDEX_BYTES:
-            yield part
-            part, size = [], 0
-        part.append((row["item_id"], row["text"]))
-        size += 80 * words
-    if part:
-        yield part
+def item_indexes(items: DataFrame) -> tuple[DataFrame, int]:
+    """``part, index`` with one pickled (index, item ids) for each part, and the number of parts.
+
+    Items are dealt to parts row by row, so repeated items are no crowd; a part is put together in a task.
+    """
+    kind = items.schema["item_id"].dataType.simpleString()
+    numbered = items.where("text is not null").select("item_id", "text", F.monotonically_increasing_id().alias("row"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bags = [Counter(bare(words_of(t))) for t in batch.column("text").to_pylist()]
+            counts = [list(b) for b in bags], [sum(b.values()) for b in bags]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("item_id", "text", "row")), pa.array(counts[0], pa.list_(pa.binary())), pa.array(counts[1], pa.int64())],
+                names=["item_id", "text", "row", "words", "n_words"],
+            )
+
+    held = numbered.mapInArrow(count, f"item_id {kind}, text string, row bigint, words array<binary>, n_words bigint")
+    held = cut_lineage(held.where("n_words > 0"), "items")
+    size = F.sum(F.col("n_words") * WORD_BYTES + F.octet_length("text"))
+    n, longest, total = held.agg(F.count(F.lit(1)), F.max("n_words"), size).first()
+    parts = -(-(total or 0) // INDEX_BYTES)
+    if not parts:
+        return items.sparkSession.createDataFrame([], "part int, index binary"), 0
+    dealt = held.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
+    words = dealt.select("part", F.explode("words").alias("word"))
+    df = words.groupBy("part", "word").agg(F.count(F.lit(1)).alias("df"))
+    if parts > 1:
+        whole = df.groupBy("word").agg(F.sum("df").alias("df"))
+        df = df.select("part", "word").join(whole, "word")
+
+    def build(key: tuple, own: pa.Table, counted: pa.Table) -> pa.Table:
+        own = own.sort_by("row")
+        frequency = dict(zip(counted.column("word").to_pylist(), counted.column("df").to_pylist(), strict=True))
+        index = build_index(list(enumerate(own.column("text").to_pylist())), n, frequency, longest)
+        names = own.column("item_id").combine_chunks()
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "index": pa.array([pickle.dumps((index, names))], pa.binary())})
+
+    grouped = dealt.select("part", "item_id", "text", "row").groupBy("part")
+    built = grouped.cogroup(df.select(F.col("part").alias("part_of"), "word", "df").groupBy("part_of")).applyInArrow(build, "part int, index binary")
+    # A part that no row was dealt to has no index; the others are numbered anew.
+    built = cut_lineage(built, "item-index")
+    filled = {r["part"] for r in built.select("part").collect()}
+    if len(filled) < parts:
+        order = {p: k for k, p in enumerate(sorted(filled))}
+        number = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
+        built = built.withColumn("part", number[F.col("part")])
+    return built, len(filled)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -323,7 +381,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     shares its doc_id with a contaminated one.
     """
     key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.sha2(F.col("text"), 256))
-    marked = docs.withColumn("_row", key)
-    found = contaminated_pairs(marked.select(F.col("_row").alias("doc_id"), "text"), items)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct()
-    return marked.join(bad, "_row", "left_anti").select(*docs.columns)
+    row = "_row" + "_" * max(map(len, docs.columns))  # longer than any column's name, so it clashes with none
+    marked = docs.withColumn(row, key)
+    found = contaminated_pairs(marked.select(F.col(row).alias("doc_id"), "text"), items)
+    bad = found.where("contaminated").select(F.col("doc_id").alias(row)).distinct()
+    return marked.join(bad, row, "left_anti").select(*docs.columns)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -158,6 +160,39 @@ def test_decontamination_equals_brute_force(spark, monkeypatch, index_bytes):
     assert decontaminate.contaminated_pairs(d.limit(0), b).count() == 0
 
 
+@pytest.mark.parametrize("index_bytes", [1 << 25, 1500])
+def test_retrieved_pairs_and_scores_equal_plain_bm25(spark, monkeypatch, index_bytes):
+    """Every (document, item) pair over the threshold with its score, whatever the number of parts."""
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", index_bytes)
+    monkeypatch.setattr(decontaminate, "BOUNDS", 8)
+    items, docs = items_and_docs()
+    docs = docs[:60] + docs[-4:]
+    plain = lambda t: [w for w in (x.strip(decontaminate._EDGES) for x in (t or "").lower().split()) if w]
+    bags = [(k, Counter(plain(t))) for k, t in items if plain(t)]
+    n, longest = len(bags), max(sum(b.values()) for _, b in bags)
+    df = Counter(w for _, b in bags for w in b)
+    idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+    part = lambda f: f * 2.2 / (f + 1.2)
+    own = [sum(idf[w] * part(f) for w, f in b.items()) for _, b in bags]
+    want = []
+    for i, text in docs:
+        words = plain(text)
+        best = [0.0] * n
+        for at in range(-longest, len(words), longest):
+            seen = Counter(words[max(at, 0) : at + 2 * longest])
+            for k, (_, b) in enumerate(bags):
+                best[k] = max(best[k], sum(idf[w] * part(seen[w]) for w in b) / own[k])
+        want += [(i, bags[k][0], round(s, 9)) for k, s in enumerate(best) if s >= decontaminate.RETRIEVE]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    if index_bytes == 1500:
+        assert decontaminate.item_indexes(b)[1] > 10
+    found = decontaminate.contaminated_pairs(d, b).collect()
+    order = lambda r: (-1 if r[0] is None else r[0], *r[1:])
+    assert sorted(((r.doc_id, r.item_id, round(r.score, 9)) for r in found), key=order) == sorted(want, key=order)
+    assert len(want) >= 20
+
+
 def test_altered_endings_are_found(spark):
     """Whole items whose last sentence differs in punctuation or in a word; a question alone is clean."""
     rng = random.Random(12)
@@ -188,10 +223,10 @@ def test_contaminated_rows_go_and_no_others(spark):
     """A null doc_id is found and dropped; a clean row that shares a doc_id stays."""
     item = "one two three four five six seven eight. nine ten eleven twelve thirteen fourteen."
     rows = [(None, item, "a"), (None, "clean text", "b"), (1, f"x {item} y", "c"), (1, "clean too", "d"), (2, None, "e"), (None, None, "f")]
-    d = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    d = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, tag string, _row string")
     left = decontaminate.drop_contaminated(d, spark.createDataFrame([(7, item)], "item_id long, text string"))
     assert left.columns == d.columns
-    assert sorted(r.tag for r in left.collect()) == ["b", "d", "e", "f"]
+    assert sorted((r.tag, r._row) for r in left.collect()) == [(t, "mine") for t in "bdef"]
 
 
 def test_pipeline_equals_its_stages_one_by_one(spark):
