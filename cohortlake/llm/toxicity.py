@@ -2,7 +2,9 @@
 
 A lexicon of terms is learned from labelled texts. Its trie is intersected with the Levenshtein
 automaton of one edit, and the product is made deterministic once, as a transition table; a batch runs
-all its distinct words through the table together, one character a step. Each hit is judged in a
+all its distinct words through the table together, one character a step. A token is looked up by its
+runs of letters, and as one word without its other characters if no run is found, so neither
+``idiot,you`` nor ``i-d-i-o-t`` hides a term. Each hit is judged in a
 window of words around it: quotation marks on both sides speak for quotation, words of address for
 abuse. A logistic regression on the sums of a text gives the score.
 """
@@ -18,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut_lineage, gathered, ship_package, tidy
+from cohortlake.llm.common import cut_lineage, gathered, ragged, ship_package, tidy
 
 #: Terms shorter than this must match exactly; others within one edit.
 EXACT_BELOW = 4
@@ -124,10 +126,12 @@ def compile_lexicon(terms: list[str], weights: list[float]) -> Lexicon:
     return Lexicon(symbol, np.array(table, np.int64), term, exact, np.array(weights), max(map(len, terms), default=0))
 
 
-def learn_lexicon(sample: DataFrame, most_terms: int, least: int = 4) -> tuple[list[str], list[float]]:
-    """Terms that stand in toxic texts (label 1) far more often than in others, with log-odds.
+def learn_lexicon(sample: DataFrame, least: int = 4) -> tuple[list[str], list[float]]:
+    """Terms that stand in toxic texts (label 1) far more often than in others, with log-odds; the most
+    telling first, equally telling ones by their letters.
 
-    ``sample``: text, label. Words are runs of letters in lower case, counted once a text.
+    ``sample``: text, label. Words are runs of letters in lower case, counted once a text. Every word over the
+    likelihood ratio is a term; their number is bounded by the sample, of which each needs several texts.
     """
     words = sample.select(
         "label", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))).alias("word")
@@ -152,12 +156,31 @@ def learn_lexicon(sample: DataFrame, most_terms: int, least: int = 4) -> tuple[l
         .select("word", odds.alias("odds"), ratio.alias("ratio"))
         .where((F.col("ratio") >= LIKELIHOOD_RATIO) & (F.col("odds") >= 2.0))
         .orderBy(F.desc("ratio"), "word")
-        .limit(most_terms)
         .collect()
     )
     return [r["word"] for r in best], [r["odds"] for r in best]
 
 
+def _token_hits(names: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hits of distinct tokens: token (ascending), term, whether spelled exactly; and for each token whether a
+    word of address is in it."""
+    joined = pc.replace_substring_regex(names, r"[^\pL]+", "").to_pylist()
+    parts = pc.split_pattern_regex(names, r"[^\pL]+")
+    owner = pc.list_parent_indices(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+    runs = pc.list_flatten(parts).to_pylist()
+    term, exact = lexicon.match(runs)
+    some = np.flatnonzero(term >= 0)
+    in_runs = np.zeros(len(names), bool)
+    in_runs[owner[some]] = True
+    whole, same = lexicon.match(joined)
+    rest = np.flatnonzero((whole >= 0) & ~in_runs)
+    token = np.r_[owner[some], rest]
+    order = np.argsort(token, kind="stable")
+    address = np.array([p in ADDRESS for p in joined], bool)
+    address[owner[np.array([r in ADDRESS for r in runs], bool)]] = True
+    return token[order], np.r_[term[some], whole[rest]][order], np.r_[exact[some], same[rest]][order], address
+
+
 def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     """One row for each text: sums over its hits, by spelling and by context."""
     n = len(texts)
@@ -174,23 +197,23 @@ def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     coded = tokens.dictionary_encode()
     names = coded.dictionary
     ids = coded.indices.to_numpy(zero_copy_only=False)
-    plain = pc.replace_substring_regex(names, r"[^\pL]+", "").to_pylist()
-    term, exact = lexicon.match(plain)
+    owners, found, same, address = _token_hits(names, lexicon)
     quote = pc.match_substring_regex(names, _QUOTE).to_numpy(zero_copy_only=False)
-    address = np.array([p in ADDRESS for p in plain])
     first = np.searchsorted(owner, np.arange(n))
     last = np.searchsorted(owner, np.arange(n), side="right")
     words = last - first
     out[:, 8] = np.log1p(words)
-    hit = np.flatnonzero(term[ids] >= 0)
+    held = np.bincount(owners, minlength=len(names))
+    hit = np.repeat(np.arange(len(ids)), held[ids])
     if not len(hit):
         return out
+    which = ragged((np.cumsum(held) - held)[ids], held[ids])
     doc = owner[hit]
     marks, calls = np.r_[0, np.cumsum(quote[ids])], np.r_[0, np.cumsum(address[ids])]
     left, right = np.maximum(hit - CONTEXT, first[doc]), np.minimum(hit + CONTEXT + 1, last[doc])
     quoted = (marks[hit + 1] - marks[left] > 0) & (marks[right] - marks[hit] > 0)
     called = calls[right] - calls[left] > 0
-    t, e = term[ids[hit]], exact[ids[hit]]
+    t, e = found[which], same[which]
     weight = lexicon.weights[t]
     total = lambda x: np.bincount(doc, weights=x, minlength=n)
     out[:, 1] = np.log1p(total(weight * (e & ~quoted)))
@@ -239,7 +262,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple
     return chosen.select("text", "label"), sizes
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, most_terms: int = 128) -> tuple[Lexicon, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000) -> tuple[Lexicon, np.ndarray]:
     """Lexicon and regression from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Only a sample of ``per_label`` rows of each label is used; its weights restore the labels' shares.
@@ -247,7 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, most_terms:
     """
     sample, sizes = labelled_sample(docs, labels, per_label)
     sample = cut_lineage(sample, "toxicity-sample")
-    lexicon = compile_lexicon(*learn_lexicon(sample, most_terms))
+    lexicon = compile_lexicon(*learn_lexicon(sample))
     shared = sample.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

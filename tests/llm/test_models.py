@@ -71,6 +71,27 @@ def test_context_separates_quotation():
     assert not x[4, 1:].any() and not x[5, 1:8].any()
 
 
+def test_joined_terms_are_found():
+    lexicon = toxicity.compile_lexicon(["idiot", "moron"], [3.0, 2.0])
+    tokens = ["idiot,you", "idiot/moron", "you-idiot", "i-d-i-o-t", "idiot\u00a0there", "«idiot»", "idiot's", "...", "fine,thanks", "you"]
+    owner, term, exact, address = toxicity._token_hits(pa.array(tokens), lexicon)
+    assert list(zip(owner.tolist(), term.tolist(), exact.tolist(), strict=True)) == [
+        (0, 0, True), (1, 0, True), (1, 1, True), (2, 0, True), (3, 0, True), (4, 0, True), (5, 0, True), (6, 0, True),
+    ]
+    assert address.tolist() == [True, False, True, False, False, False, False, False, False, True]
+    x = toxicity.features(pa.array(["an idiot/moron idiot here", "idiot moron idiot", "clean,words only", ""]), lexicon)
+    assert x[0, 1] == x[1, 1] and x[0, 7] == x[1, 7] > 0 and not x[2:, 1:8].any()
+
+
+def test_every_telling_word_is_a_term(spark):
+    """No cap: 300 terms, each in 40 of 400 toxic texts and in no other."""
+    name = lambda k: "z" + "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    rows = [(" ".join(name(k) for k in range(i % 10, 300, 10)), 1) for i in range(400)]
+    rows += [("plain words that say nothing", 0)] * 400
+    terms, odds = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert sorted(terms) == sorted(name(k) for k in range(300)) and min(odds) >= 2
+
+
 def test_toxicity_is_held_out(spark):
     got = op8_toxicity(spark, "/root/testdata/sf0.01").collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
