@@ -45,11 +45,14 @@ TRACE, SHIFT = 0.5, 2
 #: Share of an item's score with itself from which a passage is retrieved.
 RETRIEVE = 0.5
 #: Items in a block of a posting list, bytes of index that are broadcast at once (WORD_BYTES for each word
-#: beside the text), and (passage, block) sums held at once.
+#: beside the text), (passage, block) sums held at once, the block maxima they are added up from (those of
+#: one passage at least), and bytes of text whose words are held at once (those of one text at least).
 ITEM_BLOCK = 16
 INDEX_BYTES = 32 << 20
 WORD_BYTES = 80
 BOUNDS = 1 << 22
+MAXIMA = 1 << 20
+TEXT_BYTES = 2 << 20
 #: Fixed values of BM25.
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -142,6 +145,17 @@ def _saturated(f):
     return f * (K1 + 1) / (f + K1)
 
 
+def groups(rows: np.ndarray, cost: np.ndarray, most_rows: int) -> Iterator[np.ndarray]:
+    """Rows in runs of at most ``most_rows`` that cost no more than ``MAXIMA`` together, or of a single row."""
+    spent = np.r_[0, np.cumsum(cost)]
+    at = 0
+    while at < len(rows):
+        end = int(np.searchsorted(spent, spent[at] + MAXIMA, side="right")) - 1
+        end = max(at + 1, min(end, at + most_rows))
+        yield rows[at:end]
+        at = end
+
+
 def search(index: ItemIndex, coded: pa.DictionaryArray, owner: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, item, best score) of every pair of which some passage reaches the threshold."""
     none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
@@ -173,8 +187,8 @@ def search(index: ItemIndex, coded: pa.DictionaryArray, owner: np.ndarray, n_doc
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     alive = np.flatnonzero(live)
     step = max(1, min(4096, BOUNDS // index.n_blocks))
-    for at in range(0, len(alive), step):
-        some = alive[at : at + step]
+    maxima = np.add.reduceat(index.block_starts[term + 1] - index.block_starts[term], heads)[alive]
+    for some in groups(alive, maxima, step):
         rows = ragged(heads[some], sizes[some])
         t, p = term[rows], part[rows]
         cuts = np.cumsum(sizes[some]) - sizes[some]
@@ -291,7 +305,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, overlap: float = OVERL
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
-            for batch in gathered(batches, "text", 8 << 20):
+            for batch in gathered(batches, "text", TEXT_BYTES):
                 texts = pc.fill_null(batch.column("text"), "")
                 words, owner = bare_tokens(*text_tokens(texts))
                 d, i, s = search(index, words, owner, len(texts))
@@ -378,11 +392,12 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows that are contaminated by some item.
 
     Rows are told apart by doc_id and text, so a null doc_id is no shelter, and a clean row stays that
-    shares its doc_id with a contaminated one.
+    shares its doc_id with a contaminated one. The keys of contaminated rows are written before the join:
+    texts are not sorted and shuffled while other tasks search, and Spark knows how few the keys are.
     """
     key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.sha2(F.col("text"), 256))
     row = "_row" + "_" * max(map(len, docs.columns))  # longer than any column's name, so it clashes with none
     marked = docs.withColumn(row, key)
     found = contaminated_pairs(marked.select(F.col(row).alias("doc_id"), "text"), items)
-    bad = found.where("contaminated").select(F.col("doc_id").alias(row)).distinct()
+    bad = cut_lineage(found.where("contaminated").select(F.col("doc_id").alias(row)).distinct(), "contaminated")
     return marked.join(bad, row, "left_anti").select(*docs.columns)

@@ -229,6 +229,36 @@ def test_contaminated_rows_go_and_no_others(spark):
     assert sorted((r.tag, r._row) for r in left.collect()) == [(t, "mine") for t in "bdef"]
 
 
+def test_block_maxima_are_added_in_bounded_groups(monkeypatch):
+    """Passages that share a common word with every block of items: few maxima are held, and the pairs are the same."""
+    items = [(k, f"every one a{k % 7} b{k} c{k} d{k} e{k} f{k}") for k in range(400)]
+    bags = [Counter(decontaminate.words_of(t)) for _, t in items]
+    index = decontaminate.build_index(items, len(items), Counter(w for b in bags for w in b), 8)
+    texts = decontaminate.pa.array([f"x {items[k][1]} y every a1 a2 a3 a4" for k in range(0, 400, 4)])
+    held, plain = [], decontaminate.ragged
+
+    def watched(starts, lengths):
+        held.append(int(lengths.sum()))
+        return plain(starts, lengths)
+
+    monkeypatch.setattr(decontaminate, "ragged", watched)
+    found = []
+    for most in (1 << 40, 2000):
+        held.clear()
+        monkeypatch.setattr(decontaminate, "MAXIMA", most)
+        found.append([x.tolist() for x in decontaminate.search(index, *decontaminate.bare_tokens(*decontaminate.text_tokens(texts)), len(texts))])
+        assert (max(held) <= 2000) == (most == 2000)
+    assert found[0] == found[1] and len(found[0][0]) >= 100
+
+
+def test_contaminated_keys_are_written_before_the_join(spark):
+    """No task searches while texts are shuffled for the join."""
+    d = spark.createDataFrame([(1, "one two three four five six seven")], "doc_id long, text string")
+    left = decontaminate.drop_contaminated(d, spark.createDataFrame([(7, "one two three four five")], "item_id long, text string"))
+    assert "MapInArrow" not in left._jdf.queryExecution().optimizedPlan().toString()
+    assert left.count() == 0
+
+
 def test_pipeline_equals_its_stages_one_by_one(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
