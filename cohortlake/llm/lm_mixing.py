@@ -59,6 +59,8 @@ KEPT_BYTES = 64 << 20
 #: A unit is common if it makes up one in so many training tokens, so there are no more of them.
 COMMON = 2000
 BLOCK_BYTES = 12 << 20
+#: Rows of (unit, count) that a task adds up at once, twice its distinct units at least.
+UNIT_ROWS = 1 << 20
 _LEAST = 2.0**-22
 END = b"\n"
 
@@ -196,6 +198,7 @@ class Range:
     head: np.ndarray  # rows x DEPTH bytes
     key: np.ndarray  # the same as two big-endian numbers
     size: np.ndarray
+    place: np.ndarray  # rows as they were given
 
     @staticmethod
     def of(words: list[bytes], gate: np.ndarray, n: np.ndarray) -> Range:
@@ -204,7 +207,7 @@ class Range:
         key = head.view(">u8").astype(np.uint64).reshape(-1, 2)
         order = np.lexsort((gate, key[:, 1], key[:, 0]))
         size = np.fromiter(map(len, coded), np.int64, len(coded))
-        return Range([coded[i] for i in order], gate[order], n[order].astype(float), head[order], key[order], size[order])
+        return Range([coded[i] for i in order], gate[order], n[order].astype(float), head[order], key[order], size[order], order)
 
     def path(self, key: np.ndarray) -> np.ndarray:
         """Tokens of each gate that share at least d leading bits with a word, for every d."""
@@ -233,6 +236,13 @@ def edge_totals(firsts: np.ndarray, lasts: np.ndarray, paths: np.ndarray) -> np.
     return out
 
 
+def _by_value(x: np.ndarray, size: int) -> list[np.ndarray]:
+    """Places of 0, 1, ... up to ``size`` in ``x``, each in ascending order."""
+    order = np.argsort(x, kind="stable")
+    bounds = np.searchsorted(x[order], np.arange(size + 1))
+    return [order[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 class Steps:
     """All bit decisions of a range, depth by depth, each once however many words share it."""
 
@@ -251,34 +261,54 @@ class Steps:
         self.to_edge = [common_bits(rows.key, e)[order] for e in edge]
         self.whole = np.r_[-1, common_bits(rows.key[1:], rows.key[:-1])] if len(order) > 1 else np.array([-1])
 
-    def _corrected(self, at: np.ndarray, depth: int, own: np.ndarray, gates: np.ndarray | None) -> np.ndarray:
-        out = own
+    def _correct(self, at: np.ndarray, depth: int, own: np.ndarray, every: np.ndarray, gates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts in the gate and in all gates, over all ranges where a row shares its bits with an edge."""
+        own, every = own.astype(float), every.astype(float)
         for side in (1, 0):
-            whole = self.totals[side]
-            value = whole[gates, depth] if gates is not None else whole[:, depth].sum()
-            out = np.where(self.to_edge[side][at] >= depth, value, out)
-        return out
+            near = np.flatnonzero(self.to_edge[side][at] >= depth)
+            if len(near):
+                own[near] = self.totals[side][gates[near], depth]
+                every[near] = self.totals[side][:, depth].sum()
+        return own, every
 
     def __iter__(self) -> Iterator[tuple]:
-        """(depth, rows in gate order, counts before and after in the gate and in all gates)."""
+        """(depth, rows in gate order, counts before and after in the gate and in all gates).
+
+        A node is a run of rows in gate order, and the run of all rows of its bits in word order. Both
+        only shrink from one depth to the next, so they are carried along and cut where rows differ;
+        counts are whole numbers, so differences of running sums are exact.
+        """
+        own_sum, every_sum = np.r_[0, np.cumsum(self.n)], np.r_[0, np.cumsum(self.rows.n)]
+        size = len(self.order)
+        cuts, cuts_wide = (_by_value(x, BITS) for x in (self.shared, self.whole))
+        start = np.flatnonzero(self.shared < 0)
+        stop = np.r_[start[1:], size]
+        first, last = np.zeros(len(start), np.int64), np.full(len(start), size)
+        before, all_before = own_sum[stop] - own_sum[start], every_sum[last] - every_sum[first]
         for depth in range(BITS):
-            starts = np.flatnonzero(self.shared <= depth)
-            if not (self.stop[starts] > depth).any():
-                break
-            after = np.add.reduceat(self.n, starts)
-            above = np.flatnonzero(self.shared < depth)
-            before = np.add.reduceat(self.n, above)[(np.cumsum(self.shared < depth) - 1)[starts]]
-            alive = self.stop[starts] > depth
-            at, after, before = starts[alive], after[alive], before[alive]
-            gates = self.gate[at]
-            after, before = self._corrected(at, depth + 1, after, gates), self._corrected(at, depth, before, gates)
-            counts = [before, after]
-            # the same over all gates: runs of the range in word order
-            for d in (depth, depth + 1):
-                first = self.whole < d
-                heads, place = np.flatnonzero(first), (np.cumsum(first) - 1)[self.order[at]]
-                counts.append(self._corrected(at, d, np.add.reduceat(self.rows.n, heads)[place], None))
-            yield (depth, at, *counts)
+            if depth % 8 == 0:
+                alive = self.stop[start] > depth
+                if not alive.all():
+                    start, stop, first, last, before, all_before = (x[alive] for x in (start, stop, first, last, before, all_before))
+                if not len(start):
+                    break
+            born = cuts[depth]
+            if len(born):
+                parent = np.searchsorted(start, born) - 1
+                stop, first, last, before, all_before = (np.insert(x, parent + 1, x[parent]) for x in (stop, first, last, before, all_before))
+                start = np.insert(start, parent + 1, born)
+                stop = np.minimum(stop, np.r_[start[1:], size])
+            wide = cuts_wide[depth]
+            if len(wide):
+                row = self.order[start]
+                place = np.searchsorted(wide, row, side="right")
+                first = np.maximum(first, np.r_[0, wide][place])
+                last = np.minimum(last, np.r_[wide, size][place])
+            after, all_after = own_sum[stop] - own_sum[start], every_sum[last] - every_sum[first]
+            gates = self.gate[start]
+            above, below = self._correct(start, depth, before, all_before, gates), self._correct(start, depth + 1, after, all_after, gates)
+            yield (depth, start, above[0], below[0], above[1], below[1])
+            before, all_before = after, all_after
 
     def spread(self, depth: int, at: np.ndarray, value: np.ndarray) -> np.ndarray:
         """Value of each row's decision at this depth (rows in gate order; 0 past the word's stop)."""
@@ -448,7 +478,8 @@ def decisions(rows: Range, shared: Shared, part: int, less: float, passed: int =
     steps = Steps(rows, shared.totals[part])
     head = np.c_[np.full((len(rows.gate), 3), 32, np.uint8), rows.head]
     own = steps.order
-    for depth, at, before, after, all_before, all_after in steps:
+    deepest = int(steps.stop.max(initial=0))
+    for depth, at, before, after, all_before, all_after in steps if passed < deepest else ():
         if depth < passed:
             continue
         if less:
@@ -577,18 +608,30 @@ def _block_counts(classes: np.ndarray, buckets: int):
 
 def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All tokens of the units of the task's buckets; ``coded`` sorts as the bits of a word do."""
-    total: dict[bytes, int] = {}
+    held, rows, most = [], 0, UNIT_ROWS
     for batch in batches:
         for data in batch.column("packed").to_pylist():
-            rows = unpacked(data)
-            for u, n in zip(rows.column("unit").to_pylist(), rows.column("n").to_pylist(), strict=True):
-                total[u] = total.get(u, 0) + n
-    units = list(total)
-    for start in range(0, len(units), 50_000):
-        own = units[start : start + 50_000]
-        yield pa.RecordBatch.from_pydict(
-            {"gate": pa.array([u[0] - 65 for u in own], pa.int32()), "word": pa.array([u[1:] for u in own], pa.binary()), "coded": pa.array([u[1:] + b" " for u in own], pa.binary()), "n": pa.array([total[u] for u in own], pa.int64())}
-        )
+            held.append(unpacked(data))
+            rows += held[-1].num_rows
+            if rows > most:
+                held = _added(held)
+                rows = sum(h.num_rows for h in held)
+                most = max(UNIT_ROWS, 2 * rows)
+    for part in _added(held):
+        for start in range(0, part.num_rows, 50_000):
+            own = part.slice(start, 50_000)
+            units = own.column("unit").to_pylist()
+            yield pa.RecordBatch.from_pydict(
+                {"gate": pa.array([u[0] - 65 for u in units], pa.int32()), "word": pa.array([u[1:] for u in units], pa.binary()), "coded": pa.array([u[1:] + b" " for u in units], pa.binary()), "n": own.column("n")}
+            )
+
+
+def _added(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """One row for each unit, in order of first appearance."""
+    if not held:
+        return []
+    sums = pa.Table.from_batches(held).group_by("unit", use_threads=False).aggregate([("n", "sum")])
+    return sums.rename_columns({"n_sum": "n"}).select(["unit", "n"]).combine_chunks().to_batches()
 
 
 def _collected(edges: DataFrame) -> Shared:
@@ -648,9 +691,9 @@ def log_probabilities(docs: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows, table in _ranges(batches):
-            value = dict(zip(zip(rows.coded, rows.gate.tolist(), strict=True), score_range(rows, model.value, part).tolist(), strict=True))
+            found = np.empty(len(rows.place), np.float32)
+            found[rows.place] = score_range(rows, model.value, part)
             words, gates = table.column("word").to_pylist(), table.column("gate").to_pylist()
-            found = np.array([value[w if w == END else w + b" ", g] for w, g in zip(words, gates, strict=True)], np.float32)
             names = pa.array([bytes([65 + g]) + w for w, g in zip(words, gates, strict=True)], pa.binary())
             c = table.column("c").to_numpy()
             common = table.column("n").to_numpy() * COMMON > tokens
@@ -662,34 +705,37 @@ def log_probabilities(docs: DataFrame) -> DataFrame:
             packed = [packed_columns({"unit": names.take(pa.array(i)), "c": pa.array(c[i]), "score": pa.array(found[i])}) for _, i in chosen]
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(b) for b, _ in chosen], pa.int32()), "packed": pa.array(packed, pa.binary())})
 
-    def values_in(packed: list[bytes]) -> dict[bytes, tuple[float, ...]]:
-        out = {}
-        for data in packed:
-            rows = unpacked(data)
-            c = rows.column("c").to_numpy()
-            base = np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
-            values = zip([1.0] * len(c), (c > 0).astype(float).tolist(), base.tolist(), rows.column("score").to_pylist(), strict=True)
-            out.update(zip(rows.column("unit").to_pylist(), values, strict=True))
-        return out
+    def values_in(data: bytes) -> tuple[list[bytes], np.ndarray]:
+        """Units, and a row of values for each."""
+        rows = unpacked(data)
+        c = rows.column("c").to_numpy()
+        base = np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
+        return rows.column("unit").to_pylist(), np.stack([np.ones(len(c)), c > 0, base, rows.column("score").to_numpy()], 1).astype(float)
 
     values = cut_lineage(tasks.mapInArrow(tidy(score), "bucket int, packed binary"), "lm-values")
-    common = spark.sparkContext.broadcast(values_in(values.where("bucket < 0").toArrow().column("packed").to_pylist()))
+    most = [values_in(data) for data in values.where("bucket < 0").toArrow().column("packed").to_pylist()]
+    common = spark.sparkContext.broadcast({u: tuple(v) for units, rows in most for u, v in zip(units, rows.tolist(), strict=True)})
     names = ["n", "known", "base", "score"]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known, home = HeldSums(names), {}, None
+        held, home = HeldSums(names), None
+        known: dict[bytes, int] = {}
+        found = np.empty((0, len(names)))
         for batch in batches:
             yield from passed_on(batch, names)
             for bucket, block, n_docs, data in zip(*(batch.column(k).to_pylist() for k in ("bucket", "block", "n_docs", "packed")), strict=True):
                 if data is None:
                     continue
                 if bucket != home:
-                    home, known = bucket, {}
+                    home, known, found = bucket, {}, found[:0]
                 if block < 0:
-                    known.update(values_in([data]))
+                    units, value = values_in(data)
+                    known.update(zip(units, range(len(found), len(found) + len(units)), strict=True))
+                    found = np.concatenate([found, value])
                     continue
                 rows = unpacked(data)
-                v = np.array([known[u] for u in rows.column("unit").to_pylist()], float).T
+                units = rows.column("unit").to_pylist()
+                v = found[np.fromiter(map(known.__getitem__, units), np.int64, len(units))].T
                 at, lengths = flat(rows.column("at"))
                 times, _ = flat(rows.column("times"))
                 yield from held.add(block, n_docs, at, np.repeat(v, lengths, axis=1) * times)

@@ -52,7 +52,7 @@ def unpacked(data: bytes) -> pa.RecordBatch:
 
 def bucket_of(units: pa.Array, buckets: int) -> np.ndarray:
     """Bucket of each unit, the same on every machine."""
-    named = np.array(units.to_pylist() + [b""], dtype=object)[:-1]
+    named = units.to_numpy(zero_copy_only=False)
     return (pd.util.hash_array(named, categorize=False) % np.uint64(buckets)).astype(np.int32)
 
 
