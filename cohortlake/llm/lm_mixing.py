@@ -627,10 +627,12 @@ def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _added(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
-    """One row for each unit, in order of first appearance."""
+    """One row for each unit, in order of first appearance: ranges are cut by a sample that depends on it."""
     if not held:
         return []
-    sums = pa.Table.from_batches(held).group_by("unit", use_threads=False).aggregate([("n", "sum")])
+    table = pa.Table.from_batches(held)
+    table = table.append_column("at", pa.array(np.arange(table.num_rows)))
+    sums = table.group_by("unit", use_threads=False).aggregate([("n", "sum"), ("at", "min")]).sort_by("at_min")
     return sums.rename_columns({"n_sum": "n"}).select(["unit", "n"]).combine_chunks().to_batches()
 
 

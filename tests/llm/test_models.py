@@ -190,3 +190,39 @@ def test_counts_over_ranges_agree():
     for p, t in zip(parts, totals, strict=True):
         for side, k in enumerate(p.key[[0, -1]]):
             assert np.array_equal(t[side], whole.path(k))
+
+
+def test_trie_counts_equal_plain_counts_and_are_made_once(monkeypatch):
+    """Counts along every word's bits equal plain ones; a second pass that holds all decisions makes none anew."""
+    rng = np.random.default_rng(3)
+    pairs = sorted({(bytes(rng.choice(list(b"abc"), rng.integers(1, 20)).astype(np.uint8)), int(rng.integers(0, 3))) for _ in range(300)})
+    n = rng.integers(0, 4, len(pairs)).astype(float)
+    rows = lm_mixing.Range.of([w for w, _ in pairs], np.array([g for _, g in pairs]), n)
+    assert [(w + b" ", g) for w, g in pairs] == sorted((rows.coded[i], int(rows.gate[i])) for i in np.argsort(rows.place))
+    paths = np.stack([rows.path(k) for k in rows.key[[0, -1]]])
+    bits = ["".join(f"{b:08b}" for b in c[: lm_mixing.DEPTH]) for c in rows.coded]
+    steps = lm_mixing.Steps(rows, paths)
+    seen = 0
+    for depth, at, before, after, all_before, all_after in steps:
+        for i, *got in zip(steps.order[at], before, after, all_before, all_after, strict=True):
+            same = [[b[:d] == bits[i][:d] for b in bits] for d in (depth, depth + 1)]
+            own = [sum(x for x, s, g in zip(rows.n, half, rows.gate, strict=True) if s and g == rows.gate[i]) for half in same]
+            every = [sum(x for x, s in zip(rows.n, half, strict=True) if s) for half in same]
+            assert got == [*own, *every]
+        seen += len(at)
+    assert seen == len({(g, b[: d + 1]) for g, b in zip(rows.gate.tolist(), bits, strict=True) for d in range(len(b))})
+    made, plain = [], lm_mixing.Steps.__iter__
+    monkeypatch.setattr(lm_mixing.Steps, "__iter__", lambda self: made.append(1) or plain(self))
+    shared = lm_mixing.Shared(lm_mixing.Hashed(*lm_mixing.cell_counts(rows)), {0: paths})
+    lm_mixing.train_range(rows, shared, 0)
+    assert len(made) == 1
+
+
+def test_unit_counts_keep_the_order_of_first_appearance(monkeypatch):
+    pa = lm_mixing.pa
+    blocks = [[(b"Bx", 1), (b"Aab", 2)], [(b"Aab", 3), (b"C\n", 0)], [(b"Ay", 5), (b"Bx", 7)]]
+    packed = [lm_mixing.packed_columns({"unit": pa.array([u for u, _ in b], pa.binary()), "n": pa.array([n for _, n in b], pa.int64())}) for b in blocks]
+    for most in (1 << 20, 2):
+        monkeypatch.setattr(lm_mixing, "UNIT_ROWS", most)
+        got = [r for b in lm_mixing._unit_counts(iter([pa.RecordBatch.from_pydict({"packed": pa.array(packed, pa.binary())})])) for r in b.to_pylist()]
+        assert [(r["gate"], r["word"], r["coded"], r["n"]) for r in got] == [(1, b"x", b"x ", 8), (0, b"ab", b"ab ", 5), (2, b"\n", b"\n ", 0), (0, b"y", b"y ", 5)]
